@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.operators import evaluation, neighbours, ratings, similarity
-from siftworks.plans import recommend
+from siftworks.operators import evaluation, itemsets, neighbours, ratings, similarity
+from siftworks.plans import mining, recommend
 from siftworks.sources import testviews as views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +155,74 @@ def rating_rmse(spark, sf):
 def rating_rmse_user(spark, sf):
     train, test = views.split_ratings(spark, sf)
     return rounded(evaluation.rmse(recommend.user_cf(train, test)), "rmse")
+
+
+# --- frequent itemsets ---
+
+
+def support_of(baskets: DataFrame, share: float) -> float:
+    """An absolute support from a share of the baskets."""
+    return share * baskets.select("basket").distinct().count()
+
+
+def joined_items(df: DataFrame) -> DataFrame:
+    return df.withColumn("items", F.array_join("items", ","))
+
+
+@query
+def baskets_load(spark, sf):
+    return views.baskets(spark, sf)
+
+
+@query
+def itemset_candidates_k2(spark, sf):
+    b = views.baskets(spark, sf)
+    singles = itemsets.frequent_items(b, support_of(b, 0.025))
+    return joined_items(itemsets.apriori_candidates(singles, 2))
+
+
+@query
+def itemset_candidates_k3(spark, sf):
+    b = views.baskets(spark, sf)
+    pairs = itemsets.mine_levels(b, support_of(b, 0.025), max_k=2)[1]
+    return joined_items(itemsets.apriori_candidates(pairs, 3))
+
+
+@query
+def frequent_itemsets_k1(spark, sf):
+    b = views.baskets(spark, sf)
+    return joined_items(itemsets.frequent_items(b, support_of(b, 0.005)))
+
+
+@query
+def frequent_itemsets_k2(spark, sf):
+    b = views.baskets(spark, sf)
+    s = support_of(b, 0.025)
+    candidates = itemsets.apriori_candidates(itemsets.frequent_items(b, s), 2)
+    return joined_items(itemsets.frequent_level(b, candidates, s))
+
+
+@query
+def frequent_itemsets_k3(spark, sf):
+    b = views.baskets(spark, sf)
+    s = support_of(b, 0.005)
+    candidates = itemsets.apriori_candidates(itemsets.mine_levels(b, s, max_k=2)[1], 3)
+    return joined_items(itemsets.frequent_level(b, candidates, s))
+
+
+@query
+def frequent_itemsets_all(spark, sf):
+    b = views.baskets(spark, sf)
+    return joined_items(mining.apriori(b, support_of(b, 0.005)))
+
+
+@query
+def son_frequent_itemsets(spark, sf):
+    b = views.baskets(spark, sf)
+    return joined_items(mining.son(b, support_of(b, 0.005), partitions=4))
+
+
+@query
+def itemset_report(spark, sf):
+    b = views.baskets(spark, sf)
+    return itemsets.itemset_report(mining.apriori(b, support_of(b, 0.005)), per_line=100)

@@ -181,3 +181,75 @@ ORACLES["rating_error_histogram"] = f"WITH {ITEM_PRED}, {SCORED} {HISTOGRAM}"
 ORACLES["rating_error_histogram_user"] = f"WITH {USER_PRED}, {SCORED} {HISTOGRAM}"
 ORACLES["rating_rmse"] = f"WITH {ITEM_PRED}, {SCORED} {RMSE}"
 ORACLES["rating_rmse_user"] = f"WITH {USER_PRED}, {SCORED} {RMSE}"
+
+
+# --- frequent itemsets ---
+
+BASKETS = """
+baskets AS (
+  SELECT DISTINCT l_orderkey AS basket, p_brand AS item
+  FROM lineitem JOIN part ON l_partkey = p_partkey
+)"""
+
+
+def _levels(share: float) -> str:
+    return f"""{BASKETS},
+enough AS (SELECT {share} * count(DISTINCT basket) AS s FROM baskets),
+k1 AS (
+  SELECT item AS a, count(*) AS support FROM baskets GROUP BY item
+  HAVING count(*) >= (SELECT s FROM enough)
+),
+k2 AS (
+  SELECT x.item AS a, y.item AS b, count(*) AS support
+  FROM baskets x JOIN baskets y ON x.basket = y.basket AND x.item < y.item
+  GROUP BY x.item, y.item HAVING count(*) >= (SELECT s FROM enough)
+),
+k3 AS (
+  SELECT x.item AS a, y.item AS b, z.item AS c, count(*) AS support
+  FROM baskets x JOIN baskets y ON x.basket = y.basket AND x.item < y.item
+  JOIN baskets z ON z.basket = y.basket AND y.item < z.item
+  GROUP BY x.item, y.item, z.item HAVING count(*) >= (SELECT s FROM enough)
+),
+k4 AS (
+  SELECT x.item AS a, y.item AS b, z.item AS c, w.item AS d, count(*) AS support
+  FROM baskets x JOIN baskets y ON x.basket = y.basket AND x.item < y.item
+  JOIN baskets z ON z.basket = y.basket AND y.item < z.item
+  JOIN baskets w ON w.basket = z.basket AND z.item < w.item
+  GROUP BY x.item, y.item, z.item, w.item HAVING count(*) >= (SELECT s FROM enough)
+)"""
+
+
+# No basket set given here has a frequent itemset of five items at this support.
+ALL_ITEMSETS = f"""{_levels(0.005)},
+every AS (
+  SELECT 1 AS size, a AS items, support FROM k1
+  UNION ALL SELECT 2, concat(a, ',', b), support FROM k2
+  UNION ALL SELECT 3, concat(a, ',', b, ',', c), support FROM k3
+  UNION ALL SELECT 4, concat(a, ',', b, ',', c, ',', d), support FROM k4
+)"""
+
+ORACLES["baskets_load"] = f"WITH {BASKETS} SELECT * FROM baskets"
+ORACLES["itemset_candidates_k2"] = f"""
+WITH {_levels(0.025)}
+SELECT concat(x.a, ',', y.a) AS items FROM k1 x JOIN k1 y ON x.a < y.a"""
+ORACLES["itemset_candidates_k3"] = f"""
+WITH {_levels(0.025)}
+SELECT concat(x.a, ',', x.b, ',', y.b) AS items
+FROM k2 x JOIN k2 y ON x.a = y.a AND x.b < y.b JOIN k2 z ON z.a = x.b AND z.b = y.b"""
+ORACLES["frequent_itemsets_k1"] = f"WITH {_levels(0.005)} SELECT a AS items, support FROM k1"
+ORACLES["frequent_itemsets_k2"] = (
+    f"WITH {_levels(0.025)} SELECT concat(a, ',', b) AS items, support FROM k2"
+)
+ORACLES["frequent_itemsets_k3"] = (
+    f"WITH {_levels(0.005)} SELECT concat(a, ',', b, ',', c) AS items, support FROM k3"
+)
+ORACLES["frequent_itemsets_all"] = f"WITH {ALL_ITEMSETS} SELECT size, items, support FROM every"
+ORACLES["son_frequent_itemsets"] = ORACLES["frequent_itemsets_all"]
+ORACLES["itemset_report"] = f"""
+WITH {ALL_ITEMSETS},
+placed AS (
+  SELECT size, items, row_number() OVER (PARTITION BY size ORDER BY string_split(items, ',')) - 1 AS p FROM every
+)
+SELECT size, p // 100 AS line_no,
+       string_agg(concat('(', items, ')'), ',' ORDER BY string_split(items, ',')) AS line
+FROM placed GROUP BY size, p // 100"""

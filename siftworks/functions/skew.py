@@ -19,7 +19,7 @@ from siftworks.sources.shared import materialize
 HEAVY_ROWS = 5_000
 
 # A key table is broadcast only when its counted rows are at most this many.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 200_000
 
 
 class Split(NamedTuple):
