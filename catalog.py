@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.operators import evaluation, itemsets, neighbours, ratings, similarity
-from siftworks.plans import mining, recommend
+from siftworks.operators import evaluation, itemsets, kmeans, neighbours, ratings, similarity, text, vectors
+from siftworks.plans import clustering, mining, recommend
 from siftworks.sources import testviews as views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,3 +226,132 @@ def son_frequent_itemsets(spark, sf):
 def itemset_report(spark, sf):
     b = views.baskets(spark, sf)
     return itemsets.itemset_report(mining.apriori(b, support_of(b, 0.005)), per_line=100)
+
+
+# --- text features ---
+
+
+@query
+def term_counts(spark, sf):
+    return text.term_counts(views.corpus(spark, sf))
+
+
+@query
+def term_frequency(spark, sf):
+    return rounded(text.term_frequency(views.corpus(spark, sf)), "tf", places=9)
+
+
+@query
+def idf(spark, sf):
+    return rounded(text.idf(views.corpus(spark, sf)), "idf")
+
+
+@query
+def tfidf(spark, sf):
+    return rounded(text.tfidf(views.corpus(spark, sf)), "weight", places=9)
+
+
+@query
+def vocabulary(spark, sf):
+    return text.vocabulary(views.corpus(spark, sf))
+
+
+# --- clustering ---
+
+CLUSTERS = 5
+SEED = 42
+
+
+def started(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(vectors, docs, start centroids) of the corpus."""
+    corpus = views.corpus(spark, sf)
+    docs = corpus.select("doc_id")
+    vecs = text.tfidf(corpus)
+    return vecs, docs, kmeans.init_centroids(vecs, docs, CLUSTERS, SEED)
+
+
+def two_rounds(spark: SparkSession, sf: str) -> clustering.Clustering:
+    return clustering.cluster_corpus(views.corpus(spark, sf), "T", CLUSTERS, iters=2, seed=SEED)
+
+
+@query
+def doc_centroid_distance(spark, sf):
+    vecs, docs, start = started(spark, sf)
+    measured = vectors.euclidean(vecs, docs, start, CLUSTERS)
+    return rounded(measured.select("doc_id", "cluster", "distance"), "distance")
+
+
+@query
+def doc_cosine_similarity(spark, sf):
+    vecs, docs, start = started(spark, sf)
+    return rounded(vectors.cosine(vecs, docs, start, CLUSTERS), "similarity")
+
+
+@query
+def kmeans_init(spark, sf):
+    return kmeans.choose_start(views.corpus(spark, sf), CLUSTERS, SEED)
+
+
+@query
+def kmeans_assign(spark, sf):
+    vecs, docs, start = started(spark, sf)
+    return rounded(kmeans.assign(vecs, docs, start, CLUSTERS).drop("sqdist"), "distance")
+
+
+@query
+def kmeans_update(spark, sf):
+    vecs, docs, start = started(spark, sf)
+    nearest = kmeans.assign(vecs, docs, start, CLUSTERS)
+    return rounded(kmeans.update_centroids(vecs, nearest, start), "weight", places=9)
+
+
+@query
+def kmeans_shift(spark, sf):
+    vecs, docs, start = started(spark, sf)
+    nearest = kmeans.assign(vecs, docs, start, CLUSTERS)
+    return rounded(kmeans.centroid_shift(start, kmeans.update_centroids(vecs, nearest, start)), "l1")
+
+
+@query
+def kmeans_iter1(spark, sf):
+    found = clustering.cluster_corpus(views.corpus(spark, sf), "T", CLUSTERS, iters=1, seed=SEED)
+    return found.assignment.select("doc_id", "cluster")
+
+
+@query
+def kmeans_iter2(spark, sf):
+    return two_rounds(spark, sf).assignment.select("doc_id", "cluster")
+
+
+@query
+def kmeans_iter2_counts(spark, sf):
+    found = clustering.cluster_corpus(views.corpus(spark, sf), "W", CLUSTERS, iters=2, seed=SEED)
+    return found.assignment.select("doc_id", "cluster")
+
+
+@query
+def kmeans_sse(spark, sf):
+    return rounded(kmeans.sse(two_rounds(spark, sf).assignment, CLUSTERS), "error")
+
+
+@query
+def kmeans_wsse(spark, sf):
+    return rounded(kmeans.wsse(two_rounds(spark, sf).assignment), "wsse")
+
+
+@query
+def cluster_sizes(spark, sf):
+    return kmeans.cluster_sizes(two_rounds(spark, sf).assignment, CLUSTERS)
+
+
+@query
+def cluster_terms(spark, sf):
+    found = two_rounds(spark, sf)
+    return kmeans.cluster_terms(found.vectors, found.assignment)
+
+
+@query
+def cluster_report(spark, sf):
+    found = two_rounds(spark, sf)
+    report = kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
+    return rounded(report.withColumn("terms", F.array_join("terms", ",")), "error")

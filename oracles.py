@@ -253,3 +253,118 @@ placed AS (
 SELECT size, p // 100 AS line_no,
        string_agg(concat('(', items, ')'), ',' ORDER BY string_split(items, ',')) AS line
 FROM placed GROUP BY size, p // 100"""
+
+
+# --- text features ---
+
+TEXT = """
+split AS (
+  SELECT doc_id, CASE WHEN rtrim(text, ' ') = '' AND text <> '' THEN []
+                      ELSE string_split(rtrim(text, ' '), ' ') END AS tokens
+  FROM documents
+),
+occurrences AS (SELECT doc_id, len(tokens) AS size, unnest(tokens) AS term FROM split),
+counts AS (SELECT doc_id, size, term, count(*) AS n FROM occurrences GROUP BY doc_id, size, term),
+idf AS (
+  SELECT term, count(*) AS df, 1 + ln((SELECT count(*) FROM documents) / count(*)) AS idf
+  FROM counts GROUP BY term
+),
+tfidf AS (SELECT doc_id, c.term, n / size * idf AS weight FROM counts c JOIN idf i ON i.term = c.term)"""
+
+ORACLES["term_counts"] = f"WITH {TEXT} SELECT doc_id, term, n FROM counts"
+ORACLES["term_frequency"] = f"WITH {TEXT} SELECT doc_id, term, round(n / size, 9) AS tf FROM counts"
+ORACLES["idf"] = f"WITH {TEXT} SELECT term, df, round(idf, 6) AS idf FROM idf"
+ORACLES["tfidf"] = f"WITH {TEXT} SELECT doc_id, term, round(weight, 9) AS weight FROM tfidf"
+ORACLES["vocabulary"] = f"""
+WITH {TEXT} SELECT term, row_number() OVER (ORDER BY term) - 1 AS idx FROM idf"""
+
+# --- clustering ---
+
+
+def _vectors(feature: str) -> str:
+    weight = {"T": "SELECT doc_id, term, weight FROM tfidf", "W": "SELECT doc_id, term, CAST(n AS DOUBLE) AS weight FROM counts"}
+    return f"""{TEXT},
+vec AS MATERIALIZED ({weight[feature]}),
+norms AS (SELECT doc_id, sum(weight * weight) AS s FROM vec GROUP BY doc_id),
+start AS (
+  SELECT CAST(row_number() OVER (ORDER BY p, doc_id) - 1 AS INTEGER) AS cluster, doc_id
+  FROM (SELECT doc_id, md5(concat('42-', doc_id)) AS p FROM documents ORDER BY p, doc_id LIMIT 5)
+),
+c1 AS MATERIALIZED (SELECT cluster, term, weight FROM vec JOIN start USING (doc_id))"""
+
+
+def _round(i: int) -> str:
+    return f"""
+dots{i} AS (
+  SELECT doc_id, cluster, sum(v.weight * c.weight) AS dot FROM vec v JOIN c{i} c ON c.term = v.term
+  GROUP BY doc_id, cluster
+),
+products{i} AS (
+  SELECT d.doc_id, CAST(g.cluster AS INTEGER) AS cluster, coalesce(t.dot, 0) AS dot,
+         coalesce(n.s, 0) AS doc_norm, coalesce(m.s, 0) AS cluster_norm
+  FROM documents d CROSS JOIN range(5) g(cluster)
+  LEFT JOIN dots{i} t ON t.doc_id = d.doc_id AND t.cluster = g.cluster
+  LEFT JOIN norms n ON n.doc_id = d.doc_id
+  LEFT JOIN (SELECT cluster, sum(weight * weight) AS s FROM c{i} GROUP BY cluster) m ON m.cluster = g.cluster
+),
+dist{i} AS (
+  SELECT doc_id, cluster, greatest(round(doc_norm + cluster_norm - 2 * dot, 9), 0) AS sqdist FROM products{i}
+),
+assign{i} AS MATERIALIZED (
+  SELECT doc_id, cluster, sqdist, sqrt(sqdist) AS distance FROM dist{i}
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(sqrt(sqdist), 9), cluster) = 1
+),
+sizes{i} AS (SELECT cluster, count(*) AS size FROM assign{i} GROUP BY cluster),
+c{i + 1} AS MATERIALIZED (
+  SELECT a.cluster, v.term, sum(v.weight) / any_value(s.size) AS weight
+  FROM vec v JOIN assign{i} a USING (doc_id) JOIN sizes{i} s ON s.cluster = a.cluster
+  GROUP BY a.cluster, v.term
+  UNION ALL SELECT * FROM c{i} WHERE cluster NOT IN (SELECT cluster FROM sizes{i})
+)"""
+
+
+ROUND1 = f"{_vectors('T')}, {_round(1)}"
+ROUND2 = f"{ROUND1}, {_round(2)}"
+SSE = """
+sse AS (
+  SELECT CAST(g.cluster AS INTEGER) AS cluster, count(a.doc_id) AS size, coalesce(sum(a.sqdist), 0) AS error
+  FROM range(5) g(cluster) LEFT JOIN assign2 a ON a.cluster = g.cluster GROUP BY g.cluster
+)"""
+TERMS = """
+top_terms AS (
+  SELECT cluster, term, count(*) AS n_docs,
+         row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, term) AS rank
+  FROM vec JOIN assign2 USING (doc_id) GROUP BY cluster, term
+  QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, term) <= 10
+)"""
+
+ORACLES["doc_centroid_distance"] = f"""
+WITH {ROUND1} SELECT doc_id, cluster, round(sqrt(sqdist), 6) AS distance FROM dist1"""
+ORACLES["doc_cosine_similarity"] = f"""
+WITH {ROUND1}
+SELECT doc_id, cluster, round(dot / nullif(sqrt(doc_norm) * sqrt(cluster_norm), 0), 6) AS similarity
+FROM products1"""
+ORACLES["kmeans_init"] = f"WITH {ROUND1} SELECT cluster, doc_id FROM start"
+ORACLES["kmeans_assign"] = f"""
+WITH {ROUND1} SELECT doc_id, cluster, round(distance, 6) AS distance FROM assign1"""
+ORACLES["kmeans_update"] = f"WITH {ROUND1} SELECT cluster, term, round(weight, 9) AS weight FROM c2"
+ORACLES["kmeans_shift"] = f"""
+WITH {ROUND1}
+SELECT cluster, round(sum(d), 6) AS l1 FROM (
+  SELECT cluster, term, abs(sum(w)) AS d FROM (
+    SELECT cluster, term, -weight AS w FROM c1 UNION ALL SELECT cluster, term, weight FROM c2
+  ) GROUP BY cluster, term
+) GROUP BY cluster"""
+ORACLES["kmeans_iter1"] = f"WITH {ROUND1} SELECT doc_id, cluster FROM assign1"
+ORACLES["kmeans_iter2"] = f"WITH {ROUND2} SELECT doc_id, cluster FROM assign2"
+ORACLES["kmeans_iter2_counts"] = f"""
+WITH {_vectors('W')}, {_round(1)}, {_round(2)} SELECT doc_id, cluster FROM assign2"""
+ORACLES["kmeans_sse"] = f"WITH {ROUND2}, {SSE} SELECT cluster, size, round(error, 6) AS error FROM sse"
+ORACLES["kmeans_wsse"] = f"WITH {ROUND2} SELECT count(*) AS n, round(sum(sqdist), 6) AS wsse FROM assign2"
+ORACLES["cluster_sizes"] = f"WITH {ROUND2}, {SSE} SELECT cluster, size FROM sse"
+ORACLES["cluster_terms"] = f"WITH {ROUND2}, {TERMS} SELECT cluster, rank, term, n_docs FROM top_terms"
+ORACLES["cluster_report"] = f"""
+WITH {ROUND2}, {SSE}, {TERMS}
+SELECT s.cluster, s.size, round(s.error, 6) AS error,
+       coalesce(string_agg(t.term, ',' ORDER BY t.rank), '') AS terms
+FROM sse s LEFT JOIN top_terms t ON t.cluster = s.cluster GROUP BY s.cluster, s.size, s.error"""
