@@ -10,9 +10,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftworks.operators import evaluation, itemsets, kmeans, neighbours, ratings, similarity, text, vectors
+from siftworks.operators import (
+    bloom,
+    evaluation,
+    hashtags,
+    itemsets,
+    kmeans,
+    models,
+    neighbours,
+    ratings,
+    similarity,
+    text,
+    vectors,
+)
+from siftworks.operators.reservoir import reservoir
 from siftworks.plans import clustering, mining, recommend
 from siftworks.sources import testviews as views
+from siftworks.sources.readers import read_stream
+from siftworks.sources.shared import new_path
+from siftworks.streaming import bloom as bloom_streams
+from siftworks.streaming import reservoir as reservoir_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -355,3 +372,143 @@ def cluster_report(spark, sf):
     found = two_rounds(spark, sf)
     report = kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
     return rounded(report.withColumn("terms", F.array_join("terms", ",")), "error")
+
+
+# --- Spark ML ---
+
+
+@query
+def als_predictions(spark, sf):
+    train, test = views.split_ratings(spark, sf)
+    return models.als_cf(train, test)
+
+
+@query
+def als_error_histogram(spark, sf):
+    train, test = views.split_ratings(spark, sf)
+    return evaluation.error_histogram(models.with_error(models.als_cf(train, test)))
+
+
+@query
+def als_rmse(spark, sf):
+    train, test = views.split_ratings(spark, sf)
+    return evaluation.rmse(models.with_error(models.als_cf(train, test)))
+
+
+def embedded(spark: SparkSession, sf: str) -> DataFrame:
+    return models.dense_features(views.table(spark, sf, "embeddings"), "vec_id", "embedding")
+
+
+@query
+def ml_kmeans(spark, sf):
+    f = embedded(spark, sf)
+    model = models.kmeans_model(f, 10, 20, SEED)
+    return kmeans.sse(models.member_distances(model, f, "vec_id"), len(model.clusterCenters()))
+
+
+@query
+def ml_bisecting_kmeans(spark, sf):
+    f = embedded(spark, sf)
+    model = models.bisecting_model(f, 10, 20, SEED)
+    return kmeans.sse(models.member_distances(model, f, "vec_id"), len(model.clusterCenters()))
+
+
+@query
+def ml_kmeans_text(spark, sf):
+    found = clustering.ml_cluster_corpus(views.corpus(spark, sf), "K", CLUSTERS, iters=10)
+    return kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
+
+
+@query
+def ml_bisecting_kmeans_text(spark, sf):
+    found = clustering.ml_cluster_corpus(views.corpus(spark, sf), "B", CLUSTERS, iters=10)
+    return kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
+
+
+@query
+def ml_gmm(spark, sf):
+    return models.gaussian_mixture(embedded(spark, sf), 3, 10, SEED)
+
+
+@query
+def ml_gmm_text(spark, sf):
+    return clustering.gaussian_corpus(views.corpus(spark, sf), 2, 5, terms=20)
+
+
+# --- samples and streams ---
+
+BLOOM = {"width": 4096, "num_hash": 6}
+
+
+@query
+def hashtag_counts(spark, sf):
+    return hashtags.hashtag_counts(views.status_texts(spark, sf))
+
+
+@query
+def top_hashtags(spark, sf):
+    return hashtags.top_hashtags(views.status_texts(spark, sf))
+
+
+@query
+def reservoir_batch(spark, sf):
+    return reservoir(views.status_texts(spark, sf).select("event_id", "text"))
+
+
+@query
+def sample_mean_length(spark, sf):
+    return rounded(hashtags.mean_length(reservoir(views.status_texts(spark, sf))), "mean_length")
+
+
+@query
+def sample_top_hashtags(spark, sf):
+    return hashtags.top_hashtags(reservoir(views.status_texts(spark, sf)))
+
+
+@query
+def bloom_flags(spark, sf):
+    return bloom.bloom_flags(views.tagged_events(spark, sf), **BLOOM)
+
+
+@query
+def bloom_quality(spark, sf):
+    return rounded(bloom.bloom_quality(bloom.bloom_flags(views.tagged_events(spark, sf), **BLOOM)), "fpr")
+
+
+@query
+def bloom_quality_one_hash(spark, sf):
+    flags = bloom.bloom_flags(views.tagged_events(spark, sf), width=2048, num_hash=1)
+    return rounded(bloom.bloom_quality(flags), "fpr")
+
+
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a stream; its files arrive in one micro-batch or several."""
+    schema = views.table(spark, sf, "events").schema
+    return read_stream(spark, sf, schema, glob="events.parquet")
+
+
+@query
+def stream_reservoir(spark, sf):
+    location = new_path(spark, "reservoir")
+    texts = event_stream(spark, sf).select("event_id", views.status_text().alias("text"))
+    reservoir_streams.reservoir_stream(texts, location).awaitTermination()
+    return reservoir_streams.current_sample(spark, location)
+
+
+@query
+def stream_reservoir_report(spark, sf):
+    location = new_path(spark, "reservoir")
+    texts = event_stream(spark, sf).select("event_id", views.status_text().alias("text"))
+    reservoir_streams.reservoir_stream(texts, location).awaitTermination()
+    log = reservoir_streams.report_log(spark, location)
+    # the number and size of micro-batches depend on the files: report the last one
+    last = log.orderBy(F.col("batch_id").desc()).limit(1).drop("batch_id")
+    return rounded(last, "mean_length")
+
+
+@query
+def stream_bloom(spark, sf):
+    location = new_path(spark, "bloom")
+    tagged = event_stream(spark, sf).select("ts", "event_id", views.event_tag().alias("text"))
+    bloom_streams.bloom_stream(tagged, location, ["ts", "event_id"], **BLOOM).awaitTermination()
+    return rounded(bloom_streams.last_report(spark, location), "fpr")

@@ -368,3 +368,76 @@ WITH {ROUND2}, {SSE}, {TERMS}
 SELECT s.cluster, s.size, round(s.error, 6) AS error,
        coalesce(string_agg(t.term, ',' ORDER BY t.rank), '') AS terms
 FROM sse s LEFT JOIN top_terms t ON t.cluster = s.cluster GROUP BY s.cluster, s.size, s.error"""
+
+
+# --- samples and streams ---
+
+STATUS = """
+tagged AS (
+  SELECT event_id, ts, user_id, event_type,
+         concat('#', event_type, regexp_extract(props, '[0-9]+', 0)) AS tag FROM events
+),
+status AS (
+  SELECT event_id, concat('u', user_id, ' ', tag, ' #', event_type) AS text FROM tagged
+),
+sample AS (
+  SELECT event_id, text FROM status ORDER BY md5(concat('42-', event_id)), event_id LIMIT 100
+)"""
+
+
+def _tags(source: str) -> str:
+    return f"""{STATUS},
+tag_counts AS (
+  SELECT replace(replace(token, chr(10), ''), ',', '') AS tag, count(*) AS n
+  FROM (SELECT unnest(string_split(text, ' ')) AS token FROM {source})
+  WHERE starts_with(token, '#') GROUP BY ALL
+),
+top_tags AS (
+  SELECT row_number() OVER (ORDER BY n DESC, tag) AS rank, tag, n FROM tag_counts
+  QUALIFY row_number() OVER (ORDER BY n DESC, tag) <= 5
+)"""
+
+
+def _bloom(width: int, num_hash: int) -> str:
+    return f"""{STATUS},
+seen AS (
+  SELECT tag, min(seq) AS first_seq, count(*) AS n
+  FROM (SELECT tag, row_number() OVER (ORDER BY ts, event_id) AS seq FROM tagged) GROUP BY tag
+),
+hits AS (
+  SELECT tag, first_seq, n, ('0x' || substr(md5(concat(i, ':', tag)), 1, 7))::BIGINT % {width} AS bit
+  FROM seen CROSS JOIN range({num_hash}) h(i)
+),
+first_hits AS (SELECT bit, min(first_seq) AS set_at FROM hits GROUP BY bit),
+flags AS (
+  SELECT tag, first_seq, n, max(set_at) < first_seq AS is_false_positive
+  FROM hits JOIN first_hits USING (bit) GROUP BY tag, first_seq, n
+),
+quality AS (
+  SELECT CAST(sum(n) AS BIGINT) AS total,
+         CAST(coalesce(sum(n) FILTER (is_false_positive), 0) AS BIGINT) AS fp,
+         count(*) FILTER (NOT is_false_positive) AS tn FROM flags
+)"""
+
+
+QUALITY_OUT = """
+SELECT total, total - fp AS correct, fp AS incorrect, fp, tn, round(coalesce(fp / nullif(fp + tn, 0), 0), 6) AS fpr
+FROM quality"""
+
+ORACLES["hashtag_counts"] = f"WITH {_tags('status')} SELECT tag, n FROM tag_counts"
+ORACLES["top_hashtags"] = f"WITH {_tags('status')} SELECT rank, tag, n FROM top_tags"
+ORACLES["reservoir_batch"] = f"WITH {STATUS} SELECT event_id, text FROM sample"
+ORACLES["sample_mean_length"] = f"""
+WITH {STATUS} SELECT count(*) AS n, round(avg(length(text)), 6) AS mean_length FROM sample"""
+ORACLES["sample_top_hashtags"] = f"WITH {_tags('sample')} SELECT rank, tag, n FROM top_tags"
+ORACLES["bloom_flags"] = f"WITH {_bloom(4096, 6)} SELECT * FROM flags"
+ORACLES["bloom_quality"] = f"WITH {_bloom(4096, 6)} {QUALITY_OUT}"
+ORACLES["bloom_quality_one_hash"] = f"WITH {_bloom(2048, 1)} {QUALITY_OUT}"
+ORACLES["stream_reservoir"] = ORACLES["reservoir_batch"]
+ORACLES["stream_reservoir_report"] = f"""
+WITH {_tags('sample')}
+SELECT (SELECT count(*) FROM events) AS seen, count(*) AS sample_size,
+       round(avg(length(text)), 6) AS mean_length,
+       (SELECT string_agg(tag, ',' ORDER BY rank) FROM top_tags) AS top_tags
+FROM sample"""
+ORACLES["stream_bloom"] = ORACLES["bloom_quality"]

@@ -7,9 +7,11 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siftworks.functions.ordering import global_position
 from siftworks.functions.skew import broadcast_if_small
+from siftworks.operators import models
 from siftworks.operators.kmeans import assign, init_centroids, update_centroids
-from siftworks.operators.text import features
+from siftworks.operators.text import features, idf, tfidf, vocabulary
 from siftworks.sources.shared import materialize
 
 
@@ -61,3 +63,43 @@ def cluster_corpus(corpus: DataFrame, feature: str, k: int, iters: int, seed: in
     """k-means of a corpus (doc_id, text) over word counts (``"W"``) or TF-IDF (``"T"``)."""
     vectors = materialize(features(corpus, feature), "vectors")
     return lloyd(vectors, corpus.select("doc_id"), k, iters, seed)
+
+
+def ml_cluster_corpus(
+    corpus: DataFrame, algorithm: str, k: int, iters: int, seed: int = 42, max_terms: int = models.MAX_TERMS
+) -> Clustering:
+    """Spark ML k-means (``"K"``) or bisecting k-means (``"B"``) of a corpus over TF-IDF.
+
+    The result has the distances to the final centres, for every cluster the model made.
+    """
+    fit = {"K": models.kmeans_model, "B": models.bisecting_model}[algorithm.upper()]
+    vectors = materialize(tfidf(corpus), "vectors")
+    terms = materialize(vocabulary(corpus), "vocabulary")
+    width = terms.count()
+    if width > max_terms:
+        raise ValueError(
+            f"{width} terms make dense centres too wide for Spark ML; use cluster_corpus, "
+            "whose centroids stay sparse"
+        )
+    docs = corpus.select("doc_id")
+    features_ = models.sparse_features(vectors, docs, terms, width).persist()
+    model = fit(features_, k, iters, seed)
+    members = materialize(model.transform(features_).select("doc_id", "cluster"), "members")
+    features_.unpersist()
+    centers = materialize(models.sparse_centers(model, terms), "centers")
+    return Clustering(vectors, models.sparse_member_distances(vectors, members, centers), centers)
+
+
+def gaussian_corpus(corpus: DataFrame, k: int, iters: int, terms: int, seed: int = 42) -> DataFrame:
+    """Gaussian mixture over the TF-IDF weights of the ``terms`` most frequent terms of a corpus.
+
+    A covariance over a whole vocabulary does not fit any machine, so the width
+    is a parameter here: (component, weight, mean, covariance).
+    """
+    frequent = idf(corpus).orderBy(F.col("df").desc(), "term").limit(terms).select("term")
+    numbered = materialize(global_position(frequent, ["term"], "idx"), "vocabulary")
+    width = numbered.count()
+    features_ = models.sparse_features(tfidf(corpus), corpus.select("doc_id"), numbered, width).persist()
+    fitted = models.gaussian_mixture(features_, k, iters, seed)
+    features_.unpersist()
+    return fitted
