@@ -27,7 +27,7 @@ from siftworks.operators.reservoir import reservoir
 from siftworks.plans import clustering, mining, recommend
 from siftworks.sources import testviews as views
 from siftworks.sources.readers import read_stream
-from siftworks.sources.shared import new_path
+from siftworks.sources.shared import materialize, new_path
 from siftworks.streaming import bloom as bloom_streams
 from siftworks.streaming import reservoir as reservoir_streams
 
@@ -283,7 +283,7 @@ def started(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     """(vectors, docs, start centroids) of the corpus."""
     corpus = views.corpus(spark, sf)
     docs = corpus.select("doc_id")
-    vecs = text.tfidf(corpus)
+    vecs = materialize(text.tfidf(corpus), "vectors")
     return vecs, docs, kmeans.init_centroids(vecs, docs, CLUSTERS, SEED)
 
 

@@ -4,6 +4,10 @@ AQE splits a shuffle partition that is large in *bytes*. A self join explodes
 long before that: a group of a million short rows is a small partition and
 10^12 pairs. So groups are told apart by their row count, and the heavy ones
 take a route whose work is spread over many tasks.
+
+Joins of a large table with one row per key are left to AQE, under one condition: the small
+side must be a stored table. A side aggregated on the join key in the same plan
+is joined in the partitions of its aggregation, and such a join AQE cannot split.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ BROADCAST_ROWS = 200_000
 class Split(NamedTuple):
     light: DataFrame
     heavy: DataFrame | None
+    sizes: DataFrame | None
     n_heavy: int
 
 
@@ -33,24 +38,21 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def split_heavy(df: DataFrame, key: str | list[str], heavy_rows: int = HEAVY_ROWS) -> Split:
-    """Split ``df`` by group size: light groups, heavy groups, number of heavy groups.
+def split_heavy(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> Split:
+    """Split ``df`` by group size: light groups, heavy groups, sizes (key, count) of the heavy
+    groups and their number.
 
     The sizes are one map-side combined count, so a hot group costs one row per
     task in that shuffle. ``heavy`` is None when there is no heavy group, which
     keeps the usual plan free of the second route.
     """
-    keys = [key] if isinstance(key, str) else key
-    sizes = df.groupBy(*keys).count().filter(F.col("count") > heavy_rows).select(*keys)
+    sizes = df.groupBy(key).count().filter(F.col("count") > heavy_rows)
     n = sizes.count()
     if n == 0:
-        return Split(df, None, 0)
-    heavy_keys = broadcast_if_small(materialize(sizes, "heavy"), n)
-    return Split(
-        df.join(heavy_keys, keys, "left_anti"),
-        df.join(heavy_keys, keys, "left_semi"),
-        n,
-    )
+        return Split(df, None, None, 0)
+    sizes = broadcast_if_small(materialize(sizes, "heavy"), n)
+    keys = sizes.select(key)
+    return Split(df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), sizes, n)
 
 
 def self_pairs(df: DataFrame, key: str, entity: str, value: str | None = None) -> DataFrame:
@@ -61,17 +63,26 @@ def self_pairs(df: DataFrame, key: str, entity: str, value: str | None = None) -
     return joined.filter("a < b").drop(key)
 
 
+def _block_counts(sizes: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
+    return sizes.select(key, F.ceil(F.col("count") / F.lit(block_rows)).cast("int").alias(name))
+
+
 def blocked_self_pairs(
-    df: DataFrame, key: str, entity: str, value: str | None = None, block_rows: int = HEAVY_ROWS
+    df: DataFrame,
+    sizes: DataFrame,
+    key: str,
+    entity: str,
+    value: str | None = None,
+    block_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """The same pairs for heavy groups, each group cut into blocks of about ``block_rows``.
 
     Block p of a group meets every block q >= p under the join key (key, p, q),
     so a group of n rows becomes (n / block_rows)^2 / 2 equal join groups spread over the
-    cluster instead of one.
+    cluster instead of one. ``sizes`` is that of ``split_heavy``.
     """
-    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias("blocks"))
-    rows = df.join(sizes, key).withColumn("block", F.pmod(F.xxhash64(entity), F.col("blocks")).cast("int"))
+    blocks = _block_counts(sizes, key, block_rows, "blocks")
+    rows = df.join(blocks, key).withColumn("block", F.pmod(F.xxhash64(entity), F.col("blocks")).cast("int"))
     carry = [F.col(entity).alias("e")] + ([F.col(value).alias("v")] if value else [])
     left = rows.select(
         key, *carry, F.col("block").alias("lo"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("hi")
@@ -101,8 +112,14 @@ def blocked_self_pairs(
     return met.select(*out)
 
 
-def blocked_join(left: DataFrame, right: DataFrame, key: str, block_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Inner join on a key that holds very many rows on both sides.
+def blocked_join(
+    left: DataFrame,
+    right: DataFrame,
+    right_sizes: DataFrame,
+    key: str,
+    block_rows: int = HEAVY_ROWS,
+) -> DataFrame:
+    """Inner join on the heavy keys of ``right``, which may hold very many rows of ``left`` too.
 
     Each side of a group is cut into blocks of about ``block_rows`` and every
     block of one side meets every block of the other in a join group of its own.
@@ -112,10 +129,14 @@ def blocked_join(left: DataFrame, right: DataFrame, key: str, block_rows: int =
         carried = [c for c in df.columns if c != key]
         return df.withColumn(block, F.pmod(F.xxhash64(*carried), F.col(blocks)).cast("int"))
 
-    def sizes(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(block_rows)).cast("int").alias(name))
-
-    both = sizes(left, "_lb").join(sizes(right, "_rb"), key)
+    left_sizes = left.join(right_sizes.select(key), key, "left_semi").groupBy(key).count()
+    both = materialize(
+        _block_counts(left_sizes, key, block_rows, "_lb").join(
+            _block_counts(right_sizes, key, block_rows, "_rb"), key
+        ),
+        "blocks",
+    )
+    both = broadcast_if_small(both, both.count())
     l = cut(left.join(both, key), "_lb", "_i").withColumn("_j", F.explode(F.expr("sequence(0, _rb - 1)")))
     r = cut(right.join(both, key), "_rb", "_j").withColumn("_i", F.explode(F.expr("sequence(0, _lb - 1)")))
     return l.drop("_lb", "_rb").join(r.drop("_lb", "_rb"), [key, "_i", "_j"]).drop("_i", "_j")

@@ -11,25 +11,26 @@ FALLBACK_RATING = 2.5
 BUCKETS = [">= 0 and < 1", ">= 1 and < 2", ">= 2 and < 3", ">= 3 and < 4", ">= 4"]
 
 
-def score(test: DataFrame, predictions: DataFrame) -> DataFrame:
+def score(test: DataFrame, predictions: DataFrame, means: DataFrame | None = None) -> DataFrame:
     """Every test row with its prediction, the user's mean or the fallback, in that order.
 
-    ``predictions`` has (user, item, prediction, user_mean); a user's mean is
-    known here only if some row of that user was predicted.
+    ``predictions`` has (user, item, prediction); ``means`` (user, mean) lists the users
+    whose mean may stand in for a missing prediction.
     """
-    means = predictions.groupBy("user").agg(F.first("user_mean").alias("_mean"))
-    prediction = F.coalesce("prediction", "_mean", F.lit(FALLBACK_RATING))
-    return (
-        test.select("user", "item", "rating")
-        .join(predictions.select("user", "item", "prediction"), ["user", "item"], "left")
-        .join(means, "user", "left")
-        .select(
-            "user",
-            "item",
-            "rating",
-            prediction.alias("prediction"),
-            F.abs(prediction - F.col("rating")).alias("abs_err"),
-        )
+    rows = test.select("user", "item", "rating").join(
+        predictions.select("user", "item", "prediction"), ["user", "item"], "left"
+    )
+    if means is not None:
+        rows = rows.join(means.select("user", F.col("mean").alias("_mean")), "user", "left")
+        prediction = F.coalesce("prediction", "_mean", F.lit(FALLBACK_RATING))
+    else:
+        prediction = F.coalesce("prediction", F.lit(FALLBACK_RATING))
+    return rows.select(
+        "user",
+        "item",
+        "rating",
+        prediction.alias("prediction"),
+        F.abs(prediction - F.col("rating")).alias("abs_err"),
     )
 
 

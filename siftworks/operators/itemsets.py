@@ -52,7 +52,7 @@ def apriori_candidates(level: DataFrame, size: int, heavy_rows: int = HEAVY_ROWS
     rows = level.select(
         F.slice("items", 1, size - 2).alias("prefix"), F.element_at("items", -1).alias("last")
     )
-    light, heavy, _ = split_heavy(rows, "prefix", heavy_rows)
+    light, heavy, sizes, _ = split_heavy(rows, "prefix", heavy_rows)
 
     def joined(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.concat("prefix", F.array("a", "b")).alias("items"))
@@ -62,7 +62,7 @@ def apriori_candidates(level: DataFrame, size: int, heavy_rows: int = HEAVY_ROWS
     candidates = joined(l.join(r, "prefix").filter("a < b"))
     if heavy is not None:
         keyed = heavy.select("prefix", F.struct("prefix", "last").alias("row"))
-        pairs = blocked_self_pairs(keyed, "prefix", "row", block_rows=heavy_rows)
+        pairs = blocked_self_pairs(keyed, sizes, "prefix", "row", block_rows=heavy_rows)
         candidates = candidates.unionByName(
             pairs.select(F.concat("a.prefix", F.array("a.last", "b.last")).alias("items"))
         )
@@ -83,10 +83,10 @@ def _heavy_support(sets: DataFrame, heavy: DataFrame, by: list[str], size: int)
     )
 
 
-def _heavy_pairs(heavy: DataFrame, by: list[str], heavy_rows: int) -> DataFrame:
+def _heavy_pairs(heavy: DataFrame, sizes: DataFrame, by: list[str], heavy_rows: int) -> DataFrame:
     """Supports of all pairs within the heavy baskets, each basket cut into blocks."""
     rows = heavy.select("basket", F.struct("item", *by).alias("row"))
-    pairs = blocked_self_pairs(rows, "basket", "row", block_rows=heavy_rows)
+    pairs = blocked_self_pairs(rows, sizes, "basket", "row", block_rows=heavy_rows)
     return pairs.groupBy(
         *[F.col(f"a.{c}").alias(c) for c in by], F.array("a.item", "b.item").alias("items")
     ).agg(F.count("*").alias("support"))
@@ -122,7 +122,7 @@ def mine_levels(
         return levels
 
     rows = rows.join(broadcast_if_small(singles.select(*by, "item"), n), [*by, "item"], "left_semi")
-    light, heavy, n_heavy = split_heavy(rows, "basket", heavy_rows)
+    light, heavy, sizes, n_heavy = split_heavy(rows, "basket", heavy_rows)
     # A fixed number of partitions stays as it is, so that every level finds it again.
     partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     light = light.select(*by, "basket", "item").repartition(partitions, "basket").persist()
@@ -149,7 +149,9 @@ def mine_levels(
         extended = extended.persist()
         counts = extended.groupBy(*by, "items").agg(F.count("*").alias("support"))
         if heavy is not None:
-            counts = _with_heavy(counts, level, heavy, by, size, threshold, n_heavy, candidates, heavy_rows)
+            counts = _with_heavy(
+                counts, level, heavy, sizes, by, size, threshold, n_heavy, candidates, heavy_rows
+            )
         level = materialize(counts.filter(F.col("support") >= threshold), "itemsets")
         n = level.count()
         levels.append(level)
@@ -168,6 +170,7 @@ def _with_heavy(
     counts: DataFrame,
     level: DataFrame,
     heavy: DataFrame,
+    sizes: DataFrame,
     by: list[str],
     size: int,
     threshold: float,
@@ -184,7 +187,7 @@ def _with_heavy(
         wanted = candidates.filter(F.size("items") >= size).select(F.slice("items", 1, size).alias("items"))
         more = _heavy_support(wanted.distinct(), heavy, by, size)
     elif size == 2:
-        more = _heavy_pairs(heavy, by, heavy_rows)
+        more = _heavy_pairs(heavy, sizes, by, heavy_rows)
     else:
         more = _heavy_support(_next_sets(level, by, size), heavy, by, size)
     both = counts.select(*by, "items", "support").unionByName(more.select(*by, "items", "support"))

@@ -11,7 +11,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftworks.functions.skew import HEAVY_ROWS, split_heavy
-from siftworks.operators.ratings import both_ways, known_rows, user_means
+from siftworks.operators.ratings import both_ways, rest_mean
+
+
+def _other_of(key: str) -> str:
+    return "item" if key == "user" else "user"
 
 
 def _lookup(rows: DataFrame, sim: DataFrame, left: str, right: str) -> DataFrame:
@@ -37,13 +41,13 @@ def _candidates(
     with very many is met from the similarities of the target, so that its whole
     group is never paired with each wanted row.
     """
-    rated = train.select(key, F.col(train_entity(key)).alias(other), "rating")
-    light, heavy, _ = split_heavy(rated, key, heavy_rows)
+    rated = train.select(key, F.col(_other_of(key)).alias(other), "rating")
+    light, heavy, sizes, _ = split_heavy(rated, key, heavy_rows)
     out = _lookup(wanted.join(light, key), sim, target, other)
     columns = [*wanted.columns, other, "rating", "similarity"]
     out = out.select(*columns)
     if heavy is not None:
-        hot = wanted.join(heavy.select(key).distinct(), key, "left_semi")
+        hot = wanted.join(sizes.select(key), key, "left_semi")
         similar = both_ways(sim, "similarity").select(
             F.col("a").alias(target), F.col("b").alias(other), "similarity"
         )
@@ -51,10 +55,6 @@ def _candidates(
     return out
 
 
-def train_entity(key: str) -> str:
-    return "item" if key == "user" else "user"
-
-
 def _choose(candidates: DataFrame, group: list[str], other: str, k: int, order: str) -> DataFrame:
     if order not in ("asc", "desc"):
         raise ValueError("order is 'asc' or 'desc'")
@@ -102,12 +102,13 @@ def user_neighbours(
 
 
 def item_predict(
-    test: DataFrame, train: DataFrame, neighbours: DataFrame, k: int = 10, min_nb: int = 1
+    test: DataFrame, totals: DataFrame, neighbours: DataFrame, k: int = 10, min_nb: int = 1
 ) -> DataFrame:
     """Similarity-weighted mean of the chosen ratings; the user's mean below ``min_nb`` neighbours.
 
-    ``neighbours`` must hold at least max(k, min_nb) ranks. Returns (user, item,
-    prediction, user_mean) for the test rows of known users.
+    ``totals`` is ``user_totals`` of training, ``neighbours`` must hold at least
+    max(k, min_nb) ranks. Returns (user, item, prediction, user_mean) for the test
+    rows of known users.
     """
     top = F.col("rank") <= k
     weighed = neighbours.groupBy("user", F.col("target").alias("item")).agg(
@@ -117,10 +118,9 @@ def item_predict(
             F.sum(F.when(top, F.abs("similarity"))),
         ).alias("_weighed"),
     )
-    means = user_means(train).select("user", F.col("mean").alias("user_mean"))
     return (
         test.select("user", "item")
-        .join(means, "user")
+        .join(totals.select("user", F.col("mean").alias("user_mean")), "user")
         .join(weighed, ["user", "item"], "left")
         .select(
             "user",
@@ -134,33 +134,31 @@ def item_predict(
 
 
 def user_predict(
-    test: DataFrame, train: DataFrame, neighbours: DataFrame, k: int = 10, min_nb: int = 5
+    known: DataFrame, totals: DataFrame, neighbours: DataFrame, k: int = 10, min_nb: int = 5
 ) -> DataFrame:
     """The user's mean plus the weighted deviation of the chosen raters from their own means.
 
     A rater's mean leaves the target item out. Below ``min_nb`` neighbours the
-    deviation is 0. Returns (user, item, prediction, user_mean) for the test
-    rows whose user and item are both known.
+    deviation is 0. ``known`` are the test rows whose user and item are both known;
+    returns (user, item, prediction, user_mean) for them.
     """
-    totals = train.groupBy("user").agg(F.count("*").alias("_n"), F.sum("rating").alias("_sum"))
-    of_neighbour = totals.select(F.col("user").alias("neighbour"), "_n", "_sum")
+    of_neighbour = totals.select(F.col("user").alias("neighbour"), "n", "total")
     top = F.col("rank") <= k
-    rest_mean = F.try_divide(F.col("_sum") - F.col("rating"), F.col("_n") - 1)
     weighed = (
         neighbours.join(of_neighbour, "neighbour")
         .groupBy("user", "item")
         .agg(
             F.count("*").alias("_nb"),
             F.try_divide(
-                F.sum(F.when(top, (F.col("rating") - rest_mean) * F.col("similarity"))),
+                F.sum(F.when(top, (F.col("rating") - rest_mean()) * F.col("similarity"))),
                 F.sum(F.when(top, F.col("similarity"))),
             ).alias("_shift"),
         )
     )
     shift = F.when(F.col("_nb") >= min_nb, F.col("_shift")).otherwise(F.lit(0.0))
     return (
-        known_rows(test, train, need_item=True)
-        .join(totals.select("user", (F.col("_sum") / F.col("_n")).alias("user_mean")), "user")
+        known.select("user", "item")
+        .join(totals.select("user", F.col("mean").alias("user_mean")), "user")
         .join(weighed, ["user", "item"], "left")
         .select("user", "item", (F.col("user_mean") + shift).alias("prediction"), "user_mean")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.functions.skew import (
@@ -12,13 +12,34 @@ from siftworks.functions.skew import (
     self_pairs,
     split_heavy,
 )
+from siftworks.sources.shared import materialize
 
 
-def known_rows(test: DataFrame, train: DataFrame, need_item: bool = False) -> DataFrame:
-    """Test rows whose user (and, with ``need_item``, whose item) occurs in training."""
-    known = test.join(train.select("user").distinct(), "user", "left_semi")
+def user_totals(ratings: DataFrame) -> DataFrame:
+    """(user, n, total, mean) as a stored table, ready to be joined to rows of hot users."""
+    return materialize(
+        ratings.groupBy("user").agg(
+            F.count("*").alias("n"), F.sum("rating").alias("total"), F.avg("rating").alias("mean")
+        ),
+        "user-totals",
+    )
+
+
+def user_means(ratings: DataFrame) -> DataFrame:
+    return ratings.groupBy("user").agg(F.count("*").alias("n"), F.avg("rating").alias("mean"))
+
+
+def known_rows(
+    test: DataFrame, train: DataFrame, need_item: bool = False, totals: DataFrame | None = None
+) -> DataFrame:
+    """Test rows whose user (and, with ``need_item``, whose item) occurs in training.
+
+    ``totals`` saves a pass over training where the caller has ``user_totals`` already.
+    """
+    users = materialize(train.select("user").distinct(), "users") if totals is None else totals.select("user")
+    known = test.join(users, "user", "left_semi")
     if need_item:
-        known = known.join(train.select("item").distinct(), "item", "left_semi")
+        known = known.join(materialize(train.select("item").distinct(), "items"), "item", "left_semi")
     return known.select("user", "item", "rating")
 
 
@@ -32,7 +53,9 @@ def histories(ratings: DataFrame, by: str = "user", chunk: int = 1000) -> DataFr
     other = "item" if by == "user" else "user"
     digest = F.md5(F.col(other).cast("string").cast("binary"))
     bucket = F.conv(F.substring(digest, 1, 7), 16, 10).cast("bigint")
-    sizes = ratings.groupBy(by).agg(F.ceil(F.count("*") / F.lit(chunk)).alias("_parts"))
+    sizes = materialize(
+        ratings.groupBy(by).agg(F.ceil(F.count("*") / F.lit(chunk)).alias("_parts")), "sizes"
+    )
     return (
         ratings.join(sizes, by)
         .withColumn("part", bucket % F.col("_parts"))
@@ -44,29 +67,28 @@ def histories(ratings: DataFrame, by: str = "user", chunk: int = 1000) -> DataFr
     )
 
 
-def user_means(ratings: DataFrame) -> DataFrame:
-    return ratings.groupBy("user").agg(F.count("*").alias("n"), F.avg("rating").alias("mean"))
-
-
 def leave_one_out_mean(ratings: DataFrame) -> DataFrame:
     """Each user's mean over all ratings but the row's own; NULL for a single rating."""
-    totals = ratings.groupBy("user").agg(F.count("*").alias("_n"), F.sum("rating").alias("_sum"))
+    totals = user_totals(ratings).select("user", "n", "total")
     return ratings.join(totals, "user").select(
-        "user",
-        "item",
-        F.try_divide(F.col("_sum") - F.col("rating"), F.col("_n") - 1).alias("loo_mean"),
+        "user", "item", rest_mean().alias("loo_mean")
     )
 
 
+def rest_mean() -> Column:
+    """The mean of a user's other ratings, from the columns of ``user_totals`` and ``rating``."""
+    return F.try_divide(F.col("total") - F.col("rating"), F.col("n") - 1)
+
+
 def unordered_pairs(
     ratings: DataFrame, entity: str, other: str, heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:
     """Distinct pairs ``a < b`` of entities that share at least one ``other``."""
     rows = ratings.select(other, entity)
-    light, heavy, _ = split_heavy(rows, other, heavy_rows)
+    light, heavy, sizes, _ = split_heavy(rows, other, heavy_rows)
     pairs = self_pairs(light, other, entity)
     if heavy is not None:
-        pairs = pairs.unionByName(blocked_self_pairs(heavy, other, entity, block_rows=heavy_rows))
+        pairs = pairs.unionByName(blocked_self_pairs(heavy, sizes, other, entity, block_rows=heavy_rows))
     return pairs.distinct()
 
 
@@ -95,12 +117,11 @@ def test_user_pairs(test: DataFrame, train: DataFrame, heavy_rows: int = HEAVY_R
     """Distinct (test user, rater of one of that user's test items), both known in training."""
     wanted = known_rows(test, train, need_item=True).select("item", "user")
     raters = train.select("item", F.col("user").alias("neighbour"))
-    light, heavy, _ = split_heavy(raters, "item", heavy_rows)
+    light, heavy, sizes, _ = split_heavy(raters, "item", heavy_rows)
     pairs = wanted.join(light, "item").select("user", "neighbour")
     if heavy is not None:
-        hot = wanted.join(heavy.select("item").distinct(), "item", "left_semi")
         pairs = pairs.unionByName(
-            blocked_join(hot, heavy, "item", heavy_rows).select("user", "neighbour")
+            blocked_join(wanted, heavy, sizes, "item", heavy_rows).select("user", "neighbour")
         )
     return pairs.distinct()
 

@@ -59,7 +59,7 @@ def _usable(ratings: DataFrame, entity: str, min_common: int) -> DataFrame:
         .filter((F.col("_n") >= min_common) & (F.col("_lo") < F.col("_hi")))
         .select(entity)
     )
-    return ratings.join(alive, entity, "left_semi")
+    return ratings.join(materialize(alive, "usable"), entity, "left_semi")
 
 
 def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str) -> DataFrame:
@@ -73,7 +73,7 @@ def _pair_moments(
     rows: DataFrame, entity: str, other: str, min_common: int, heavy_rows: int
 ) -> DataFrame:
     """Moments of every pair ``a < b`` with at least ``min_common`` shared entries."""
-    light, heavy, n_heavy = split_heavy(rows, other, heavy_rows)
+    light, heavy, sizes, n_heavy = split_heavy(rows, other, heavy_rows)
     enough = F.col("n") >= min_common
     from_light = _moments(self_pairs(light, other, entity, "rating"))
     if heavy is None:
@@ -85,9 +85,9 @@ def _pair_moments(
     if n_heavy >= min_common:
         # Pairs that meet in heavy groups only: both entities are in min_common of them.
         frequent = heavy.groupBy(entity).count().filter(F.col("count") >= min_common).select(entity)
-        shared = heavy.join(frequent, entity, "left_semi")
+        shared = heavy.join(materialize(frequent, "shared"), entity, "left_semi")
         only_heavy = _moments(
-            blocked_self_pairs(shared, other, entity, "rating", block_rows=heavy_rows)
+            blocked_self_pairs(shared, sizes, other, entity, "rating", heavy_rows)
         ).filter(enough)
         parts = parts.unionByName(only_heavy.join(from_light.select("a", "b"), ["a", "b"], "left_anti"))
     return _add_up(parts).filter(enough)

@@ -5,39 +5,50 @@ Vectors are long tables (doc_id, term, weight) of the non-zero entries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.functions.ordering import global_position
 from siftworks.functions.text import tokens
+from siftworks.sources.shared import materialize
+
+
+def _terms(rows: DataFrame, tokens_: Column, *carry: str | Column) -> DataFrame:
+    """One row per token. The outer form keeps Spark from testing the array, and so from
+    splitting the text, once more before the rows are made."""
+    return rows.select(*carry, F.explode_outer(tokens_).alias("term")).filter(F.col("term").isNotNull())
 
 
 def term_counts(corpus: DataFrame) -> DataFrame:
     """(doc_id, term, n). A document's tokens meet in one map task, so equal ones combine there."""
-    exploded = corpus.select("doc_id", F.explode(tokens("text")).alias("term"))
-    return exploded.groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    terms = _terms(corpus, tokens("text"), "doc_id")
+    return terms.groupBy("doc_id", "term").agg(F.count("*").alias("n"))
 
 
 def term_frequency(corpus: DataFrame) -> DataFrame:
     """(doc_id, term, tf): count over the number of tokens of the document."""
     split = corpus.select("doc_id", tokens("text").alias("_tokens"))
-    exploded = split.select("doc_id", F.size("_tokens").alias("_size"), F.explode("_tokens").alias("term"))
+    terms = _terms(split, F.col("_tokens"), "doc_id", F.size("_tokens").alias("_size"))
     return (
-        exploded.groupBy("doc_id", "_size", "term")
+        terms.groupBy("doc_id", "_size", "term")
         .agg(F.count("*").alias("_n"))
         .select("doc_id", "term", (F.col("_n") / F.col("_size")).alias("tf"))
     )
 
 
+def _document_terms(corpus: DataFrame) -> DataFrame:
+    """Each term once per document, made distinct within its row."""
+    return _terms(corpus, F.array_distinct(tokens("text")))
+
+
 def idf(corpus: DataFrame) -> DataFrame:
     """(term, df, idf) with idf = 1 + ln(N / df).
 
-    Terms are made distinct within their row, so the only shuffle is the
-    pre-aggregated count per term.
+    The only shuffle is that of the pre-aggregated count per term.
     """
     n_docs = corpus.agg(F.count("*").alias("n")).scalar()
     return (
-        corpus.select(F.explode(F.array_distinct(tokens("text"))).alias("term"))
+        _document_terms(corpus)
         .groupBy("term")
         .agg(F.count("*").alias("df"))
         .select("term", "df", (F.lit(1.0) + F.log(n_docs / F.col("df"))).alias("idf"))
@@ -45,10 +56,14 @@ def idf(corpus: DataFrame) -> DataFrame:
 
 
 def tfidf(corpus: DataFrame) -> DataFrame:
-    """(doc_id, term, weight) with weight = tf * idf."""
+    """(doc_id, term, weight) with weight = tf * idf.
+
+    The IDF table is stored first: the rows of a hot term can then be split over many tasks.
+    """
+    weights = materialize(idf(corpus).select("term", "idf"), "idf")
     return (
         term_frequency(corpus)
-        .join(idf(corpus).select("term", "idf"), "term")
+        .join(weights, "term")
         .select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     )
 
@@ -68,5 +83,4 @@ def features(corpus: DataFrame, feature: str) -> DataFrame:
 
 def vocabulary(corpus: DataFrame) -> DataFrame:
     """(term, idx): the distinct terms numbered from 0 in ascending order."""
-    terms = corpus.select(F.explode(F.array_distinct(tokens("text"))).alias("term")).distinct()
-    return global_position(terms, ["term"], "idx").select("term", "idx")
+    return global_position(_document_terms(corpus).distinct(), ["term"], "idx").select("term", "idx")

@@ -12,8 +12,9 @@ from siftworks.operators.neighbours import (
     user_neighbours,
     user_predict,
 )
-from siftworks.operators.ratings import known_rows
+from siftworks.operators.ratings import known_rows, user_totals
 from siftworks.operators.similarity import pair_similarity
+from siftworks.sources.shared import materialize
 
 
 def item_predictions(
@@ -25,9 +26,10 @@ def item_predictions(
     order: str = "asc",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
+    """(user, item, prediction, user_mean) of the test rows of known users."""
     sim = pair_similarity(train, "item", 2, min_sim, heavy_rows)
     chosen = item_neighbours(test, train, sim, max(k, min_nb), order, heavy_rows)
-    return item_predict(test, train, chosen, k, min_nb)
+    return item_predict(test, user_totals(train), chosen, k, min_nb)
 
 
 def item_cf(
@@ -39,10 +41,28 @@ def item_cf(
     order: str = "asc",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Item-based neighbourhood prediction: (user, item, rating, prediction, abs_err)."""
+    """Item-based neighbourhood prediction: (user, item, rating, prediction, abs_err).
+
+    A known user always has a prediction, so only unknown users get the fallback.
+    """
     return score(test, item_predictions(train, test, k, min_sim, min_nb, order, heavy_rows))
 
 
+def _user_predictions(
+    train: DataFrame,
+    known: DataFrame,
+    totals: DataFrame,
+    k: int,
+    min_sim: float,
+    min_nb: int,
+    order: str,
+    heavy_rows: int,
+) -> DataFrame:
+    sim = pair_similarity(train, "user", 2, min_sim, heavy_rows)
+    chosen = user_neighbours(known, train, sim, max(k, min_nb), order, heavy_rows)
+    return user_predict(known, totals, chosen, k, min_nb)
+
+
 def user_predictions(
     train: DataFrame,
     test: DataFrame,
@@ -52,10 +72,10 @@ def user_predictions(
     order: str = "asc",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    sim = pair_similarity(train, "user", 2, min_sim, heavy_rows)
-    known = known_rows(test, train, need_item=True)
-    chosen = user_neighbours(known, train, sim, max(k, min_nb), order, heavy_rows)
-    return user_predict(test, train, chosen, k, min_nb)
+    """(user, item, prediction, user_mean) of the test rows whose user and item are known."""
+    totals = user_totals(train)
+    known = known_rows(test, train, True, totals)
+    return _user_predictions(train, known, totals, k, min_sim, min_nb, order, heavy_rows)
 
 
 def user_cf(
@@ -67,5 +87,13 @@ def user_cf(
     order: str = "asc",
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """User-based neighbourhood prediction: (user, item, rating, prediction, abs_err)."""
-    return score(test, user_predictions(train, test, k, min_sim, min_nb, order, heavy_rows))
+    """User-based neighbourhood prediction: (user, item, rating, prediction, abs_err).
+
+    The mean of a user stands in for a row with an unknown item only if some other
+    test row of that user has a known one.
+    """
+    totals = user_totals(train)
+    known = known_rows(test, train, True, totals)
+    predicted = _user_predictions(train, known, totals, k, min_sim, min_nb, order, heavy_rows)
+    means = totals.join(known.select("user").distinct(), "user", "left_semi").select("user", "mean")
+    return score(test, predicted, materialize(means, "means"))

@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from siftworks.functions.ordering import global_position
-from siftworks.functions.skew import blocked_join, blocked_self_pairs, self_pairs
+from siftworks.functions.skew import blocked_join, blocked_self_pairs, self_pairs, split_heavy
 from siftworks.operators import similarity, text
 from siftworks.operators.kmeans import cluster_terms
 from siftworks.operators.neighbours import item_neighbours
@@ -65,11 +65,13 @@ def test_no_row_passes_a_single_partition_when_numbering(spark):
 def test_a_hot_key_is_cut_into_blocks(spark):
     hot = spark.range(400).select(F.lit(1).alias("k"), F.col("id").alias("e"), (F.col("id") * 2).alias("v"))
     small = self_pairs(hot, "k", "e", "v")
-    cut = blocked_self_pairs(hot, "k", "e", "v", block_rows=50)
+    split = split_heavy(hot, "k", 50)
+    assert split.n_heavy == 1 and split.light.count() == 0
+    cut = blocked_self_pairs(split.heavy, split.sizes, "k", "e", "v", block_rows=50)
     assert rows(cut, "a", "ra", "b", "rb") == rows(small, "a", "ra", "b", "rb")
     left = hot.select("k", F.col("e").alias("x")).limit(120)
     right = hot.select("k", F.col("e").alias("y"))
-    assert rows(blocked_join(left, right, "k", 30)) == rows(left.join(right, "k"))
+    assert rows(blocked_join(left, right, split.sizes, "k", 30)) == rows(left.join(right, "k"))
 
 
 def test_adaptive_execution_splits_a_skewed_dimension_join(spark):
@@ -78,6 +80,7 @@ def test_adaptive_execution_splits_a_skewed_dimension_join(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.shuffle.partitions": "16",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     }
@@ -85,11 +88,11 @@ def test_adaptive_execution_splits_a_skewed_dimension_join(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        docs = spark.range(0, 20000, 1, 8).select(
+        docs = spark.range(0, 40000, 1, 8).select(
             F.col("id").alias("doc_id"), F.concat(F.lit("the w"), (F.col("id") % 9000).cast("string")).alias("text")
         )
         df = text.tfidf(docs)
-        assert df.groupBy().count().first()[0] == 40000
+        assert df.groupBy().count().first()[0] == 80000
         out = df.select(F.sum("weight").alias("s"))
         out.collect()
         assert "skew=true" in plan(out)
