@@ -193,27 +193,27 @@ def baskets_load(spark, sf):
 
 @query
 def itemset_candidates_k2(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     singles = itemsets.frequent_items(b, support_of(b, 0.025))
     return joined_items(itemsets.apriori_candidates(singles, 2))
 
 
 @query
 def itemset_candidates_k3(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     pairs = itemsets.mine_levels(b, support_of(b, 0.025), max_k=2)[1]
     return joined_items(itemsets.apriori_candidates(pairs, 3))
 
 
 @query
 def frequent_itemsets_k1(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     return joined_items(itemsets.frequent_items(b, support_of(b, 0.005)))
 
 
 @query
 def frequent_itemsets_k2(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     s = support_of(b, 0.025)
     candidates = itemsets.apriori_candidates(itemsets.frequent_items(b, s), 2)
     return joined_items(itemsets.frequent_level(b, candidates, s))
@@ -221,7 +221,7 @@ def frequent_itemsets_k2(spark, sf):
 
 @query
 def frequent_itemsets_k3(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     s = support_of(b, 0.005)
     candidates = itemsets.apriori_candidates(itemsets.mine_levels(b, s, max_k=2)[1], 3)
     return joined_items(itemsets.frequent_level(b, candidates, s))
@@ -229,19 +229,19 @@ def frequent_itemsets_k3(spark, sf):
 
 @query
 def frequent_itemsets_all(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     return joined_items(mining.apriori(b, support_of(b, 0.005)))
 
 
 @query
 def son_frequent_itemsets(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     return joined_items(mining.son(b, support_of(b, 0.005), partitions=4))
 
 
 @query
 def itemset_report(spark, sf):
-    b = views.baskets(spark, sf)
+    b = views.stored_baskets(spark, sf)
     return itemsets.itemset_report(mining.apriori(b, support_of(b, 0.005)), per_line=100)
 
 

@@ -38,15 +38,21 @@ def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def split_heavy(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> Split:
+def split_heavy(
+    df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS, partner: DataFrame | None = None
+) -> Split:
     """Split ``df`` by group size: light groups, heavy groups, sizes (key, count) of the heavy
     groups and their number.
 
     The sizes are one map-side combined count, so a hot group costs one row per
     task in that shuffle. ``heavy`` is None when there is no heavy group, which
-    keeps the usual plan free of the second route.
+    keeps the usual plan free of the second route. The rows of ``partner``, a table
+    to be joined on the key, count towards a group as well.
     """
-    sizes = df.groupBy(key).count().filter(F.col("count") > heavy_rows)
+    keys = df.select(key)
+    if partner is not None:
+        keys = keys.unionByName(partner.select(key))
+    sizes = keys.groupBy(key).count().filter(F.col("count") > heavy_rows)
     n = sizes.count()
     if n == 0:
         return Split(df, None, None, 0)
@@ -55,12 +61,34 @@ def split_heavy(df: DataFrame, key: str, heavy_rows: int = HEAVY_ROWS) -> Split:
     return Split(df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), sizes, n)
 
 
-def self_pairs(df: DataFrame, key: str, entity: str, value: str | None = None) -> DataFrame:
-    """Unordered pairs ``a < b`` of entities that share ``key``, for groups of moderate size."""
-    left = [key, F.col(entity).alias("a")] + ([F.col(value).alias("ra")] if value else [])
-    right = [key, F.col(entity).alias("b")] + ([F.col(value).alias("rb")] if value else [])
-    joined = df.select(*left).join(df.select(*right), key)
-    return joined.filter("a < b").drop(key)
+def _a_and_b(left: str, right: str, entity: str, carry: list[str]) -> list[Column]:
+    """``a < b`` and the carried columns of either, whichever side of the join they came from."""
+    first = F.col(f"{left}.{entity}") < F.col(f"{right}.{entity}")
+    out = []
+    for name, low, high in [(entity, "a", "b"), *[(c, f"{c}_a", f"{c}_b") for c in carry]]:
+        l, r = F.col(f"{left}.{name}"), F.col(f"{right}.{name}")
+        out += [F.when(first, l).otherwise(r).alias(low), F.when(first, r).otherwise(l).alias(high)]
+    return out
+
+
+def self_pairs(
+    df: DataFrame, key: str, entity: str, carry: list[str] | None = None, wanted: str | None = None
+) -> DataFrame:
+    """Unordered pairs ``a < b`` of entities that share ``key``, for groups of moderate size.
+
+    A column c of ``carry`` comes along as c_a and c_b. With the boolean column ``wanted`` only
+    pairs with a wanted entity are made: wanted rows meet all rows, not all rows each other.
+    """
+    carry = carry or []
+    l, r = df.alias("l"), df.alias("r")
+    same = F.col(f"l.{key}") == F.col(f"r.{key}")
+    before = F.col(f"l.{entity}") < F.col(f"r.{entity}")
+    if wanted is None:
+        met = l.join(r, same & before)
+    else:
+        other = F.col(f"l.{entity}") != F.col(f"r.{entity}")
+        met = l.filter(F.col(wanted)).join(r, same & other & (before | ~F.col(f"r.{wanted}")))
+    return met.select(*_a_and_b("l", "r", entity, carry))
 
 
 def _block_counts(sizes: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
@@ -72,7 +100,8 @@ def blocked_self_pairs(
     sizes: DataFrame,
     key: str,
     entity: str,
-    value: str | None = None,
+    carry: list[str] | None = None,
+    wanted: str | None = None,
     block_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """The same pairs for heavy groups, each group cut into blocks of about ``block_rows``.
@@ -81,61 +110,52 @@ def blocked_self_pairs(
     so a group of n rows becomes (n / block_rows)^2 / 2 equal join groups spread over the
     cluster instead of one. ``sizes`` is that of ``split_heavy``.
     """
+    carry = carry or []
     blocks = _block_counts(sizes, key, block_rows, "blocks")
     rows = df.join(blocks, key).withColumn("block", F.pmod(F.xxhash64(entity), F.col("blocks")).cast("int"))
-    carry = [F.col(entity).alias("e")] + ([F.col(value).alias("v")] if value else [])
-    left = rows.select(
-        key, *carry, F.col("block").alias("lo"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("hi")
-    )
-    right = rows.select(
-        key, *carry, F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi")
-    )
-    l, r = left.alias("l"), right.alias("r")
+    columns = [key, entity, *carry, *([wanted] if wanted else [])]
+    l = rows.select(
+        *columns, F.col("block").alias("lo"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("hi")
+    ).alias("l")
+    r = rows.select(
+        *columns, F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi")
+    ).alias("r")
+    once = (F.col("l.lo") < F.col("l.hi")) | (F.col(f"l.{entity}") < F.col(f"r.{entity}"))
+    if wanted:
+        once = once & (F.col(f"l.{wanted}") | F.col(f"r.{wanted}"))
     met = l.join(
         r,
         (F.col(f"l.{key}") == F.col(f"r.{key}"))
         & (F.col("l.lo") == F.col("r.lo"))
         & (F.col("l.hi") == F.col("r.hi"))
-        & ((F.col("l.lo") < F.col("l.hi")) | (F.col("l.e") < F.col("r.e"))),
+        & once,
     )
-    first = F.col("l.e") < F.col("r.e")
-
-    def pick(name: str) -> tuple[Column, Column]:
-        lo, hi = F.col(f"l.{name}"), F.col(f"r.{name}")
-        return F.when(first, lo).otherwise(hi), F.when(first, hi).otherwise(lo)
-
-    a, b = pick("e")
-    out = [a.alias("a"), b.alias("b")]
-    if value:
-        ra, rb = pick("v")
-        out = [a.alias("a"), ra.alias("ra"), b.alias("b"), rb.alias("rb")]
-    return met.select(*out)
+    return met.select(*_a_and_b("l", "r", entity, carry))
 
 
 def blocked_join(
     left: DataFrame,
     right: DataFrame,
-    right_sizes: DataFrame,
+    sizes: DataFrame,
     key: str,
     block_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
-    """Inner join on the heavy keys of ``right``, which may hold very many rows of ``left`` too.
+    """Inner join on heavy keys, which may hold very many rows on both sides.
 
     Each side of a group is cut into blocks of about ``block_rows`` and every
     block of one side meets every block of the other in a join group of its own.
+    ``sizes`` (key, ...) lists the keys.
     """
 
     def cut(df: DataFrame, blocks: str, block: str) -> DataFrame:
         carried = [c for c in df.columns if c != key]
         return df.withColumn(block, F.pmod(F.xxhash64(*carried), F.col(blocks)).cast("int"))
 
-    left_sizes = left.join(right_sizes.select(key), key, "left_semi").groupBy(key).count()
-    both = materialize(
-        _block_counts(left_sizes, key, block_rows, "_lb").join(
-            _block_counts(right_sizes, key, block_rows, "_rb"), key
-        ),
-        "blocks",
-    )
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        counted = df.join(sizes.select(key), key, "left_semi").groupBy(key).count()
+        return _block_counts(counted, key, block_rows, name)
+
+    both = materialize(blocks(left, "_lb").join(blocks(right, "_rb"), key), "blocks")
     both = broadcast_if_small(both, both.count())
     l = cut(left.join(both, key), "_lb", "_i").withColumn("_j", F.explode(F.expr("sequence(0, _rb - 1)")))
     r = cut(right.join(both, key), "_rb", "_j").withColumn("_i", F.explode(F.expr("sequence(0, _lb - 1)")))

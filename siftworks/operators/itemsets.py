@@ -109,7 +109,8 @@ def mine_levels(
     by = by or []
     if by and candidates is not None:
         raise ValueError("candidates are counted over all baskets, without 'by'")
-    rows = baskets.select(*by, "basket", "item").distinct()
+    distinct = baskets.select(*by, "basket", "item").distinct().persist()
+    rows = distinct
     singles = rows.groupBy(*by, "item").agg(F.count("*").alias("support"))
     if candidates is not None:
         wanted = candidates.select(F.explode("items").alias("item")).distinct()
@@ -119,6 +120,7 @@ def mine_levels(
     level = singles.select(*by, F.array("item").alias("items"), "support")
     levels = [level]
     if n == 0 or max_k == 1:
+        distinct.unpersist()
         return levels
 
     rows = rows.join(broadcast_if_small(singles.select(*by, "item"), n), [*by, "item"], "left_semi")
@@ -161,7 +163,7 @@ def mine_levels(
         kept.append(extended)
         if len(kept) > 1:
             kept.pop(0).unpersist()
-    for df in (*kept, light):
+    for df in (*kept, light, distinct):
         df.unpersist()
     return levels
 

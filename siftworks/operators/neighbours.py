@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.skew import HEAVY_ROWS, split_heavy
 from siftworks.operators.ratings import both_ways, rest_mean
+from siftworks.sources.shared import materialize
 
 
 def _other_of(key: str) -> str:
@@ -37,12 +38,14 @@ def _candidates(
     """(wanted columns, other, rating, similarity) for every train row that shares ``key``
     with a wanted row and whose ``other`` is similar to the row's ``target``.
 
-    A key with few train rows is joined first and then looked up among the similarities. A key
+    A key with few rows is joined first and then looked up among the similarities. A key
     with very many is met from the similarities of the target, so that its whole
     group is never paired with each wanted row.
     """
     rated = train.select(key, F.col(_other_of(key)).alias(other), "rating")
-    light, heavy, sizes, _ = split_heavy(rated, key, heavy_rows)
+    light, heavy, sizes, _ = split_heavy(rated, key, heavy_rows, partner=wanted)
+    if heavy is not None:
+        sim = materialize(sim, "similarity")
     out = _lookup(wanted.join(light, key), sim, target, other)
     columns = [*wanted.columns, other, "rating", "similarity"]
     out = out.select(*columns)

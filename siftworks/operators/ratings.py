@@ -117,7 +117,7 @@ def test_user_pairs(test: DataFrame, train: DataFrame, heavy_rows: int = HEAVY_R
     """Distinct (test user, rater of one of that user's test items), both known in training."""
     wanted = known_rows(test, train, need_item=True).select("item", "user")
     raters = train.select("item", F.col("user").alias("neighbour"))
-    light, heavy, sizes, _ = split_heavy(raters, "item", heavy_rows)
+    light, heavy, sizes, _ = split_heavy(raters, "item", heavy_rows, partner=wanted)
     pairs = wanted.join(light, "item").select("user", "neighbour")
     if heavy is not None:
         pairs = pairs.unionByName(

@@ -22,7 +22,7 @@ NOISE = 1e-12
 
 
 def _moments(pairs: DataFrame) -> DataFrame:
-    a, b = F.col("ra"), F.col("rb")
+    a, b = F.col("rating_a"), F.col("rating_b")
     return pairs.groupBy("a", "b").agg(
         F.count("*").alias("n"),
         F.sum(a).alias("sa"),
@@ -47,11 +47,12 @@ def absolute_pearson() -> Column:
     return F.when(varies, F.abs(num) / F.sqrt(da * db))
 
 
-def _usable(ratings: DataFrame, entity: str, min_common: int) -> DataFrame:
+def _usable(ratings: DataFrame, entity: str, min_common: int, targets: DataFrame | None) -> DataFrame:
     """Rows of entities that can have a defined similarity to anything at all.
 
     Fewer ratings than the overlap needed, or one constant rating, rules an
-    entity out for every partner, so dropping it first changes no result.
+    entity out for every partner, so dropping it first changes no result. The
+    column ``wanted`` tells the targets.
     """
     alive = (
         ratings.groupBy(entity)
@@ -59,23 +60,30 @@ def _usable(ratings: DataFrame, entity: str, min_common: int) -> DataFrame:
         .filter((F.col("_n") >= min_common) & (F.col("_lo") < F.col("_hi")))
         .select(entity)
     )
-    return ratings.join(materialize(alive, "usable"), entity, "left_semi")
+    if targets is None:
+        alive = alive.withColumn("wanted", F.lit(True))
+    else:
+        flagged = targets.select(entity).distinct().withColumn("_target", F.lit(True))
+        alive = alive.join(flagged, entity, "left").select(
+            entity, F.coalesce("_target", F.lit(False)).alias("wanted")
+        )
+    return ratings.join(materialize(alive, "usable"), entity)
 
 
 def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str) -> DataFrame:
     """What the heavy groups add to the given pairs, by two lookups instead of all their pairs."""
-    left = heavy.select(F.col(entity).alias("a"), other, F.col("rating").alias("ra"))
-    right = heavy.select(F.col(entity).alias("b"), other, F.col("rating").alias("rb"))
+    left = heavy.select(F.col(entity).alias("a"), other, F.col("rating").alias("rating_a"))
+    right = heavy.select(F.col(entity).alias("b"), other, F.col("rating").alias("rating_b"))
     return _moments(pairs.select("a", "b").join(left, "a").join(right, ["b", other]))
 
 
 def _pair_moments(
-    rows: DataFrame, entity: str, other: str, min_common: int, heavy_rows: int
+    rows: DataFrame, entity: str, other: str, min_common: int, wanted: str | None, heavy_rows: int
 ) -> DataFrame:
     """Moments of every pair ``a < b`` with at least ``min_common`` shared entries."""
     light, heavy, sizes, n_heavy = split_heavy(rows, other, heavy_rows)
     enough = F.col("n") >= min_common
-    from_light = _moments(self_pairs(light, other, entity, "rating"))
+    from_light = _moments(self_pairs(light, other, entity, ["rating"], wanted))
     if heavy is None:
         return from_light.filter(enough)
     # A pair can meet in at most n_heavy heavy groups, so one that meets in fewer than
@@ -87,7 +95,7 @@ def _pair_moments(
         frequent = heavy.groupBy(entity).count().filter(F.col("count") >= min_common).select(entity)
         shared = heavy.join(materialize(frequent, "shared"), entity, "left_semi")
         only_heavy = _moments(
-            blocked_self_pairs(shared, sizes, other, entity, "rating", heavy_rows)
+            blocked_self_pairs(shared, sizes, other, entity, ["rating"], wanted, heavy_rows)
         ).filter(enough)
         parts = parts.unionByName(only_heavy.join(from_light.select("a", "b"), ["a", "b"], "left_anti"))
     return _add_up(parts).filter(enough)
@@ -98,18 +106,21 @@ def pair_similarity(
     entity: str = "item",
     min_common: int = 2,
     min_sim: float = 0.01,
+    targets: DataFrame | None = None,
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Similarities of unordered pairs ``a <= b``: (a, b, n_common, similarity).
 
     Undefined similarities are dropped like those below ``min_sim``. An entity
-    is also paired with itself.
+    is also paired with itself. With ``targets``, a table with the entity's column,
+    only pairs with at least one target are computed.
     """
     other = "user" if entity == "item" else "item"
-    rows = _usable(ratings.select(entity, other, "rating"), entity, min_common)
+    rows = _usable(ratings.select(entity, other, "rating"), entity, min_common, targets)
     r = F.col("rating")
     selves = (
-        rows.groupBy(entity)
+        rows.filter("wanted")
+        .groupBy(entity)
         .agg(F.count("*").alias("n"), F.sum(r).alias("sa"), F.sum(r * r).alias("saa"))
         .select(
             F.col(entity).alias("a"),
@@ -122,7 +133,8 @@ def pair_similarity(
             F.col("saa").alias("sbb"),
         )
     )
-    moments = _pair_moments(rows, entity, other, min_common, heavy_rows).unionByName(selves)
+    wanted = None if targets is None else "wanted"
+    moments = _pair_moments(rows, entity, other, min_common, wanted, heavy_rows).unionByName(selves)
     return moments.select(
         "a", "b", F.col("n").alias("n_common"), absolute_pearson().alias("similarity")
     ).filter(F.col("similarity") >= min_sim)
@@ -137,9 +149,9 @@ def pearson_similarity(
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Similarities of ordered pairs, optionally only for ``pairs`` given as (a, b)."""
-    both = both_ways(
-        pair_similarity(ratings, entity, min_common, min_sim, heavy_rows), "n_common", "similarity"
-    )
+    targets = None if pairs is None else pairs.select(F.col("a").alias(entity))
+    similar = pair_similarity(ratings, entity, min_common, min_sim, targets, heavy_rows)
+    both = both_ways(similar, "n_common", "similarity")
     if pairs is not None:
         both = both.join(pairs.select("a", "b").distinct(), ["a", "b"], "left_semi")
     return both.select("a", "b", "n_common", "similarity")

@@ -27,9 +27,11 @@ def item_predictions(
     heavy_rows: int = HEAVY_ROWS,
 ) -> DataFrame:
     """(user, item, prediction, user_mean) of the test rows of known users."""
-    sim = pair_similarity(train, "item", 2, min_sim, heavy_rows)
+    totals = user_totals(train)
+    targets = known_rows(test, train, totals=totals)
+    sim = pair_similarity(train, "item", 2, min_sim, targets, heavy_rows)
     chosen = item_neighbours(test, train, sim, max(k, min_nb), order, heavy_rows)
-    return item_predict(test, user_totals(train), chosen, k, min_nb)
+    return item_predict(test, totals, chosen, k, min_nb)
 
 
 def item_cf(
@@ -58,7 +60,7 @@ def _user_predictions(
     order: str,
     heavy_rows: int,
 ) -> DataFrame:
-    sim = pair_similarity(train, "user", 2, min_sim, heavy_rows)
+    sim = pair_similarity(train, "user", 2, min_sim, known, heavy_rows)
     chosen = user_neighbours(known, train, sim, max(k, min_nb), order, heavy_rows)
     return user_predict(known, totals, chosen, k, min_nb)
 

@@ -60,6 +60,11 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The baskets as the table that the mining runs read."""
+    return materialize(baskets(spark, sf_dir), "baskets")
+
+
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text")
 

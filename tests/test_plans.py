@@ -64,11 +64,17 @@ def test_no_row_passes_a_single_partition_when_numbering(spark):
 
 def test_a_hot_key_is_cut_into_blocks(spark):
     hot = spark.range(400).select(F.lit(1).alias("k"), F.col("id").alias("e"), (F.col("id") * 2).alias("v"))
-    small = self_pairs(hot, "k", "e", "v")
+    small = self_pairs(hot, "k", "e", ["v"])
     split = split_heavy(hot, "k", 50)
     assert split.n_heavy == 1 and split.light.count() == 0
-    cut = blocked_self_pairs(split.heavy, split.sizes, "k", "e", "v", block_rows=50)
-    assert rows(cut, "a", "ra", "b", "rb") == rows(small, "a", "ra", "b", "rb")
+    cut = blocked_self_pairs(split.heavy, split.sizes, "k", "e", ["v"], block_rows=50)
+    assert cut.columns == small.columns == ["a", "b", "v_a", "v_b"]
+    assert rows(cut) == rows(small) and rows(cut)[0] == (0, 1, 0, 2)
+    flagged = hot.withColumn("w", F.col("e") % 10 == 0)
+    some = self_pairs(flagged, "k", "e", ["v"], "w")
+    assert rows(some) == [p for p in rows(small) if p[0] % 10 == 0 or p[1] % 10 == 0]
+    heavy = split_heavy(flagged, "k", 50).heavy
+    assert rows(blocked_self_pairs(heavy, split.sizes, "k", "e", ["v"], "w", 50)) == rows(some)
     left = hot.select("k", F.col("e").alias("x")).limit(120)
     right = hot.select("k", F.col("e").alias("y"))
     assert rows(blocked_join(left, right, split.sizes, "k", 30)) == rows(left.join(right, "k"))
