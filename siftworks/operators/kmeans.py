@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftworks.functions.hashing import priority
-from siftworks.operators.vectors import PLACES, euclidean
+from siftworks.operators.vectors import nearest
 
 
 def choose_start(docs: DataFrame, k: int, seed: int) -> DataFrame:
@@ -26,13 +26,7 @@ def init_centroids(vectors: DataFrame, docs: DataFrame, k: int, seed: int) -> Da
 
 def assign(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """(doc_id, cluster, distance, sqdist): the nearest centroid, the lower id on a tie."""
-    measured = euclidean(vectors, docs, centroids, k)
-    nearest = measured.groupBy("doc_id").agg(
-        F.min(
-            F.struct(F.round("distance", PLACES).alias("_d"), F.col("cluster"), F.col("distance"), F.col("sqdist"))
-        ).alias("_n")
-    )
-    return nearest.select("doc_id", "_n.cluster", "_n.distance", "_n.sqdist")
+    return nearest(vectors, docs, centroids, k)
 
 
 def update_centroids(vectors: DataFrame, assignment: DataFrame, old: DataFrame) -> DataFrame:

@@ -8,59 +8,101 @@ terms; everything else comes from the two norms:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Squared distances are rounded to this many places, distances too, before they are
 # compared: sums in another order must not decide between two equally near centroids.
 PLACES = 9
 
+BY_CLUSTER = "map<int,double>"
 
-def _products(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, cluster, dot, doc_norm, cluster_norm) for every document and cluster 0..k-1."""
+
+def _by_cluster(value: str) -> Column:
+    return F.map_from_entries(F.collect_list(F.struct(F.col("cluster").cast("int"), value)))
+
+
+def _products(vectors: DataFrame, docs: DataFrame, centroids: DataFrame) -> DataFrame:
+    """(doc_id, doc_norm, dots, norms): one row per document.
+
+    ``dots`` has the products by cluster, ``norms`` the squared norms of the
+    centroids; clusters that are missing in them have zero. Both have at most
+    one entry per cluster. Where the vectors are partitioned by document and the
+    centroids are broadcast, nothing here is shuffled.
+    """
+    squares = F.sum(F.col("weight") * F.col("weight"))
     dots = (
         vectors.join(centroids.withColumnRenamed("weight", "_c"), "term")
         .groupBy("doc_id", "cluster")
         .agg(F.sum(F.col("weight") * F.col("_c")).alias("_dot"))
+        .groupBy("doc_id")
+        .agg(_by_cluster("_dot").alias("_dots"))
     )
-    squares = F.sum(F.col("weight") * F.col("weight"))
     doc_norms = vectors.groupBy("doc_id").agg(squares.alias("_doc"))
-    cluster_norms = centroids.groupBy("cluster").agg(squares.alias("_cluster"))
-    grid = (
+    norms = centroids.groupBy("cluster").agg(squares.alias("_norm")).agg(_by_cluster("_norm"))
+    none = F.map_from_arrays(F.array(), F.array()).cast(BY_CLUSTER)
+    return (
         docs.select("doc_id")
         .join(doc_norms, "doc_id", "left")
-        .withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
-    )
-    return (
-        grid.join(dots, ["doc_id", "cluster"], "left")
-        # one row per cluster: k is a parameter
-        .join(F.broadcast(cluster_norms), "cluster", "left")
+        .join(dots, "doc_id", "left")
         .select(
             "doc_id",
-            "cluster",
-            F.coalesce("_dot", F.lit(0.0)).alias("dot"),
             F.coalesce("_doc", F.lit(0.0)).alias("doc_norm"),
-            F.coalesce("_cluster", F.lit(0.0)).alias("cluster_norm"),
+            F.coalesce("_dots", none).alias("dots"),
+            norms.scalar().alias("norms"),
         )
     )
 
 
+def _at(values: str, cluster: Column) -> Column:
+    return F.coalesce(F.try_element_at(F.col(values), cluster), F.lit(0.0))
+
+
+def _clusters(k: int) -> Column:
+    return F.sequence(F.lit(0), F.lit(k - 1))
+
+
+def _square(cluster: Column) -> Column:
+    square = F.col("doc_norm") + _at("norms", cluster) - 2 * _at("dots", cluster)
+    return F.greatest(F.round(square, PLACES), F.lit(0.0))
+
+
 def euclidean(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
-    """(doc_id, cluster, sqdist, distance) for every document and cluster.
+    """(doc_id, cluster, sqdist, distance) for every document and cluster 0..k-1.
 
     ``docs`` lists all documents, so that those without terms take part as zero vectors.
     """
-    square = F.col("doc_norm") + F.col("cluster_norm") - 2 * F.col("dot")
-    return _products(vectors, docs, centroids, k).select(
-        "doc_id",
-        "cluster",
-        F.greatest(F.round(square, PLACES), F.lit(0.0)).alias("sqdist"),
-    ).withColumn("distance", F.sqrt("sqdist"))
+    entry = lambda c: F.struct(c.alias("cluster"), _square(c).alias("sqdist"))
+    return (
+        _products(vectors, docs, centroids)
+        .select("doc_id", F.inline(F.transform(_clusters(k), entry)))
+        .withColumn("distance", F.sqrt("sqdist"))
+    )
+
+
+def nearest(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, cluster, distance, sqdist): the nearest centroid, the lower id on a tie.
+
+    The choice is made within the document's row.
+    """
+
+    def entry(c: Column) -> Column:
+        square = _square(c)
+        return F.struct(F.round(F.sqrt(square), PLACES).alias("near"), c.alias("cluster"), square.alias("sqdist"))
+
+    best = F.array_min(F.transform(_clusters(k), entry))
+    return (
+        _products(vectors, docs, centroids)
+        .select("doc_id", best.alias("_best"))
+        .select("doc_id", "_best.cluster", F.sqrt("_best.sqdist").alias("distance"), "_best.sqdist")
+    )
 
 
 def cosine(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """(doc_id, cluster, similarity); NULL where either vector is zero."""
-    norm = F.sqrt("doc_norm") * F.sqrt("cluster_norm")
-    return _products(vectors, docs, centroids, k).select(
-        "doc_id", "cluster", F.try_divide(F.col("dot"), norm).alias("similarity")
-    )
+
+    def entry(c: Column) -> Column:
+        norm = F.sqrt("doc_norm") * F.sqrt(_at("norms", c))
+        return F.struct(c.alias("cluster"), F.try_divide(_at("dots", c), norm).alias("similarity"))
+
+    return _products(vectors, docs, centroids).select("doc_id", F.inline(F.transform(_clusters(k), entry)))

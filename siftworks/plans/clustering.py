@@ -40,17 +40,20 @@ def lloyd(
 
     The vectors stay partitioned by document through all rounds, so with
     centroids small enough to broadcast only the partial sums of the centroids are
-    shuffled. Centroids are written after each round, which bounds the lineage.
+    shuffled. Assignment and centroids are written in each round, which bounds the lineage.
     """
     if iters < 1:
         raise ValueError("at least one round is needed")
     partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     held = vectors.repartition(partitions, "doc_id").persist()
+    docs = docs.select("doc_id").repartition(partitions, "doc_id").persist()
     centroids = _stored(start if start is not None else init_centroids(held, docs, k, seed))
-    for _ in range(iters - 1):
-        centroids = _stored(update_centroids(held, assign(held, docs, centroids, k), centroids))
     assignment = materialize(assign(held, docs, centroids, k), "assignment")
+    for _ in range(iters - 1):
+        centroids = _stored(update_centroids(held, assignment, centroids))
+        assignment = materialize(assign(held, docs, centroids, k), "assignment")
     held.unpersist()
+    docs.unpersist()
     return Clustering(vectors, assignment, centroids)
 
 
