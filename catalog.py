@@ -26,8 +26,9 @@ from siftworks.operators import (
 from siftworks.operators.reservoir import reservoir
 from siftworks.plans import clustering, mining, recommend
 from siftworks.sources import testviews as views
-from siftworks.sources.readers import read_stream
+from siftworks.sources.readers import read_baskets, read_ratings, read_stream
 from siftworks.sources.shared import materialize, new_path
+from siftworks.sources.writers import write_predictions
 from siftworks.streaming import bloom as bloom_streams
 from siftworks.streaming import reservoir as reservoir_streams
 
@@ -52,6 +53,15 @@ def ratings_load(spark, sf):
     return views.ratings(spark, sf)
 
 
+@query
+def ratings_csv(spark, sf):
+    """The ratings written as CSV with a header and read back."""
+    path = new_path(spark, "ratings-csv")
+    views.ratings(spark, sf).write.option("header", True).csv(path)
+    read = read_ratings(spark, path)
+    return read.select(F.col("user").cast("bigint"), F.col("item").cast("bigint"), "rating")
+
+
 @query
 def known_test_rows(spark, sf):
     train, test = views.split_ratings(spark, sf)
@@ -132,6 +142,16 @@ def cf_item_predictions(spark, sf):
     return rounded(predicted.select("user", "item", "prediction"), "prediction")
 
 
+@query
+def predictions_csv(spark, sf):
+    """The scored test rows written as a prediction file and read back."""
+    path = new_path(spark, "predictions-csv")
+    train, test = views.split_ratings(spark, sf)
+    write_predictions(recommend.item_cf(train, test), path)
+    written = spark.read.schema("user bigint, item bigint, prediction double").csv(path)
+    return rounded(written, "prediction")
+
+
 @query
 def cf_user_predictions(spark, sf):
     train, test = views.split_ratings(spark, sf)
@@ -191,6 +211,14 @@ def baskets_load(spark, sf):
     return views.baskets(spark, sf)
 
 
+@query
+def baskets_csv(spark, sf):
+    """The baskets written as CSV without a header and read back."""
+    path = new_path(spark, "baskets-csv")
+    views.baskets(spark, sf).write.csv(path)
+    return read_baskets(spark, path).select(F.col("basket").cast("bigint"), "item")
+
+
 @query
 def itemset_candidates_k2(spark, sf):
     b = views.stored_baskets(spark, sf)
@@ -318,14 +346,14 @@ def kmeans_assign(spark, sf):
 @query
 def kmeans_update(spark, sf):
     vecs, docs, start = started(spark, sf)
-    nearest = kmeans.assign(vecs, docs, start, CLUSTERS)
+    nearest = materialize(kmeans.assign(vecs, docs, start, CLUSTERS), "assignment")
     return rounded(kmeans.update_centroids(vecs, nearest, start), "weight", places=9)
 
 
 @query
 def kmeans_shift(spark, sf):
     vecs, docs, start = started(spark, sf)
-    nearest = kmeans.assign(vecs, docs, start, CLUSTERS)
+    nearest = materialize(kmeans.assign(vecs, docs, start, CLUSTERS), "assignment")
     return rounded(kmeans.centroid_shift(start, kmeans.update_centroids(vecs, nearest, start)), "l1")
 
 

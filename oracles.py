@@ -131,6 +131,7 @@ SCORED_OUT = (
 )
 
 ORACLES["ratings_load"] = f"WITH {RATINGS} SELECT * FROM ratings"
+ORACLES["ratings_csv"] = ORACLES["ratings_load"]
 ORACLES["known_test_rows"] = (
     f'WITH {SPLIT} SELECT * FROM test WHERE "user" IN (SELECT "user" FROM train)'
 )
@@ -175,6 +176,8 @@ ORACLES["cf_item_predictions"] = (
 ORACLES["cf_user_predictions"] = f"""
 WITH {USER_PRED}
 SELECT "user", item, round(prediction, 6) AS prediction, round(user_mean, 6) AS user_mean FROM pred"""
+ORACLES["predictions_csv"] = f"""
+WITH {ITEM_PRED}, {SCORED} SELECT "user", item, round(prediction, 6) AS prediction FROM scored"""
 ORACLES["cf_item_scored"] = f"WITH {ITEM_PRED}, {SCORED} {SCORED_OUT}"
 ORACLES["cf_user_scored"] = f"WITH {USER_PRED}, {SCORED} {SCORED_OUT}"
 ORACLES["rating_error_histogram"] = f"WITH {ITEM_PRED}, {SCORED} {HISTOGRAM}"
@@ -229,6 +232,7 @@ every AS (
 )"""
 
 ORACLES["baskets_load"] = f"WITH {BASKETS} SELECT * FROM baskets"
+ORACLES["baskets_csv"] = ORACLES["baskets_load"]
 ORACLES["itemset_candidates_k2"] = f"""
 WITH {_levels(0.025)}
 SELECT concat(x.a, ',', y.a) AS items FROM k1 x JOIN k1 y ON x.a < y.a"""

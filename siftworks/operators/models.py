@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import math
+from typing import NamedTuple
+
+import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.recommendation import ALS
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.functions.ordering import global_position
+from siftworks.functions.text import tokens
 from siftworks.sources.shared import materialize, shared_dir
 
 # Spark ML keeps dense centres of vocabulary width on the driver. Beyond this many terms
@@ -122,40 +128,61 @@ def gaussian_mixture(features: DataFrame, k: int, iters: int, seed: int = 42) ->
     )
 
 
-# --- clustering of sparse text vectors ---
+# --- clustering of text ---
+
 
+class TextFeatures(NamedTuple):
+    rows: DataFrame
+    vocabulary: list[str]
 
-@F.udf(VectorUDT(), useArrow=False)
-def _sparse(width, entries):
-    return Vectors.sparse(width, [e["idx"] for e in entries], [e["weight"] for e in entries])
 
+def tfidf_features(corpus: DataFrame, max_terms: int = MAX_TERMS) -> TextFeatures:
+    """(doc_id, features) with sparse TF-IDF vectors over the whole vocabulary, and its terms.
 
-def sparse_features(vectors: DataFrame, docs: DataFrame, vocabulary: DataFrame, width: int) -> DataFrame:
-    """(doc_id, features) from long vectors; a document without terms is the zero vector."""
-    entries = (
-        vectors.join(vocabulary, "term")
+    Counts are made within each document's row. The weights are tf * (1 + ln(N / df)), which
+    is not the formula of Spark's own IDF model, so only its document counts are used.
+    """
+    rows = corpus.select("doc_id", tokens("text").alias("_tokens"))
+    # one term more than allowed shows that the vocabulary is too large
+    counter = CountVectorizer(inputCol="_tokens", outputCol="_counts", vocabSize=max_terms + 1).fit(rows)
+    width = len(counter.vocabulary)
+    if width > max_terms:
+        raise ValueError(
+            f"more than {max_terms} terms make dense centres too wide for Spark ML; use "
+            "cluster_corpus, whose centroids stay sparse"
+        )
+    counts = counter.transform(rows)
+    seen = IDF(inputCol="_counts", outputCol="_idf").fit(counts)
+    n_docs = seen.numDocs
+    idf = [1.0 + math.log(n_docs / df) for df in seen.docFreq]
+    frequency = Normalizer(p=1.0, inputCol="_counts", outputCol="_tf").transform(counts)
+    scale = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="_tf", outputCol="features")
+    return TextFeatures(scale.transform(frequency).select("doc_id", "features"), counter.vocabulary)
+
+
+def indexed_features(vectors: DataFrame, docs: DataFrame, terms: DataFrame, width: int) -> DataFrame:
+    """(doc_id, features): dense vectors of the few ``terms`` (term, idx) of long vectors."""
+    found = (
+        vectors.join(F.broadcast(terms), "term")
         .groupBy("doc_id")
-        # as many entries as the document has distinct terms
-        .agg(F.array_sort(F.collect_list(F.struct(F.col("idx").cast("int").alias("idx"), "weight"))).alias("_e"))
+        # at most ``width`` entries
+        .agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx").cast("int"), "weight"))).alias("_w"))
     )
-    none = F.array().cast("array<struct<idx:int,weight:double>>")
-    return (
-        docs.select("doc_id")
-        .join(entries, "doc_id", "left")
-        .select("doc_id", _sparse(F.lit(width), F.coalesce("_e", none)).alias("features"))
+    weight = lambda i: F.coalesce(F.try_element_at("_w", i), F.lit(0.0))
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id",
+        array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), weight)).alias("features"),
     )
 
 
-def sparse_centers(model, vocabulary: DataFrame) -> DataFrame:
+def sparse_centers(model, vocabulary: list[str], spark: SparkSession) -> DataFrame:
     """(cluster, term, weight) of the non-zero entries of the model's centres."""
     frames = []
+    terms = np.array(vocabulary, dtype=object)
     for i, center in enumerate(model.clusterCenters()):
-        nonzero = center.nonzero()[0]
-        frames.append(pd.DataFrame({"cluster": i, "idx": nonzero, "weight": center[nonzero]}))
-    table = vocabulary.sparkSession.createDataFrame(
-        pd.concat(frames), "cluster int, idx bigint, weight double"
-    )
-    return table.join(vocabulary, "idx").select("cluster", "term", "weight")
+        at = center.nonzero()[0]
+        frames.append(pd.DataFrame({"cluster": i, "term": terms[at], "weight": center[at]}))
+    return spark.createDataFrame(pd.concat(frames), "cluster int, term string, weight double")
 
 
 def sparse_member_distances(

@@ -11,7 +11,7 @@ from siftworks.functions.ordering import global_position
 from siftworks.functions.skew import broadcast_if_small
 from siftworks.operators import models
 from siftworks.operators.kmeans import assign, init_centroids, update_centroids
-from siftworks.operators.text import features, idf, tfidf, vocabulary
+from siftworks.operators.text import features, idf, tfidf
 from siftworks.sources.shared import materialize
 
 
@@ -76,20 +76,14 @@ def ml_cluster_corpus(
     The result has the distances to the final centres, for every cluster the model made.
     """
     fit = {"K": models.kmeans_model, "B": models.bisecting_model}[algorithm.upper()]
+    spark = corpus.sparkSession
+    rows, terms = models.tfidf_features(corpus, max_terms)
+    rows = rows.persist()
+    model = fit(rows, k, iters, seed)
+    members = materialize(model.transform(rows).select("doc_id", "cluster"), "members")
+    rows.unpersist()
     vectors = materialize(tfidf(corpus), "vectors")
-    terms = materialize(vocabulary(corpus), "vocabulary")
-    width = terms.count()
-    if width > max_terms:
-        raise ValueError(
-            f"{width} terms make dense centres too wide for Spark ML; use cluster_corpus, "
-            "whose centroids stay sparse"
-        )
-    docs = corpus.select("doc_id")
-    features_ = models.sparse_features(vectors, docs, terms, width).persist()
-    model = fit(features_, k, iters, seed)
-    members = materialize(model.transform(features_).select("doc_id", "cluster"), "members")
-    features_.unpersist()
-    centers = materialize(models.sparse_centers(model, terms), "centers")
+    centers = materialize(models.sparse_centers(model, terms, spark), "centers")
     return Clustering(vectors, models.sparse_member_distances(vectors, members, centers), centers)
 
 
@@ -102,7 +96,7 @@ def gaussian_corpus(corpus: DataFrame, k: int, iters: int, terms: int, seed: int
     frequent = idf(corpus).orderBy(F.col("df").desc(), "term").limit(terms).select("term")
     numbered = materialize(global_position(frequent, ["term"], "idx"), "vocabulary")
     width = numbered.count()
-    features_ = models.sparse_features(tfidf(corpus), corpus.select("doc_id"), numbered, width).persist()
-    fitted = models.gaussian_mixture(features_, k, iters, seed)
-    features_.unpersist()
+    rows = models.indexed_features(tfidf(corpus), corpus.select("doc_id"), numbered, width).persist()
+    fitted = models.gaussian_mixture(rows, k, iters, seed)
+    rows.unpersist()
     return fitted

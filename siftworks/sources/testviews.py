@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.functions.ordering import global_position
+from siftworks.sources.readers import spread
 from siftworks.sources.shared import materialize
 
 
@@ -66,7 +67,7 @@ def stored_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
 
 
 def event_tag() -> F.Column:
