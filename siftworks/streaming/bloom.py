@@ -10,7 +10,7 @@ from siftworks.functions.hashing import bit_positions
 from siftworks.functions.skew import broadcast_if_small
 from siftworks.functions.text import hashtags
 from siftworks.operators.bloom import NUM_HASH, WIDTH, with_rates
-from siftworks.streaming.state import BatchTables, start
+from siftworks.streaming.state import FOLD_EVERY, BatchTables, start
 
 # Fixed value of the programs rebuilt here.
 INTERVAL = "10 seconds"
@@ -27,6 +27,7 @@ def bloom_stream(
     width: int = WIDTH,
     num_hash: int = NUM_HASH,
     every: str | None = None,
+    fold_every: int = FOLD_EVERY,
 ) -> StreamingQuery:
     """Test and insert the hashtags of ``stream`` (text, order columns), state under ``location``.
 
@@ -35,7 +36,7 @@ def bloom_stream(
     the tags seen with their verdict, which a batch only adds to: a tag's verdict
     never changes after its first occurrence.
     """
-    tables = BatchTables(location)
+    tables = BatchTables(location, fold_every)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -88,8 +89,7 @@ def _report(
         _sum(F.when(wrong, F.col("n"))).alias("fp"),
         F.count(F.when(~F.col("_new"), 1)).alias("tn"),
     )
-    past = tables.before(spark, "report", REPORT, batch_id)
-    last = past.filter(F.col("batch_id") == batch_id - 1).select("total", "fp", "tn")
+    last = tables.added(spark, "report", REPORT, batch_id - 1).select("total", "fp", "tn")
     both = now.unionByName(last).agg(*[_sum(F.col(c)).alias(c) for c in ("total", "fp", "tn")])
     return with_rates(both)
 

@@ -50,7 +50,7 @@ def reservoir_stream(
 
 
 def _seen_before(tables: BatchTables, spark: SparkSession, batch_id: int) -> int:
-    rows = tables.before(spark, "report", REPORT, batch_id)
+    rows = tables.added(spark, "report", REPORT, batch_id - 1)
     return rows.agg(F.coalesce(F.max("seen"), F.lit(0))).first()[0]
 
 

@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
+# After this many batches the folders of a growing table are folded into one.
+FOLD_EVERY = 64
+
+
 class BatchTables:
-    def __init__(self, location: str):
+    def __init__(self, location: str, fold_every: int = FOLD_EVERY):
         self.location = location.rstrip("/")
+        self.fold_every = fold_every
 
     # --- small tables replaced as a whole: two slots in turn, the other one being the previous state ---
 
@@ -41,15 +46,39 @@ class BatchTables:
 
     # --- growing tables: one folder per batch ---
 
+    def _folder(self, name: str, batch_id: int) -> str:
+        return f"{self.location}/{name}/batch_id={batch_id}"
+
     def append(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.location}/{name}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(self._folder(name, batch_id))
+
+    def added(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> DataFrame:
+        """The rows one batch appended; none for a batch before the first."""
+        if batch_id < 0:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(self._folder(name, batch_id))
 
     def before(self, spark: SparkSession, name: str, schema: str, batch_id: int) -> DataFrame:
-        """All rows that batches before ``batch_id`` appended."""
-        if batch_id == 0:
-            return spark.createDataFrame([], f"{schema}, batch_id bigint")
-        rows = spark.read.schema(f"{schema}, batch_id bigint").parquet(f"{self.location}/{name}")
-        return rows.filter(F.col("batch_id") < batch_id)
+        """All rows that batches before ``batch_id`` appended.
+
+        Every ``fold_every`` batches the rows so far are written as one folder, so
+        a batch opens that folder and at most ``fold_every`` more, however old the stream is.
+        """
+        folded = batch_id - batch_id % self.fold_every
+        if folded == batch_id and batch_id > 0:
+            rows = self._since(spark, name, schema, batch_id - self.fold_every, batch_id)
+            rows.write.mode("overwrite").parquet(self._fold(name, batch_id))
+        return self._since(spark, name, schema, folded, batch_id)
+
+    def _fold(self, name: str, batch_id: int) -> str:
+        return f"{self.location}/{name}-folded/before={batch_id}"
+
+    def _since(self, spark: SparkSession, name: str, schema: str, folded: int, batch_id: int) -> DataFrame:
+        paths = [self._fold(name, folded)] if folded else []
+        paths += [self._folder(name, b) for b in range(folded, batch_id)]
+        if not paths:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*paths)
 
     def log(self, spark: SparkSession, schema: str) -> DataFrame:
         """The running report: one row per micro-batch."""

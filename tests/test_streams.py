@@ -167,6 +167,17 @@ def test_stream_filter_equals_the_sequential_filter(spark, folder, cuts):
     assert bloom_log(spark, f"{folder}/out").count() == len(cuts)
 
 
+def test_folding_old_batches_changes_nothing(spark, folder):
+    tags = random_tags(8, n=40, kinds=16)
+    for s in range(0, 40, 5):
+        arrive(spark.createDataFrame([(i, tags[i]) for i in range(s, s + 5)], SCHEMA), f"{folder}/in")
+        stream = read_stream(spark, f"{folder}/in", SCHEMA)
+        bloom_stream(stream, f"{folder}/out", ["event_id"], 16, 3, fold_every=3).awaitTermination()
+    assert tuple(last_report(spark, f"{folder}/out").first()) == pytest.approx(sequential(tags, 16, 3))
+    folded = spark.read.parquet(f"{folder}/out/tags-folded/before=6")
+    assert folded.count() == len(set(tags[:30]))
+
+
 def test_a_batch_run_again_gives_the_same_state(spark, folder):
     """What Spark does after a failure between writing the state and committing the batch."""
     import glob
