@@ -6,8 +6,10 @@ import pytest
 from conftest import rows
 
 from siftworks.operators.kmeans import cluster_report
+from siftworks.plans import programs
 from siftworks.plans.mining import apriori
 from siftworks.sources import readers, writers
+from siftworks.streaming import bloom, reservoir
 
 
 @pytest.fixture
@@ -83,3 +85,53 @@ def test_cluster_reports(spark, folder):
     )
     writers.write_mixture_report(mixture, f"{folder}/g")
     assert json.loads(lines(f"{folder}/g")[0])["clusters"] == [{"id": 0, "weight": 1.0, "mean": [0.5], "std": [[2.0]]}]
+
+
+# --- whole programs ---
+
+
+def test_recommendation_programs(spark, folder):
+    header = "user_id,business_id,stars\n"
+    rated = [(u, i, (u * i) % 5 + 1) for u in range(8) for i in range(8)]
+    line = lambda r: f"u{r[0]},b{r[1]},{r[2]}\n"
+    train = put(f"{folder}/train.csv", header + "".join(line(r) for r in rated if sum(r[:2]) % 4))
+    test = put(f"{folder}/test.csv", header + "".join(line(r) for r in rated if not sum(r[:2]) % 4) + "new,b1,3\n")
+    for program in (programs.item_based, programs.user_based):
+        out = f"{folder}/{program.__name__}"
+        found = program(spark, train, test, out)
+        assert len(lines(out)) == 17 and lines(out)[0].startswith("new,b1,2.5")
+        assert found.rmse.first().n == sum(r.n for r in found.histogram.collect()) == 17
+    assert programs.model_based(spark, train, test, iters=3).rmse.first().n == 16
+
+
+def test_itemset_program(spark, folder):
+    path = put(f"{folder}/b.csv", "".join(f"{b},{x}\n" for b in range(4) for x in "abc"[: b + 1]))
+    programs.frequent_itemsets(spark, path, 2, f"{folder}/out", partitions=2)
+    assert lines(f"{folder}/out") == ["(a),(b),(c)", "", "(a,b),(a,c),(b,c)", "", "(a,b,c)", ""]
+
+
+def test_clustering_programs(spark, folder):
+    path = put(f"{folder}/c.txt", "".join(("sun moon\n", "fish sea\n")[i % 2] for i in range(10)))
+    for feature in "WT":
+        report = programs.cluster_lines(spark, path, feature, 2, 3, f"{folder}/{feature}")
+        assert sum(r["size"] for r in report.collect()) == 10
+    for kind, name in (("K", "K-Means"), ("B", "Bisecting K-Means"), ("G", "GMM")):
+        programs.cluster_lines_with(spark, path, kind, 2, 3, f"{folder}/ml{kind}", terms=4)
+        written = json.loads(lines(f"{folder}/ml{kind}")[0])
+        assert written["algorithm"] == name and len(written["clusters"]) == 2
+
+
+def test_watching_programs(spark, folder):
+    put(f"{folder}/a.json", "".join('{"event_id": %d, "text": "x #a #b"}\n' % i for i in range(5)))
+    schema = "event_id bigint, text string"
+    stream = readers.read_stream(spark, folder, schema, fmt="json", glob="*.json")
+    out = tempfile.mkdtemp(prefix="siftworks-test-")
+    watches = [
+        programs.watch_sample(stream, f"{out}/sample", every="1 second"),
+        programs.watch_hashtags(stream, f"{out}/bloom", ["event_id"], every="1 second"),
+    ]
+    for q in watches:
+        q.processAllAvailable()
+        q.stop()
+    assert reservoir.current_sample(spark, f"{out}/sample").count() == 5
+    assert tuple(bloom.last_report(spark, f"{out}/bloom").first()) == (10, 10, 0, 0, 2, 0.0)
