@@ -61,34 +61,26 @@ def split_heavy(
     return Split(df.join(keys, key, "left_anti"), df.join(keys, key, "left_semi"), sizes, n)
 
 
-def _a_and_b(left: str, right: str, entity: str, carry: list[str]) -> list[Column]:
-    """``a < b`` and the carried columns of either, whichever side of the join they came from."""
-    first = F.col(f"{left}.{entity}") < F.col(f"{right}.{entity}")
-    out = []
-    for name, low, high in [(entity, "a", "b"), *[(c, f"{c}_a", f"{c}_b") for c in carry]]:
-        l, r = F.col(f"{left}.{name}"), F.col(f"{right}.{name}")
-        out += [F.when(first, l).otherwise(r).alias(low), F.when(first, r).otherwise(l).alias(high)]
-    return out
-
-
 def self_pairs(
     df: DataFrame, key: str, entity: str, carry: list[str] | None = None, wanted: str | None = None
 ) -> DataFrame:
-    """Unordered pairs ``a < b`` of entities that share ``key``, for groups of moderate size.
+    """Pairs (a, b) of different entities that share ``key``, for groups of moderate size.
 
-    A column c of ``carry`` comes along as c_a and c_b. With the boolean column ``wanted`` only
-    pairs with a wanted entity are made: wanted rows meet all rows, not all rows each other.
+    Each pair comes in one order only: ``a < b``. With the boolean column ``wanted`` only pairs
+    with a wanted entity are made, wanted rows meeting all rows; if just one entity of a
+    pair is wanted, it comes first. A column c of ``carry`` comes along as c_a and c_b.
     """
-    carry = carry or []
     l, r = df.alias("l"), df.alias("r")
     same = F.col(f"l.{key}") == F.col(f"r.{key}")
     before = F.col(f"l.{entity}") < F.col(f"r.{entity}")
     if wanted is None:
         met = l.join(r, same & before)
     else:
-        other = F.col(f"l.{entity}") != F.col(f"r.{entity}")
-        met = l.filter(F.col(wanted)).join(r, same & other & (before | ~F.col(f"r.{wanted}")))
-    return met.select(*_a_and_b("l", "r", entity, carry))
+        met = l.filter(F.col(wanted)).join(r, same & (before | ~F.col(f"r.{wanted}")))
+    names = [(entity, "a", "b"), *[(c, f"{c}_a", f"{c}_b") for c in carry or []]]
+    return met.select(
+        *[F.col(f"{side}.{c}").alias(name) for c, a, b in names for side, name in (("l", a), ("r", b))]
+    )
 
 
 def _block_counts(sizes: DataFrame, key: str, block_rows: int, name: str) -> DataFrame:
@@ -120,9 +112,13 @@ def blocked_self_pairs(
     r = rows.select(
         *columns, F.explode(F.expr("sequence(0, block)")).alias("lo"), F.col("block").alias("hi")
     ).alias("r")
-    once = (F.col("l.lo") < F.col("l.hi")) | (F.col(f"l.{entity}") < F.col(f"r.{entity}"))
+    smaller = F.col(f"l.{entity}") < F.col(f"r.{entity}")
+    once = (F.col("l.lo") < F.col("l.hi")) | smaller
+    first = smaller
     if wanted:
-        once = once & (F.col(f"l.{wanted}") | F.col(f"r.{wanted}"))
+        lw, rw = F.col(f"l.{wanted}"), F.col(f"r.{wanted}")
+        once = once & (lw | rw)
+        first = (lw & ~rw) | ((lw == rw) & smaller)
     met = l.join(
         r,
         (F.col(f"l.{key}") == F.col(f"r.{key}"))
@@ -130,7 +126,11 @@ def blocked_self_pairs(
         & (F.col("l.hi") == F.col("r.hi"))
         & once,
     )
-    return met.select(*_a_and_b("l", "r", entity, carry))
+    out = []
+    for name, a, b in [(entity, "a", "b"), *[(c, f"{c}_a", f"{c}_b") for c in carry]]:
+        left, right = F.col(f"l.{name}"), F.col(f"r.{name}")
+        out += [F.when(first, left).otherwise(right).alias(a), F.when(first, right).otherwise(left).alias(b)]
+    return met.select(*out)
 
 
 def blocked_join(

@@ -80,7 +80,7 @@ def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str)
 def _pair_moments(
     rows: DataFrame, entity: str, other: str, min_common: int, wanted: str | None, heavy_rows: int
 ) -> DataFrame:
-    """Moments of every pair ``a < b`` with at least ``min_common`` shared entries."""
+    """Moments of every pair with at least ``min_common`` shared entries, each in one order."""
     light, heavy, sizes, n_heavy = split_heavy(rows, other, heavy_rows)
     enough = F.col("n") >= min_common
     from_light = _moments(self_pairs(light, other, entity, ["rating"], wanted))
@@ -135,8 +135,13 @@ def pair_similarity(
     )
     wanted = None if targets is None else "wanted"
     moments = _pair_moments(rows, entity, other, min_common, wanted, heavy_rows).unionByName(selves)
+    # the correlation is the same in both orders
+    low, high = (F.col("a"), F.col("b")) if targets is None else (F.least("a", "b"), F.greatest("a", "b"))
     return moments.select(
-        "a", "b", F.col("n").alias("n_common"), absolute_pearson().alias("similarity")
+        low.alias("a"),
+        high.alias("b"),
+        F.col("n").alias("n_common"),
+        absolute_pearson().alias("similarity"),
     ).filter(F.col("similarity") >= min_sim)
 
 
