@@ -23,7 +23,7 @@ from siftworks.functions.skew import (
     broadcast_if_small,
     split_heavy,
 )
-from siftworks.sources.shared import materialize
+from siftworks.sources.shared import materialize, partitions_for
 
 
 def _without(position: int) -> Column:
@@ -125,9 +125,8 @@ def mine_levels(
 
     rows = rows.join(broadcast_if_small(singles.select(*by, "item"), n), [*by, "item"], "left_semi")
     light, heavy, sizes, n_heavy = split_heavy(rows, "basket", heavy_rows)
-    # A fixed number of partitions stays as it is, so that every level finds it again.
-    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    light = light.select(*by, "basket", "item").repartition(partitions, "basket").persist()
+    light = light.select(*by, "basket", "item")
+    light = light.repartition(partitions_for(light), "basket").persist()
     if heavy is not None:
         heavy = materialize(heavy.select(*by, "basket", "item"), "heavy-baskets")
     occurrences = light.select(*by, "basket", F.array("item").alias("items"))

@@ -12,7 +12,7 @@ from siftworks.functions.skew import broadcast_if_small
 from siftworks.operators import models
 from siftworks.operators.kmeans import assign, init_centroids, update_centroids
 from siftworks.operators.text import features, idf, tfidf
-from siftworks.sources.shared import materialize
+from siftworks.sources.shared import materialize, partitions_for
 
 
 class Clustering(NamedTuple):
@@ -44,7 +44,7 @@ def lloyd(
     """
     if iters < 1:
         raise ValueError("at least one round is needed")
-    partitions = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions_for(vectors)
     held = vectors.repartition(partitions, "doc_id").persist()
     docs = docs.select("doc_id").repartition(partitions, "doc_id").persist()
     centroids = _stored(start if start is not None else init_centroids(held, docs, k, seed))

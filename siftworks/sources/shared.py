@@ -7,11 +7,15 @@ it needs to choose broadcast or shuffle joins by actual size.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Rows per partition of a table that is held through the rounds of a run.
+ROWS_PER_PARTITION = 2_000_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's ``spark.checkpoint.dir``; a temporary folder only in local mode."""
@@ -40,3 +44,16 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def partitions_for(df: DataFrame) -> int:
+    """A number of partitions for a held table, from its counted rows.
+
+    AQE does not change the partitioning of a cached table, so it is chosen here: enough
+    for the rows, and for all cores where there are fewer rows.
+    """
+    spark = df.sparkSession
+    cores = min(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    return max(cores, math.ceil(df.count() / ROWS_PER_PARTITION))
