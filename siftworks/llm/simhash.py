@@ -178,8 +178,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_RO
     grouped = keys.withColumn("block", F.lit(0).cast("long"))
     if not hot.isEmpty():
         i = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
-        pair = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: F.least(i, j) * F.col("n") + F.greatest(i, j))
-        cut = keys.join(hot, "key").select("key", "fp", F.explode(pair).cast("long").alias("block"))
+        pair = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: (F.least(i, j) * F.col("n") + F.greatest(i, j)).cast("long"))
+        cut = keys.join(hot, "key").select("key", "fp", F.explode(pair).alias("block"))
         grouped = grouped.join(hot, "key", "left_anti").unionByName(cut)
     runs = grouped.repartition("key", "block").sortWithinPartitions("key", "block")
     return runs.select("key", "block", "fp").mapInArrow(_links_of(max_bits), "a long, b long").distinct()
@@ -236,10 +236,12 @@ def near_duplicates(
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs`` with one document of each group: the row with the group's smallest id.
 
-    Rows that repeat this id are told apart by their content, of which the
-    smallest hash stays once. Groups of only NULL ids keep one row of each distinct content.
+    Of rows that repeat this id one stays. A group of only NULL ids keeps one row.
     """
     found = near_duplicates(docs, doc_id, text, width, max_bits)
-    heads = materialize(found.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("component_id").alias("_id")).distinct(), "group_heads")
-    chosen = docs.join(heads, F.col(doc_id).eqNullSafe(F.col("_id")), "left_semi")
-    return chosen.dropDuplicates([doc_id])
+    heads = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
+    # NULL ids as a pair of plain columns, so that one exchange serves the join and the choice of a row
+    pair = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0))}
+    heads = materialize(heads.select("doc_id").distinct().withColumns(pair).drop("doc_id"), "group_heads")
+    keyed = docs.withColumns({"_none": F.col(doc_id).isNull(), "_id": F.coalesce(F.col(doc_id), F.lit(0))})
+    return keyed.join(heads, ["_none", "_id"], "left_semi").dropDuplicates(["_none", "_id"]).drop("_none", "_id")
