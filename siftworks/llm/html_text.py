@@ -137,7 +137,7 @@ def page_lines(page: str | None) -> list[Line]:
             continue
         if name in RAW:
             # its contents are no markup: go on after the end tag
-            stop = re.compile(rf"</{name}[\s/>][^>]*>?|</{name}$", re.I).search(page, at)
+            stop = re.compile(rf"</{name}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
             at = stop.end() if stop else len(page)
             continue
         if name in VOID:

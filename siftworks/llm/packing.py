@@ -20,11 +20,11 @@ END_ID = 0
 
 # Costs in tokens of padding: for a sequence as such, for a cut after a sentence
 # and for one within a sentence. A cut after a document is free.
-SEQUENCE_COST, SENTENCE_COST, TRUNCATION_COST = 4, 4, 64
+SEQUENCE_COST, SENTENCE_COST, TRUNCATION_COST = 4, 1, 8
 
 # Sentence ends nearer to the last place to cut are not looked at; where none
-# comes for so long, any token may end a sequence.
-MIN_GAP, MAX_GAP = 16, 256
+# comes for so long, a token in between may end a sequence too.
+MIN_GAP, MAX_GAP = 8, 16
 
 # Tokens that one run of the dynamic programme covers at least.
 CHUNK_TOKENS = 1 << 20
