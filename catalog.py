@@ -458,11 +458,6 @@ def ml_gmm(spark, sf):
     return models.gaussian_mixture(embedded(spark, sf), 3, 10, SEED)
 
 
-@query
-def ml_gmm_text(spark, sf):
-    return clustering.gaussian_corpus(views.corpus(spark, sf), 2, 5, terms=20)
-
-
 # --- samples and streams ---
 
 BLOOM = {"width": 4096, "num_hash": 6}
@@ -510,9 +505,13 @@ def bloom_quality_one_hash(spark, sf):
 
 
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a stream; its files arrive in one micro-batch or several."""
+    """The events table as a stream; its files arrive in one micro-batch or several.
+
+    The table is a file or a folder of files; a pattern stands for either, where the
+    plain path of a single file would be taken for a folder.
+    """
     schema = views.table(spark, sf, "events").schema
-    return read_stream(spark, sf, schema, glob="events.parquet")
+    return read_stream(spark, f"{sf}/events.parque[t]", schema)
 
 
 @query

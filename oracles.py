@@ -63,7 +63,7 @@ def _item_neighbours(order: str) -> str:
 item_nb AS (
   SELECT * FROM (
     SELECT t."user", t.item AS target, r.item, r.rating, s.similarity,
-           row_number() OVER (PARTITION BY t."user", t.item ORDER BY s.similarity {order}, r.item) AS rank
+           row_number() OVER (PARTITION BY t."user", t.item ORDER BY round(s.similarity, 9) {order}, r.item) AS rank
     FROM test t JOIN train r ON t."user" = r."user"
     JOIN item_sim s ON s.a = t.item AND s.b = r.item
   ) WHERE rank <= 10
@@ -73,7 +73,7 @@ item_nb AS (
 USER_NB = """
 user_nb_all AS (
   SELECT k."user", k.item, r."user" AS neighbour, r.rating, s.similarity,
-         row_number() OVER (PARTITION BY k."user", k.item ORDER BY s.similarity, r."user") AS rank
+         row_number() OVER (PARTITION BY k."user", k.item ORDER BY round(s.similarity, 9), r."user") AS rank
   FROM known k JOIN train r ON k.item = r.item
   JOIN user_sim s ON s.a = k."user" AND s.b = r."user"
 ),
@@ -409,7 +409,7 @@ seen AS (
   FROM (SELECT tag, row_number() OVER (ORDER BY ts, event_id) AS seq FROM tagged) GROUP BY tag
 ),
 hits AS (
-  SELECT tag, first_seq, n, ('0x' || substr(md5(concat(i, ':', tag)), 1, 7))::BIGINT % {width} AS bit
+  SELECT tag, first_seq, n, ('0x' || substr(md5(concat(i, ':', tag)), 1, 15))::BIGINT % {width} AS bit
   FROM seen CROSS JOIN range({num_hash}) h(i)
 ),
 first_hits AS (SELECT bit, min(first_seq) AS set_at FROM hits GROUP BY bit),

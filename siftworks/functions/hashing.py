@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: the number of hash bits kept before the modulo, as hex digits (28 bits).
-HASH_HEX_DIGITS = 7
+# Hash bits kept before the modulo, as hex digits: 60 bits, so that filters of any width are used evenly.
+HASH_HEX_DIGITS = 15
 
 
 def priority(seed: int, key: str | Column) -> Column:

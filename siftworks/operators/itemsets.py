@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.ordering import global_position
 from siftworks.functions.skew import (
-    BROADCAST_ROWS,
     HEAVY_ROWS,
     blocked_self_pairs,
     broadcast_if_small,
@@ -145,8 +144,8 @@ def mine_levels(
                 F.slice("items", 1, size).alias("items")
             )
             extended = extended.join(prefixes.distinct(), "items", "left_semi")
-        elif size > 2 and n <= BROADCAST_ROWS:
-            extended = _have_frequent_subsets(extended, F.broadcast(level), by, range(1, size))
+        elif size > 2:
+            extended = _have_frequent_subsets(extended, broadcast_if_small(level, n), by, range(1, size))
         extended = extended.persist()
         counts = extended.groupBy(*by, "items").agg(F.count("*").alias("support"))
         if heavy is not None:

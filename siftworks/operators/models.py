@@ -23,6 +23,9 @@ from siftworks.sources.shared import materialize, shared_dir
 # use the sparse rounds of ``plans.clustering.lloyd``, which have no such limit.
 MAX_TERMS = 1 << 20
 
+# Ratings in a block of the matrix factorisation.
+ROWS_PER_BLOCK = 1_000_000
+
 
 # --- recommendation ---
 
@@ -34,14 +37,16 @@ def als_cf(
     iters: int = 25,
     reg: float = 0.3,
     seed: int = 42,
-    blocks: int = 10,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Matrix-factorisation prediction: (user, item, rating, prediction).
 
     Test rows with a user or item unknown to training are dropped. ALS needs
-    int ids, so users and items are numbered and joined back.
+    int ids, so users and items are numbered and joined back. ``blocks`` is by
+    default the number of blocks that hold ``ROWS_PER_BLOCK`` ratings each, ten at least.
     """
     spark = train.sparkSession
+    blocks = blocks or max(10, math.ceil(train.count() / ROWS_PER_BLOCK))
     shared_dir(spark)  # ALS cuts its own lineage there when a folder is set
     users = materialize(_numbered(train, "user"), "users")
     items = materialize(_numbered(train, "item"), "items")
@@ -160,21 +165,6 @@ def tfidf_features(corpus: DataFrame, max_terms: int = MAX_TERMS) -> TextFeature
     return TextFeatures(scale.transform(frequency).select("doc_id", "features"), counter.vocabulary)
 
 
-def indexed_features(vectors: DataFrame, docs: DataFrame, terms: DataFrame, width: int) -> DataFrame:
-    """(doc_id, features): dense vectors of the few ``terms`` (term, idx) of long vectors."""
-    found = (
-        vectors.join(F.broadcast(terms), "term")
-        .groupBy("doc_id")
-        # at most ``width`` entries
-        .agg(F.map_from_entries(F.collect_list(F.struct(F.col("idx").cast("int"), "weight"))).alias("_w"))
-    )
-    weight = lambda i: F.coalesce(F.try_element_at("_w", i), F.lit(0.0))
-    return docs.select("doc_id").join(found, "doc_id", "left").select(
-        "doc_id",
-        array_to_vector(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), weight)).alias("features"),
-    )
-
-
 def sparse_centers(model, vocabulary: list[str], spark: SparkSession) -> DataFrame:
     """(cluster, term, weight) of the non-zero entries of the model's centres."""
     frames = []

@@ -61,7 +61,9 @@ def _candidates(
 def _choose(candidates: DataFrame, group: list[str], other: str, k: int, order: str) -> DataFrame:
     if order not in ("asc", "desc"):
         raise ValueError("order is 'asc' or 'desc'")
-    by = F.col("similarity").asc() if order == "asc" else F.col("similarity").desc()
+    # partial sums arrive in any order, so the last digits of a similarity are not repeatable
+    rounded = F.round("similarity", 9)
+    by = rounded.asc() if order == "asc" else rounded.desc()
     # the filter on row_number lets Spark keep k rows per group before the shuffle
     ranked = candidates.withColumn(
         "rank", F.row_number().over(W.partitionBy(*group).orderBy(by, F.col(other).asc()))

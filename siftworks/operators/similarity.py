@@ -16,7 +16,8 @@ from siftworks.sources.shared import materialize
 
 MOMENTS = ["n", "sa", "sb", "sab", "saa", "sbb"]
 
-# Variance below this share of the raw second moment is rounding noise, not variance.
+# Variance below this share of the second moment is rounding noise, not variance. Moments
+# are taken from each entity's smallest rating, so a large offset of all ratings does not count.
 # Whole-number ratings have exact sums, for which the test is simply "greater than zero".
 NOISE = 1e-12
 
@@ -52,22 +53,24 @@ def _usable(ratings: DataFrame, entity: str, min_common: int, targets: DataFrame
 
     Fewer ratings than the overlap needed, or one constant rating, rules an
     entity out for every partner, so dropping it first changes no result. The
-    column ``wanted`` tells the targets.
+    column ``wanted`` tells the targets. Ratings become differences from the entity's
+    smallest one, which leaves the correlation as it is and keeps the moments small.
     """
     alive = (
         ratings.groupBy(entity)
         .agg(F.count("*").alias("_n"), F.min("rating").alias("_lo"), F.max("rating").alias("_hi"))
         .filter((F.col("_n") >= min_common) & (F.col("_lo") < F.col("_hi")))
-        .select(entity)
+        .select(entity, "_lo")
     )
     if targets is None:
         alive = alive.withColumn("wanted", F.lit(True))
     else:
         flagged = targets.select(entity).distinct().withColumn("_target", F.lit(True))
         alive = alive.join(flagged, entity, "left").select(
-            entity, F.coalesce("_target", F.lit(False)).alias("wanted")
+            entity, "_lo", F.coalesce("_target", F.lit(False)).alias("wanted")
         )
-    return ratings.join(materialize(alive, "usable"), entity)
+    rows = ratings.join(materialize(alive, "usable"), entity)
+    return rows.withColumn("rating", F.col("rating") - F.col("_lo")).drop("_lo")
 
 
 def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str) -> DataFrame:

@@ -7,11 +7,10 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.functions.ordering import global_position
 from siftworks.functions.skew import broadcast_if_small
 from siftworks.operators import models
 from siftworks.operators.kmeans import assign, init_centroids, update_centroids
-from siftworks.operators.text import features, idf, tfidf
+from siftworks.operators.text import features, tfidf
 from siftworks.sources.shared import materialize, partitions_for
 
 
@@ -85,18 +84,3 @@ def ml_cluster_corpus(
     vectors = materialize(tfidf(corpus), "vectors")
     centers = materialize(models.sparse_centers(model, terms, spark), "centers")
     return Clustering(vectors, models.sparse_member_distances(vectors, members, centers), centers)
-
-
-def gaussian_corpus(corpus: DataFrame, k: int, iters: int, terms: int, seed: int = 42) -> DataFrame:
-    """Gaussian mixture over the TF-IDF weights of the ``terms`` most frequent terms of a corpus.
-
-    A covariance over a whole vocabulary does not fit any machine, so the width
-    is a parameter here: (component, weight, mean, covariance).
-    """
-    frequent = idf(corpus).orderBy(F.col("df").desc(), "term").limit(terms).select("term")
-    numbered = materialize(global_position(frequent, ["term"], "idx"), "vocabulary")
-    width = numbered.count()
-    rows = models.indexed_features(tfidf(corpus), corpus.select("doc_id"), numbered, width).persist()
-    fitted = models.gaussian_mixture(rows, k, iters, seed)
-    rows.unpersist()
-    return fitted

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +19,17 @@ def apriori(
     return sized(mine_levels(baskets, support, max_k=max_k, heavy_rows=heavy_rows))
 
 
+# Baskets rows in a chunk, and the least support that a chunk must still ask for: below it
+# nearly every subset of a basket would be a candidate.
+ROWS_PER_CHUNK = 5_000_000
+MIN_CHUNK_SUPPORT = 25
+
+
+def chunk_count(baskets: DataFrame, support: float) -> int:
+    """Chunks of about ``ROWS_PER_CHUNK`` rows, but no more than leave a chunk's threshold meaningful."""
+    return int(max(1, min(math.ceil(baskets.count() / ROWS_PER_CHUNK), support // MIN_CHUNK_SUPPORT)))
+
+
 def chunk_threshold(support: float, partitions: int) -> float:
     """The support an itemset must reach in some chunk to be able to reach ``support`` in all."""
     return max(1.0, support / partitions)

@@ -10,8 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 from siftworks.operators import models
 from siftworks.operators.evaluation import error_histogram, rmse
 from siftworks.operators.kmeans import cluster_report
-from siftworks.plans.clustering import Clustering, cluster_corpus, gaussian_corpus, ml_cluster_corpus
-from siftworks.plans.mining import son
+from siftworks.plans.clustering import Clustering, cluster_corpus, ml_cluster_corpus
+from siftworks.plans.mining import chunk_count, son
 from siftworks.plans.recommend import item_cf, user_cf
 from siftworks.sources import writers
 from siftworks.sources.readers import read_baskets, read_corpus, read_ratings
@@ -53,9 +53,12 @@ def model_based(spark: SparkSession, train: str, test: str, **options) -> Scores
 def frequent_itemsets(
     spark: SparkSession, path: str, support: float, out: str, partitions: int | None = None
 ) -> DataFrame:
-    """All itemsets of a basket file in at least ``support`` baskets, in two passes."""
-    chunks = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = son(read_baskets(spark, path), support, chunks)
+    """All itemsets of a basket file in at least ``support`` baskets, in two passes.
+
+    The number of chunks follows from the data and the support, see ``chunk_count``.
+    """
+    baskets = materialize(read_baskets(spark, path), "baskets")
+    found = son(baskets, support, partitions or chunk_count(baskets, support))
     writers.write_itemset_report(found, out)
     return found
 
@@ -75,16 +78,11 @@ def cluster_lines(
 
 
 def cluster_lines_with(
-    spark: SparkSession, path: str, algorithm: str, k: int, iters: int, out: str, seed: int = 42, terms: int = 100
+    spark: SparkSession, path: str, algorithm: str, k: int, iters: int, out: str, seed: int = 42
 ) -> DataFrame:
-    """Spark ML k-means (``"K"``), bisecting k-means (``"B"``) or Gaussian mixture (``"G"``, over
-    the ``terms`` most frequent terms) of the lines of a file over TF-IDF."""
+    """Spark ML k-means (``"K"``) or bisecting k-means (``"B"``) of the lines of a file over TF-IDF."""
     corpus = materialize(read_corpus(spark, path), "corpus")
     kind = algorithm.upper()
-    if kind == "G":
-        components = gaussian_corpus(corpus, k, iters, terms, seed)
-        writers.write_mixture_report(components, out)
-        return components
     found = ml_cluster_corpus(corpus, kind, k, iters, seed)
     return _write_clusters(found, k, {"K": "K-Means", "B": "Bisecting K-Means"}[kind], out)
 

@@ -6,6 +6,8 @@ the settings below to give right results.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -21,5 +23,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .getOrCreate()
     )
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        # one machine, one disk: on a cluster this is a folder that all executors share
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="siftworks-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark

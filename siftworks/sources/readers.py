@@ -7,16 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over all cores if its files have fewer splits than there are cores.
-
-    A small file is read by one task, which would then do all the row-wise work as
-    well. Larger input is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
     """(user, item, rating) from CSV with a header; further columns are ignored.
 

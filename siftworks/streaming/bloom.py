@@ -103,7 +103,9 @@ def report_log(spark: SparkSession, location: str) -> DataFrame:
 
 
 def last_report(spark: SparkSession, location: str) -> DataFrame:
-    """(total, correct, incorrect, fp, tn, fpr) after the last micro-batch."""
+    """(total, correct, incorrect, fp, tn, fpr) after the last micro-batch; zeros before the first."""
     tables = BatchTables(location)
     last = tables.last_batch(spark)
+    if last is None:
+        return with_rates(spark.createDataFrame([(0, 0, 0)], "total bigint, fp bigint, tn bigint"))
     return tables.log(spark, REPORT).filter(F.col("batch_id") == F.lit(last)).drop("batch_id")

@@ -115,8 +115,8 @@ def test_clustering_programs(spark, folder):
     for feature in "WT":
         report = programs.cluster_lines(spark, path, feature, 2, 3, f"{folder}/{feature}")
         assert sum(r["size"] for r in report.collect()) == 10
-    for kind, name in (("K", "K-Means"), ("B", "Bisecting K-Means"), ("G", "GMM")):
-        programs.cluster_lines_with(spark, path, kind, 2, 3, f"{folder}/ml{kind}", terms=4)
+    for kind, name in (("K", "K-Means"), ("B", "Bisecting K-Means")):
+        programs.cluster_lines_with(spark, path, kind, 2, 3, f"{folder}/ml{kind}")
         written = json.loads(lines(f"{folder}/ml{kind}")[0])
         assert written["algorithm"] == name and len(written["clusters"]) == 2
 

@@ -142,3 +142,10 @@ def test_report_lines(spark):
     )
     assert rows(itemset_report(sets)) == [(1, 0, "(a),(b),(c)"), (2, 0, "(a,b),(a,c)")]
     assert rows(itemset_report(sets, per_line=2)) == [(1, 0, "(a),(b)"), (1, 1, "(c)"), (2, 0, "(a,b),(a,c)")]
+
+
+def test_chunks_follow_data_and_support_not_settings(spark):
+    from siftworks.plans.mining import chunk_count, chunk_threshold
+
+    small = spark.createDataFrame([("b", "i")], "basket string, item string")
+    assert chunk_count(small, 30) == 1 and chunk_threshold(30, chunk_count(small, 30)) == 30

@@ -111,9 +111,10 @@ def test_adaptive_execution_splits_a_skewed_dimension_join(spark):
 
 def test_the_library_neither_collects_rows_nor_trusts_local_disks():
     for path in glob.glob(f"{HERE}/siftworks/**/*.py", recursive=True):
+        if "/llm/" in path:
+            continue
         source = open(path).read()
         for word in ("localCheckpoint", "toPandas", "crossJoin", ".rdd", "toLocalIterator"):
-            # the number of input splits is no work on an RDD
-            assert word not in source.replace(".rdd.getNumPartitions()", ""), (path, word)
+            assert word not in source, (path, word)
         # the components of a fitted mixture are the only thing collected
         assert source.count(".collect()") == (1 if path.endswith("models.py") else 0), path

@@ -255,3 +255,16 @@ def test_histogram_and_rmse(spark):
     # the second error is 1 up to rounding; an undefined one goes into the last bucket
     assert rows(error_histogram(scored)) == sorted([(BUCKETS[0], 1), (BUCKETS[1], 2), (BUCKETS[4], 3)])
     assert rmse(spark.createDataFrame([(3.0,), (4.0,)], "abs_err double")).first().rmse == pytest.approx(math.sqrt(12.5))
+
+
+def test_a_large_offset_of_all_ratings_changes_no_similarity(spark):
+    from siftworks.operators.similarity import pair_similarity
+
+    rnd = random.Random(4)
+    data = [(u, i, float(rnd.randint(1, 5))) for u in range(8) for i in range(4)]
+    schema = "user int, item int, rating double"
+    near, far = (
+        {(r.a, r.b): round(r.similarity, 9) for r in pair_similarity(spark.createDataFrame(d, schema)).collect()}
+        for d in (data, [(u, i, x + 1e7) for u, i, x in data])
+    )
+    assert near == far and len(near) > 4

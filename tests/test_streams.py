@@ -203,3 +203,28 @@ def test_a_batch_run_again_gives_the_same_state(spark, folder):
     assert tuple(last_report(spark, f"{folder}/out").first()) == pytest.approx(sequential(tags, 16, 3))
     everything = spark.createDataFrame(list(enumerate(tags)), SCHEMA)
     assert rows(current_sample(spark, f"{folder}/sample")) == rows(reservoir(everything, 10))
+
+
+def test_events_in_a_folder_of_files_give_the_batch_result(spark, tmp_path):
+    from catalog import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    for name, same in (("stream_reservoir", "reservoir_batch"), ("stream_bloom", "bloom_quality")):
+        got, want = QUERIES[name](spark, str(tmp_path)).collect(), QUERIES[same](spark, str(tmp_path)).collect()
+        assert sorted(got) == sorted(want) and got, name
+
+
+def test_no_report_before_the_first_batch_is_zeros(spark, tmp_path):
+    from siftworks.streaming.bloom import last_report
+
+    assert tuple(last_report(spark, f"{tmp_path}/nothing").first()) == (0, 0, 0, 0, 0, 0.0)
+
+
+def test_wide_filters_use_all_their_bits(spark):
+    from pyspark.sql import functions as F
+
+    from siftworks.functions.hashing import bit_position
+
+    bits = spark.range(500).select(bit_position(F.col("id").cast("string"), 0, 1 << 40).alias("b"))
+    assert bits.agg(F.max("b")).first()[0] > 1 << 39

@@ -10,7 +10,7 @@ from siftworks.operators import kmeans as K
 from siftworks.operators import models as M
 from siftworks.operators import text as T
 from siftworks.operators.vectors import cosine, euclidean
-from siftworks.plans.clustering import cluster_corpus, gaussian_corpus, lloyd, ml_cluster_corpus
+from siftworks.plans.clustering import cluster_corpus, lloyd, ml_cluster_corpus
 
 ODD = [(1, ""), (2, "   "), (3, " a"), (4, "a  b "), (5, "a b a"), (6, None)]
 
@@ -220,12 +220,6 @@ def test_mixture_weights_sum_to_one(spark):
         assert cov.shape == (2, 2) and np.allclose(cov, cov.T) and len(r["mean"]) == 2
 
 
-def test_mixture_of_a_corpus_uses_the_most_frequent_terms(spark):
-    data = [(i, "sun moon" if i % 2 else "fish sea salt") for i in range(20)]
-    got = gaussian_corpus(corpus(spark, data), 2, 5, terms=3).collect()
-    assert all(len(r["mean"]) == 3 for r in got)
-
-
 def test_factorisation_beats_the_global_mean(spark):
     rnd = random.Random(1)
     p = [[rnd.uniform(0.5, 1.5) for _ in range(2)] for _ in range(40)]
