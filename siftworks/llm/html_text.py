@@ -229,21 +229,26 @@ def _outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 @F.pandas_udf(ArrayType(IntegerType()))
-def _shared_places(own: pd.Series, near: pd.Series, is_open: pd.Series) -> pd.Series:
+def _shared_places(own: pd.Series, before: pd.Series, after: pd.Series, is_open: pd.Series) -> pd.Series:
     out = []
-    for a, b, o in zip(own, near, is_open):
-        a, b = list(map(int, a)), list(map(int, b))
-        # an equal page says nothing about which lines are its template
-        out.append([i for i in common_subsequence(a, b) if o[i]] if a != b else [])
+    for a, *near, o in zip(own, before, after, is_open):
+        a = list(map(int, a))
+        places: set[int] = set()
+        for b in near:
+            b = [] if b is None else list(map(int, b))
+            # an equal page says nothing about which lines are its template
+            if a != b:
+                places.update(common_subsequence(a, b))
+        out.append([i for i in sorted(places) if o[i]])
     return pd.Series(out)
 
 
 def shared_lines(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """(_a, _b, _shared): the open lines that a page shares with its neighbour, by a hash of URL and page.
+    """(_a, _b, _shared): the open lines that a page shares with a neighbour, by a hash of URL and page.
 
-    All pages are ordered by host and path; a page's neighbour is the one before
-    it within the host, for the host's first page the one after it. Only line
-    hashes are moved and sorted, and a host may fill any number of ranges.
+    All pages are ordered by host and path; a page's neighbours are those just
+    before and after it within the host. Only line hashes are moved and sorted,
+    and a host may fill any number of ranges.
     """
     keyed = pages.select(*[h.alias(n) for h, n in zip(_page_key(url, page), ("key_a", "key_b"))], F.col(url).alias("url"), F.col(page).alias("html"))
     kind = "_a long, _b long, host string, path string, n_open int, lines array<long>, open array<boolean>"
@@ -253,12 +258,11 @@ def shared_lines(pages: DataFrame, url: str = "url", page: str = "html") -> Data
     asked = placed.filter("n_open > 0")
     before = placed.select((F.col("place") + 1).alias("place"), F.col("host").alias("_h1"), F.col("lines").alias("_before"))
     after = placed.select((F.col("place") - 1).alias("place"), F.col("host").alias("_h2"), F.col("lines").alias("_after"))
-    near = F.when(F.col("_h1") == F.col("host"), F.col("_before")).when(F.col("_h2") == F.col("host"), F.col("_after"))
+    near = [F.when(F.col(h) == F.col("host"), F.col(c)) for h, c in (("_h1", "_before"), ("_h2", "_after"))]
     return (
         asked.join(before, "place", "left")
         .join(after, "place", "left")
-        .withColumn("_near", F.coalesce(near, F.array().cast("array<long>")))
-        .select("_a", "_b", _shared_places("lines", "_near", "open").alias("_shared"))
+        .select("_a", "_b", _shared_places("lines", *near, "open").alias("_shared"))
         .filter(F.size("_shared") > 0)
         # equal pages at equal URLs: the one with more shared lines speaks for all
         .groupBy("_a", "_b")
@@ -277,7 +281,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", text: str =
 
     The article or main element without menus, headers, footers, sidebars, notices,
     adverts, forms, scripts, styles and comments; pages without such an element keep the
-    lines that are no page furniture and that their nearest neighbour does not share.
+    lines that are no page furniture and that no nearest neighbour shares.
     NULL and empty pages have an empty text, and pages without a URL belong to the host ''.
     Equal rows have equal texts. A column called like ``text`` is replaced.
     """
