@@ -108,7 +108,7 @@ def test_stream_goes_on_after_a_restart(spark, folder):
 def positions(tag, width, num_hash):
     import hashlib
 
-    return [int(hashlib.md5(f"{i}:{tag}".encode()).hexdigest()[:7], 16) % width for i in range(num_hash)]
+    return [int(hashlib.md5(f"{i}:{tag}".encode()).hexdigest()[:15], 16) % width for i in range(num_hash)]
 
 
 def sequential(tags, width, num_hash):
