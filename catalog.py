@@ -395,13 +395,16 @@ def cluster_terms(spark, sf):
     return kmeans.cluster_terms(found.vectors, found.assignment)
 
 
-@query
-def cluster_report(spark, sf):
-    found = two_rounds(spark, sf)
+def reported(found: clustering.Clustering) -> DataFrame:
     report = kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
     return rounded(report.withColumn("terms", F.array_join("terms", ",")), "error")
 
 
+@query
+def cluster_report(spark, sf):
+    return reported(two_rounds(spark, sf))
+
+
 # --- Spark ML ---
 
 
@@ -443,14 +446,14 @@ def ml_bisecting_kmeans(spark, sf):
 
 @query
 def ml_kmeans_text(spark, sf):
-    found = clustering.ml_cluster_corpus(views.corpus(spark, sf), "K", CLUSTERS, iters=10)
-    return kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
+    found = clustering.cluster_corpus_with(views.corpus(spark, sf), "K", CLUSTERS, iters=10, seed=SEED)
+    return reported(found)
 
 
 @query
 def ml_bisecting_kmeans_text(spark, sf):
-    found = clustering.ml_cluster_corpus(views.corpus(spark, sf), "B", CLUSTERS, iters=10)
-    return kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS)
+    found = clustering.cluster_corpus_with(views.corpus(spark, sf), "B", CLUSTERS, iters=10, seed=SEED)
+    return reported(found)
 
 
 @query

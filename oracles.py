@@ -329,19 +329,33 @@ c{i + 1} AS MATERIALIZED (
 
 ROUND1 = f"{_vectors('T')}, {_round(1)}"
 ROUND2 = f"{ROUND1}, {_round(2)}"
-SSE = """
+
+
+def _sse(members: str) -> str:
+    return f"""
 sse AS (
   SELECT CAST(g.cluster AS INTEGER) AS cluster, count(a.doc_id) AS size, coalesce(sum(a.sqdist), 0) AS error
-  FROM range(5) g(cluster) LEFT JOIN assign2 a ON a.cluster = g.cluster GROUP BY g.cluster
+  FROM range(5) g(cluster) LEFT JOIN {members} a ON a.cluster = g.cluster GROUP BY g.cluster
 )"""
-TERMS = """
+
+
+def _top_terms(members: str) -> str:
+    return f"""
 top_terms AS (
   SELECT cluster, term, count(*) AS n_docs,
          row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, term) AS rank
-  FROM vec JOIN assign2 USING (doc_id) GROUP BY cluster, term
+  FROM vec JOIN {members} USING (doc_id) GROUP BY cluster, term
   QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY count(*) DESC, term) <= 10
 )"""
 
+
+SSE = _sse("assign2")
+TERMS = _top_terms("assign2")
+REPORT = """
+SELECT s.cluster, s.size, round(s.error, 6) AS error,
+       coalesce(string_agg(t.term, ',' ORDER BY t.rank), '') AS terms
+FROM sse s LEFT JOIN top_terms t ON t.cluster = s.cluster GROUP BY s.cluster, s.size, s.error"""
+
 ORACLES["doc_centroid_distance"] = f"""
 WITH {ROUND1} SELECT doc_id, cluster, round(sqrt(sqdist), 6) AS distance FROM dist1"""
 ORACLES["doc_cosine_similarity"] = f"""
@@ -367,11 +381,99 @@ ORACLES["kmeans_sse"] = f"WITH {ROUND2}, {SSE} SELECT cluster, size, round(error
 ORACLES["kmeans_wsse"] = f"WITH {ROUND2} SELECT count(*) AS n, round(sum(sqdist), 6) AS wsse FROM assign2"
 ORACLES["cluster_sizes"] = f"WITH {ROUND2}, {SSE} SELECT cluster, size FROM sse"
 ORACLES["cluster_terms"] = f"WITH {ROUND2}, {TERMS} SELECT cluster, rank, term, n_docs FROM top_terms"
-ORACLES["cluster_report"] = f"""
-WITH {ROUND2}, {SSE}, {TERMS}
-SELECT s.cluster, s.size, round(s.error, 6) AS error,
-       coalesce(string_agg(t.term, ',' ORDER BY t.rank), '') AS terms
-FROM sse s LEFT JOIN top_terms t ON t.cluster = s.cluster GROUP BY s.cluster, s.size, s.error"""
+ORACLES["cluster_report"] = f"WITH {ROUND2}, {SSE}, {TERMS} {REPORT}"
+
+# ten updates: eleven assignments
+ORACLES["ml_kmeans_text"] = f"""
+WITH {_vectors('T')}, {','.join(_round(i) for i in range(1, 12))},
+{_sse('assign11')}, {_top_terms('assign11')} {REPORT}"""
+
+
+def _half_round(level: int, i: int) -> str:
+    """One assignment of the documents of cut leaves to clusters 2 * leaf and 2 * leaf + 1, and the new means."""
+    at = f"{level}_{i}"
+    return f"""
+hd{at} AS (
+  SELECT p.doc_id, h.cluster, sum(p.weight * h.weight) AS dot
+  FROM part{level} p JOIN h{at} h ON h.cluster // 2 = p.leaf AND h.term = p.term GROUP BY p.doc_id, h.cluster
+),
+hn{at} AS (SELECT cluster, sum(weight * weight) AS s FROM h{at} GROUP BY cluster),
+ha{at} AS MATERIALIZED (
+  SELECT d.doc_id, 2 * d.leaf + g.side AS cluster
+  FROM cut{level} d CROSS JOIN range(2) g(side)
+  LEFT JOIN norms n ON n.doc_id = d.doc_id
+  LEFT JOIN hd{at} t ON t.doc_id = d.doc_id AND t.cluster = 2 * d.leaf + g.side
+  LEFT JOIN hn{at} m ON m.cluster = 2 * d.leaf + g.side
+  QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY
+    round(sqrt(greatest(round(coalesce(n.s, 0) + coalesce(m.s, 0) - 2 * coalesce(t.dot, 0), 9), 0)), 9), g.side) = 1
+),
+hs{at} AS (SELECT cluster, count(*) AS size FROM ha{at} GROUP BY cluster),
+h{level}_{i + 1} AS MATERIALIZED (
+  SELECT a.cluster, v.term, sum(v.weight) / any_value(s.size) AS weight
+  FROM vec v JOIN ha{at} a USING (doc_id) JOIN hs{at} s ON s.cluster = a.cluster GROUP BY a.cluster, v.term
+  UNION ALL SELECT * FROM h{at} WHERE cluster NOT IN (SELECT cluster FROM hs{at})
+)"""
+
+
+def _level(level: int, iters: int = 10) -> str:
+    """One level of cuts: from leaves{level} and whole{level}, the leaves not to be cut again, to the next ones."""
+    rounds = ",".join(_half_round(level, i) for i in range(1, iters + 2))
+    return f"""
+chosen{level} AS (
+  SELECT leaf FROM leaves{level} WHERE leaf NOT IN (SELECT leaf FROM whole{level})
+  GROUP BY leaf HAVING count(*) > 1
+  QUALIFY row_number() OVER (ORDER BY count(*) DESC, leaf) <= 5 - (SELECT count(DISTINCT leaf) FROM leaves{level})
+),
+cut{level} AS MATERIALIZED (SELECT doc_id, leaf FROM leaves{level} JOIN chosen{level} USING (leaf)),
+part{level} AS MATERIALIZED (SELECT doc_id, leaf, term, weight FROM vec JOIN cut{level} USING (doc_id)),
+first{level} AS (
+  SELECT doc_id, 2 * leaf + row_number() OVER by_hash - 1 AS cluster FROM cut{level}
+  WINDOW by_hash AS (PARTITION BY leaf ORDER BY md5(concat('42-', doc_id)), doc_id)
+  QUALIFY row_number() OVER by_hash <= 2
+),
+h{level}_1 AS MATERIALIZED (SELECT cluster, term, weight FROM vec JOIN first{level} USING (doc_id)),
+{rounds},
+upper{level} AS (
+  SELECT cluster // 2 AS leaf,
+         (SELECT count(DISTINCT leaf) FROM leaves{level}) + row_number() OVER (ORDER BY cluster // 2) - 1 AS new
+  FROM ha{level}_{iters + 1} GROUP BY cluster // 2 HAVING count(DISTINCT cluster) = 2
+),
+leaves{level + 1} AS MATERIALIZED (
+  SELECT l.doc_id, CASE WHEN a.cluster % 2 = 1 THEN coalesce(u.new, l.leaf) ELSE l.leaf END AS leaf
+  FROM leaves{level} l LEFT JOIN ha{level}_{iters + 1} a ON a.doc_id = l.doc_id
+  LEFT JOIN upper{level} u ON u.leaf = l.leaf
+),
+whole{level + 1} AS (
+  SELECT leaf FROM whole{level}
+  UNION ALL SELECT leaf FROM chosen{level} WHERE leaf NOT IN (SELECT leaf FROM upper{level})
+)"""
+
+
+# five leaves need three levels of cuts, and more where leaves stay whole; a level with nothing to cut changes nothing
+LEVELS = 6
+ORACLES["ml_bisecting_kmeans_text"] = f"""
+WITH {_vectors('T')},
+leaves1 AS (SELECT doc_id, CAST(0 AS BIGINT) AS leaf FROM documents),
+whole1 AS (SELECT leaf FROM leaves1 WHERE false),
+{','.join(_level(i) for i in range(1, LEVELS + 1))},
+leaf_sizes AS (SELECT leaf, count(*) AS size FROM leaves{LEVELS + 1} GROUP BY leaf),
+means AS (
+  SELECT l.leaf, v.term, sum(v.weight) / any_value(s.size) AS weight
+  FROM vec v JOIN leaves{LEVELS + 1} l USING (doc_id) JOIN leaf_sizes s ON s.leaf = l.leaf GROUP BY l.leaf, v.term
+),
+mean_norms AS (SELECT leaf, sum(weight * weight) AS s FROM means GROUP BY leaf),
+mean_dots AS (
+  SELECT v.doc_id, sum(v.weight * m.weight) AS dot
+  FROM vec v JOIN leaves{LEVELS + 1} l ON l.doc_id = v.doc_id JOIN means m ON m.leaf = l.leaf AND m.term = v.term
+  GROUP BY v.doc_id
+),
+members AS (
+  SELECT l.doc_id, CAST(l.leaf AS INTEGER) AS cluster,
+         greatest(round(coalesce(n.s, 0) + coalesce(m.s, 0) - 2 * coalesce(d.dot, 0), 9), 0) AS sqdist
+  FROM leaves{LEVELS + 1} l LEFT JOIN norms n ON n.doc_id = l.doc_id LEFT JOIN mean_norms m ON m.leaf = l.leaf
+  LEFT JOIN mean_dots d ON d.doc_id = l.doc_id
+),
+{_sse('members')}, {_top_terms('members')} {REPORT}"""
 
 
 # --- samples and streams ---

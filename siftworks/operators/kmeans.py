@@ -24,6 +24,22 @@ def init_centroids(vectors: DataFrame, docs: DataFrame, k: int, seed: int) -> Da
     return vectors.join(F.broadcast(start), "doc_id").select("cluster", "term", "weight")
 
 
+def init_halves(vectors: DataFrame, docs: DataFrame, seed: int) -> DataFrame:
+    """(cluster, term, weight): clusters 2 * leaf and 2 * leaf + 1 are the first two documents of each leaf.
+
+    ``docs`` is (doc_id, leaf).
+    """
+    first = W.partitionBy("leaf").orderBy("_p", "doc_id")
+    start = (
+        docs.withColumn("_p", priority(seed, "doc_id"))
+        .withColumn("_place", F.row_number().over(first))
+        .filter(F.col("_place") <= 2)
+        .select("doc_id", (2 * F.col("leaf") + F.col("_place") - 1).alias("cluster"))
+    )
+    # two rows per leaf
+    return vectors.join(F.broadcast(start), "doc_id").select("cluster", "term", "weight")
+
+
 def assign(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """(doc_id, cluster, distance, sqdist): the nearest centroid, the lower id on a tie."""
     return nearest(vectors, docs, centroids, k)

@@ -22,8 +22,11 @@ def _by_cluster(value: str) -> Column:
     return F.map_from_entries(F.collect_list(F.struct(F.col("cluster").cast("int"), value)))
 
 
-def _products(vectors: DataFrame, docs: DataFrame, centroids: DataFrame) -> DataFrame:
-    """(doc_id, doc_norm, dots, norms): one row per document.
+def _products(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, *shared: str) -> DataFrame:
+    """(doc_id, shared, doc_norm, dots, norms): one row per document.
+
+    Documents meet only the centroids that agree with them in the ``shared`` columns,
+    which all three tables have.
 
     ``dots`` has the products by cluster, ``norms`` the squared norms of the
     centroids; clusters that are missing in them have zero. Both have at most
@@ -32,7 +35,7 @@ def _products(vectors: DataFrame, docs: DataFrame, centroids: DataFrame) -> Data
     """
     squares = F.sum(F.col("weight") * F.col("weight"))
     dots = (
-        vectors.join(centroids.withColumnRenamed("weight", "_c"), "term")
+        vectors.join(centroids.withColumnRenamed("weight", "_c"), [*shared, "term"])
         .groupBy("doc_id", "cluster")
         .agg(F.sum(F.col("weight") * F.col("_c")).alias("_dot"))
         .groupBy("doc_id")
@@ -42,11 +45,12 @@ def _products(vectors: DataFrame, docs: DataFrame, centroids: DataFrame) -> Data
     norms = centroids.groupBy("cluster").agg(squares.alias("_norm")).agg(_by_cluster("_norm"))
     none = F.map_from_arrays(F.array(), F.array()).cast(BY_CLUSTER)
     return (
-        docs.select("doc_id")
+        docs.select("doc_id", *shared)
         .join(doc_norms, "doc_id", "left")
         .join(dots, "doc_id", "left")
         .select(
             "doc_id",
+            *shared,
             F.coalesce("_doc", F.lit(0.0)).alias("doc_norm"),
             F.coalesce("_dots", none).alias("dots"),
             norms.scalar().alias("norms"),
@@ -80,22 +84,39 @@ def euclidean(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int)
     )
 
 
+def _nearest(products: DataFrame, candidates: Column) -> DataFrame:
+    def entry(c: Column) -> Column:
+        square = _square(c)
+        return F.struct(F.round(F.sqrt(square), PLACES).alias("near"), c.alias("cluster"), square.alias("sqdist"))
+
+    return products.select("doc_id", F.array_min(F.transform(candidates, entry)).alias("_best")).select(
+        "doc_id", "_best.cluster", F.sqrt("_best.sqdist").alias("distance"), "_best.sqdist"
+    )
+
+
 def nearest(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
     """(doc_id, cluster, distance, sqdist): the nearest centroid, the lower id on a tie.
 
     The choice is made within the document's row.
     """
+    return _nearest(_products(vectors, docs, centroids), _clusters(k))
 
-    def entry(c: Column) -> Column:
-        square = _square(c)
-        return F.struct(F.round(F.sqrt(square), PLACES).alias("near"), c.alias("cluster"), square.alias("sqdist"))
 
-    best = F.array_min(F.transform(_clusters(k), entry))
-    return (
-        _products(vectors, docs, centroids)
-        .select("doc_id", best.alias("_best"))
-        .select("doc_id", "_best.cluster", F.sqrt("_best.sqdist").alias("distance"), "_best.sqdist")
-    )
+def nearest_half(vectors: DataFrame, docs: DataFrame, centroids: DataFrame) -> DataFrame:
+    """As ``nearest``, between the two halves 2 * leaf and 2 * leaf + 1 of each document's leaf.
+
+    ``vectors`` and ``docs`` have a column ``leaf``.
+    """
+    halves = F.array(2 * F.col("leaf"), 2 * F.col("leaf") + 1)
+    own = centroids.withColumn("leaf", F.shiftright("cluster", 1))
+    return _nearest(_products(vectors, docs, own, "leaf"), halves)
+
+
+def member_distances(vectors: DataFrame, members: DataFrame, centroids: DataFrame) -> DataFrame:
+    """(doc_id, cluster, sqdist) of (doc_id, cluster) rows to the centroid of their own cluster."""
+    square = _square(F.col("cluster"))
+    own = vectors.join(members.select("doc_id", "cluster"), "doc_id")
+    return _products(own, members, centroids, "cluster").select("doc_id", "cluster", square.alias("sqdist"))
 
 
 def cosine(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftworks.functions.skew import broadcast_if_small
-from siftworks.operators import models
-from siftworks.operators.kmeans import assign, init_centroids, update_centroids
-from siftworks.operators.text import features, tfidf
+from siftworks.operators.kmeans import assign, init_centroids, init_halves, update_centroids
+from siftworks.operators.text import features
+from siftworks.operators.vectors import member_distances, nearest_half
 from siftworks.sources.shared import materialize, partitions_for
 
 
@@ -30,7 +31,7 @@ def lloyd(
     seed: int = 42,
     start: DataFrame | None = None,
 ) -> Clustering:
-    """k-means with exactly ``iters`` rounds and no early stop.
+    """k-means with the result of exactly ``iters`` rounds; rounds that can change nothing more are left out.
 
     As in the programs rebuilt here the result is the assignment of the last
     round, made before that round's centroid update; one round therefore
@@ -48,9 +49,11 @@ def lloyd(
     docs = docs.select("doc_id").repartition(partitions, "doc_id").persist()
     centroids = _stored(start if start is not None else init_centroids(held, docs, k, seed))
     assignment = materialize(assign(held, docs, centroids, k), "assignment")
-    for _ in range(iters - 1):
+    for left in reversed(range(iters - 1)):
         centroids = _stored(update_centroids(held, assignment, centroids))
-        assignment = materialize(assign(held, docs, centroids, k), "assignment")
+        before, assignment = assignment, materialize(assign(held, docs, centroids, k), "assignment")
+        if left and _settled(before, assignment):
+            break
     held.unpersist()
     docs.unpersist()
     return Clustering(vectors, assignment, centroids)
@@ -67,20 +70,89 @@ def cluster_corpus(corpus: DataFrame, feature: str, k: int, iters: int, seed: in
     return lloyd(vectors, corpus.select("doc_id"), k, iters, seed)
 
 
-def ml_cluster_corpus(
-    corpus: DataFrame, algorithm: str, k: int, iters: int, seed: int = 42, max_terms: int = models.MAX_TERMS
-) -> Clustering:
-    """Spark ML k-means (``"K"``) or bisecting k-means (``"B"``) of a corpus over TF-IDF.
+def cluster_corpus_with(corpus: DataFrame, algorithm: str, k: int, iters: int, seed: int = 42) -> Clustering:
+    """k-means (``"K"``) or bisecting k-means (``"B"``) of a corpus over TF-IDF.
+
+    Centroids are updated up to ``iters`` times; the result has the distances to the final ones.
+    """
+    kind = algorithm.upper()
+    if kind not in ("K", "B"):
+        raise ValueError("algorithm is 'K' (k-means) or 'B' (bisecting k-means)")
+    if kind == "K":
+        return cluster_corpus(corpus, "T", k, iters + 1, seed)
+    return bisect(materialize(features(corpus, "T"), "vectors"), corpus.select("doc_id"), k, iters, seed)
+
 
-    The result has the distances to the final centres, for every cluster the model made.
+def bisect(vectors: DataFrame, docs: DataFrame, k: int, iters: int, seed: int = 42) -> Clustering:
+    """Bisecting k-means: leaves are cut in two, level by level, until there are ``k``.
+
+    A level cuts all leaves at once, or the largest ones (on a tie the lower id) where all would
+    give more than ``k``. A cut is two-means with up to ``iters`` updates that starts from the leaf's first two
+    documents in the order of a seeded hash. The lower half keeps the leaf's id, the upper
+    halves take the next ids in the order of their leaves. A leaf that does not fall
+    apart, as one of equal documents, is not cut again, so there may be fewer than ``k``.
+
+    Only tables of at most 2 * k rows describe the leaves; a document meets only the two centroids of its leaf.
     """
-    fit = {"K": models.kmeans_model, "B": models.bisecting_model}[algorithm.upper()]
-    spark = corpus.sparkSession
-    rows, terms = models.tfidf_features(corpus, max_terms)
-    rows = rows.persist()
-    model = fit(rows, k, iters, seed)
-    members = materialize(model.transform(rows).select("doc_id", "cluster"), "members")
-    rows.unpersist()
-    vectors = materialize(tfidf(corpus), "vectors")
-    centers = materialize(models.sparse_centers(model, terms, spark), "centers")
-    return Clustering(vectors, models.sparse_member_distances(vectors, members, centers), centers)
+    partitions = partitions_for(vectors)
+    held = vectors.repartition(partitions, "doc_id").persist()
+    leaves = materialize(docs.select("doc_id", F.lit(0).alias("leaf")), "leaves")
+    whole: DataFrame | None = None
+    n = 1
+    while n < k:
+        sizes = leaves.groupBy("leaf").agg(F.count("*").alias("size")).filter(F.col("size") > 1)
+        if whole is not None:
+            sizes = sizes.join(F.broadcast(whole), "leaf", "left_anti")
+        largest = sizes.orderBy(F.col("size").desc(), "leaf").limit(k - n)
+        chosen = F.broadcast(materialize(largest.select("leaf"), "chosen"))
+        if chosen.isEmpty():
+            break
+        halves = _cut(held, leaves.join(chosen, "leaf").select("doc_id", "leaf"), partitions, iters, seed)
+        fell_apart = (
+            halves.groupBy(F.shiftright("cluster", 1).alias("leaf"))
+            .agg(F.count_distinct("cluster").alias("_halves"))
+            .filter(F.col("_halves") == 2)
+        )
+        # at most k rows
+        upper = materialize(
+            fell_apart.select("leaf", (F.row_number().over(W.orderBy("leaf")) + (n - 1)).alias("_new")), "upper"
+        )
+        left = chosen.join(F.broadcast(upper), "leaf", "left_anti")
+        whole = left if whole is None else whole.unionByName(left)
+        moved = (
+            halves.filter(F.col("cluster") % 2 == 1)
+            .select("doc_id", F.shiftright("cluster", 1).alias("leaf"))
+            .join(F.broadcast(upper), "leaf")
+            .select("doc_id", "_new")
+        )
+        new = F.coalesce("_new", "leaf").alias("leaf")
+        leaves = materialize(leaves.join(moved, "doc_id", "left").select("doc_id", new), "leaves")
+        n += upper.count()
+    members = leaves.select("doc_id", F.col("leaf").alias("cluster"))
+    none = vectors.sparkSession.createDataFrame([], "cluster int, term string, weight double")
+    centroids = _stored(update_centroids(held, members, none))
+    assignment = materialize(member_distances(held, members, centroids), "assignment")
+    held.unpersist()
+    return Clustering(vectors, assignment, centroids)
+
+
+def _cut(vectors: DataFrame, docs: DataFrame, partitions: int, iters: int, seed: int) -> DataFrame:
+    """Two-means within each leaf: assignment of (doc_id, leaf) rows to clusters 2 * leaf and 2 * leaf + 1."""
+    docs = docs.repartition(partitions, "doc_id").persist()
+    own = vectors.join(docs, "doc_id").persist()
+    centroids = _stored(init_halves(own, docs, seed))
+    assignment = materialize(nearest_half(own, docs, centroids), "halves")
+    for _ in range(iters):
+        centroids = _stored(update_centroids(own, assignment, centroids))
+        before, assignment = assignment, materialize(nearest_half(own, docs, centroids), "halves")
+        if _settled(before, assignment):
+            break
+    own.unpersist()
+    docs.unpersist()
+    return assignment
+
+
+def _settled(before: DataFrame, after: DataFrame) -> bool:
+    """No document has changed its cluster, so that further rounds would give the same again."""
+    old = before.select("doc_id", F.col("cluster").alias("_old"))
+    return after.join(old, "doc_id").filter(F.col("cluster") != F.col("_old")).isEmpty()

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from siftworks.operators import models
 from siftworks.operators.evaluation import error_histogram, rmse
 from siftworks.operators.kmeans import cluster_report
-from siftworks.plans.clustering import Clustering, cluster_corpus, ml_cluster_corpus
+from siftworks.plans.clustering import Clustering, cluster_corpus, cluster_corpus_with
 from siftworks.plans.mining import chunk_count, son
 from siftworks.plans.recommend import item_cf, user_cf
 from siftworks.sources import writers
@@ -80,10 +80,10 @@ def cluster_lines(
 def cluster_lines_with(
     spark: SparkSession, path: str, algorithm: str, k: int, iters: int, out: str, seed: int = 42
 ) -> DataFrame:
-    """Spark ML k-means (``"K"``) or bisecting k-means (``"B"``) of the lines of a file over TF-IDF."""
+    """k-means (``"K"``) or bisecting k-means (``"B"``) of the lines of a file over TF-IDF."""
     corpus = materialize(read_corpus(spark, path), "corpus")
     kind = algorithm.upper()
-    found = ml_cluster_corpus(corpus, kind, k, iters, seed)
+    found = cluster_corpus_with(corpus, kind, k, iters, seed)
     return _write_clusters(found, k, {"K": "K-Means", "B": "Bisecting K-Means"}[kind], out)
 
 

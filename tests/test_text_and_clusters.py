@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -10,7 +11,7 @@ from siftworks.operators import kmeans as K
 from siftworks.operators import models as M
 from siftworks.operators import text as T
 from siftworks.operators.vectors import cosine, euclidean
-from siftworks.plans.clustering import cluster_corpus, lloyd, ml_cluster_corpus
+from siftworks.plans.clustering import bisect, cluster_corpus, cluster_corpus_with, lloyd
 
 ODD = [(1, ""), (2, "   "), (3, " a"), (4, "a  b "), (5, "a b a"), (6, None)]
 
@@ -192,7 +193,7 @@ def test_text_clusters_have_the_distances_of_dense_vectors(spark):
     data = [(i, ("sun moon star " if i % 2 else "fish salt sea ") * (1 + i % 3) + f"n{i}") for i in range(12)]
     data.append((12, "  "))
     for algorithm in "KB":
-        found = ml_cluster_corpus(corpus(spark, data), algorithm, 2, 10)
+        found = cluster_corpus_with(corpus(spark, data), algorithm, 2, 10)
         x, c = {}, {}
         for r in found.vectors.collect():
             x.setdefault(r.doc_id, {})[r.term] = r.weight
@@ -206,9 +207,53 @@ def test_text_clusters_have_the_distances_of_dense_vectors(spark):
             assert r.sqdist == pytest.approx(expected, abs=1e-9)
 
 
-def test_wide_vocabularies_are_refused_not_cut(spark):
-    with pytest.raises(ValueError, match="too wide"):
-        ml_cluster_corpus(corpus(spark, [(1, "a b c d")]), "K", 1, 1, max_terms=3)
+def dense_bisect(x, k, iters, seed=42):
+    """Plain bisecting k-means: the leaf of every row."""
+    order = sorted(range(len(x)), key=lambda d: (hashlib.md5(f"{seed}-{d}".encode()).hexdigest(), d))
+    leaf, whole, n = np.zeros(len(x), int), set(), 1
+    while n < k:
+        sizes = {i: (leaf == i).sum() for i in set(leaf) - whole if (leaf == i).sum() > 1}
+        chosen = sorted(sizes, key=lambda i: (-sizes[i], i))[: k - n]
+        if not chosen:
+            break
+        for i in sorted(chosen):
+            own = [d for d in order if leaf[d] == i]
+            half = dense_lloyd(x[own], [0, 1], iters + 1)
+            if 0 < half.sum() < len(own):
+                leaf[[d for d, h in zip(own, half) if h]] = n
+                n += 1
+            else:
+                whole.add(i)
+    return leaf
+
+
+@pytest.mark.parametrize("k,iters", [(1, 3), (5, 4), (40, 1)])
+def test_bisecting_against_dense_arrays(spark, k, iters):
+    rnd = random.Random(k)
+    # equal rows form leaves that cannot be cut; row 24 is the zero vector
+    x = np.array([[rnd.randint(0, 9), rnd.randint(0, 9)] for _ in range(16)] + [[3, 3]] * 5 + [[8, 1]] * 3 + [[0, 0]])
+    v = vectors(spark, [(d, "xy"[j], float(x[d, j])) for d in range(25) for j in (0, 1) if x[d, j]])
+    found = bisect(v, ids(spark, 25), k, iters)
+    expected = dense_bisect(x.astype(float), k, iters)
+    got = rows(found.assignment, "doc_id", "cluster", "sqdist")
+    assert [c for _, c, _ in got] == list(expected)
+    for d, c, square in got:
+        assert square == pytest.approx(((x[d] - x[expected == c].mean(0)) ** 2).sum(), abs=1e-8)
+
+
+def test_no_documents_to_cut(spark):
+    assert bisect(vectors(spark, []), ids(spark, 0), 3, 2).assignment.count() == 0
+
+
+def test_rounds_after_the_last_change_are_left_out(spark):
+    start = centroids(spark, [(0, "x", 1.0), (1, "x", 9.0)])
+    few, many = (lloyd(vectors(spark, POINTS), ids(spark, 4), 2, n, start=start) for n in (3, 50))
+    assert rows(few.assignment) == rows(many.assignment) and rows(few.centroids) == rows(many.centroids)
+
+
+def test_unknown_algorithm(spark):
+    with pytest.raises(ValueError):
+        cluster_corpus_with(corpus(spark), "G", 2, 1)
 
 
 def test_mixture_weights_sum_to_one(spark):
