@@ -5,6 +5,7 @@ Doubles are rounded here, at the edge, and nowhere inside the operators.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +27,9 @@ from siftworks.operators import (
 from siftworks.operators.reservoir import reservoir
 from siftworks.plans import clustering, mining, recommend
 from siftworks.sources import testviews as views
-from siftworks.sources.readers import read_baskets, read_ratings, read_stream
-from siftworks.sources.shared import materialize, new_path
-from siftworks.sources.writers import write_predictions
+from siftworks.sources.readers import read_baskets, read_corpus, read_ratings, read_stream
+from siftworks.sources.shared import ROWS_PER_PARTITION, materialize, new_path
+from siftworks.sources.writers import write_cluster_report, write_itemset_report, write_predictions
 from siftworks.streaming import bloom as bloom_streams
 from siftworks.streaming import reservoir as reservoir_streams
 
@@ -194,6 +195,22 @@ def rating_rmse_user(spark, sf):
     return rounded(evaluation.rmse(recommend.user_cf(train, test)), "rmse")
 
 
+# Groups above this many rows take the heavy route in the queries below; the given tables have some.
+HEAVY = 20
+
+
+@query
+def cf_item_scored_heavy(spark, sf):
+    train, test = views.split_ratings(spark, sf)
+    return rounded(recommend.item_cf(train, test, heavy_rows=HEAVY), "prediction", "abs_err")
+
+
+@query
+def cf_user_scored_heavy(spark, sf):
+    train, test = views.split_ratings(spark, sf)
+    return rounded(recommend.user_cf(train, test, heavy_rows=HEAVY), "prediction", "abs_err")
+
+
 # --- frequent itemsets ---
 
 
@@ -273,9 +290,28 @@ def itemset_report(spark, sf):
     return itemsets.itemset_report(mining.apriori(b, support_of(b, 0.005)), per_line=100)
 
 
+@query
+def itemset_report_file(spark, sf):
+    """The report written as text and read back, the empty lines between sizes included."""
+    path = new_path(spark, "itemset-report")
+    b = views.stored_baskets(spark, sf)
+    write_itemset_report(mining.apriori(b, support_of(b, 0.005)), path, per_line=100)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 # --- text features ---
 
 
+@query
+def corpus_lines(spark, sf):
+    """Each text as one line of a text file, read back as a corpus; ids are unique but not fixed."""
+    path = new_path(spark, "corpus")
+    line = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\r\n]+", " ")
+    views.corpus(spark, sf).select(line.alias("value")).write.text(path)
+    read = materialize(read_corpus(spark, path), "corpus")
+    return read.groupBy("text").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("n_ids"))
+
+
 @query
 def term_counts(spark, sf):
     return text.term_counts(views.corpus(spark, sf))
@@ -405,9 +441,29 @@ def cluster_report(spark, sf):
     return reported(two_rounds(spark, sf))
 
 
+@query
+def cluster_report_file(spark, sf):
+    """The report written as JSON and read back."""
+    path = new_path(spark, "cluster-report")
+    found = two_rounds(spark, sf)
+    write_cluster_report(kmeans.cluster_report(found.vectors, found.assignment, CLUSTERS), "K-Means", path)
+    schema = "algorithm string, WSSE double, clusters array<struct<id:int,size:bigint,error:double,terms:array<string>>>"
+    read = spark.read.schema(schema).json(path)
+    rows = read.select("algorithm", F.col("WSSE").alias("wsse"), F.inline("clusters"))
+    return rounded(rows.withColumn("terms", F.array_join("terms", ",")), "wsse", "error")
+
+
 # --- Spark ML ---
 
 
+@query
+def als_rows(spark, sf):
+    """The test rows that have a prediction; all predictions are numbers."""
+    train, test = views.split_ratings(spark, sf)
+    known = models.als_cf(train, test)
+    return known.filter(F.col("prediction").isNotNull() & ~F.isnan("prediction")).select("user", "item", "rating")
+
+
 @query
 def als_predictions(spark, sf):
     train, test = views.split_ratings(spark, sf)
@@ -461,6 +517,42 @@ def ml_gmm(spark, sf):
     return models.gaussian_mixture(embedded(spark, sf), 3, 10, SEED)
 
 
+def cluster_totals(clusters: DataFrame) -> DataFrame:
+    """(n_rows, n_bad): all members, and clusters whose error is no number or below zero."""
+    error = F.col("error")
+    bad = error.isNull() | F.isnan(error) | (error < 0)
+    return clusters.agg(F.sum("size").alias("n_rows"), F.count(F.when(bad, 1)).alias("n_bad"))
+
+
+@query
+def ml_kmeans_totals(spark, sf):
+    return cluster_totals(ml_kmeans(spark, sf))
+
+
+@query
+def ml_bisecting_kmeans_totals(spark, sf):
+    return cluster_totals(ml_bisecting_kmeans(spark, sf))
+
+
+@query
+def ml_gmm_moments(spark, sf):
+    """(i, j, mean, moment): what a mixture keeps of the data in every round of its fit.
+
+    The weighted means of the components are the column means, and weighted covariances plus
+    products of means are the second moments.
+    """
+    components = models.gaussian_mixture(embedded(spark, sf), 3, 10, SEED)
+    cells = components.select("component", "weight", "mean", F.posexplode("covariance").alias("i", "_row")).select(
+        "component", "weight", "mean", "i", F.posexplode("_row").alias("j", "_cov")
+    )
+    at = lambda c: F.get("mean", F.col(c))
+    moments = cells.groupBy("i", "j").agg(
+        F.sum(F.col("weight") * at("i")).alias("mean"),
+        F.sum(F.col("weight") * (F.col("_cov") + at("i") * at("j"))).alias("moment"),
+    )
+    return rounded(moments, "mean", "moment")
+
+
 # --- samples and streams ---
 
 BLOOM = {"width": 4096, "num_hash": 6}
@@ -542,3 +634,38 @@ def stream_bloom(spark, sf):
     tagged = event_stream(spark, sf).select("ts", "event_id", views.event_tag().alias("text"))
     bloom_streams.bloom_stream(tagged, location, ["ts", "event_id"], **BLOOM).awaitTermination()
     return rounded(bloom_streams.last_report(spark, location), "fpr")
+
+
+def event_files(spark: SparkSession, sf: str) -> str:
+    """The events in order of time, cut into files of bounded size that are written one after the other."""
+    path = new_path(spark, "events")
+    events = views.table(spark, sf, "events")
+    files = max(4, math.ceil(events.count() / ROWS_PER_PARTITION))
+    events = events.repartitionByRange(files, "ts", "event_id")
+    # a stored file holds one part, so that a filter opens the files of its part only
+    cut = materialize(events.withColumn("_part", F.spark_partition_id()), "events")
+    for i in range(files):
+        cut.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def batched_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as a stream of several micro-batches, one file each."""
+    schema = views.table(spark, sf, "events").schema
+    return read_stream(spark, event_files(spark, sf), schema, max_files=1)
+
+
+@query
+def stream_reservoir_batches(spark, sf):
+    location = new_path(spark, "reservoir")
+    texts = batched_events(spark, sf).select("event_id", views.status_text().alias("text"))
+    reservoir_streams.reservoir_stream(texts, location).awaitTermination()
+    return reservoir_streams.current_sample(spark, location)
+
+
+@query
+def stream_bloom_batches(spark, sf):
+    location = new_path(spark, "bloom")
+    tagged = batched_events(spark, sf).select("ts", "event_id", views.event_tag().alias("text"))
+    bloom_streams.bloom_stream(tagged, location, ["ts", "event_id"], **BLOOM).awaitTermination()
+    return rounded(bloom_streams.last_report(spark, location), "fpr")

@@ -547,3 +547,27 @@ SELECT (SELECT count(*) FROM events) AS seen, count(*) AS sample_size,
        (SELECT string_agg(tag, ',' ORDER BY rank) FROM top_tags) AS top_tags
 FROM sample"""
 ORACLES["stream_bloom"] = ORACLES["bloom_quality"]
+
+# --- files read back, other routes to the same rows, and invariants of fitted models ---
+
+ORACLES["corpus_lines"] = """
+SELECT regexp_replace(coalesce(text, ''), '[\\r\\n]+', ' ', 'g') AS text, count(*) AS n, count(*) AS n_ids
+FROM documents GROUP BY 1"""
+ORACLES["itemset_report_file"] = f"""
+WITH report AS ({ORACLES["itemset_report"]})
+SELECT line FROM report UNION ALL SELECT '' FROM (SELECT DISTINCT size FROM report)"""
+ORACLES["cluster_report_file"] = f"""
+WITH report AS ({ORACLES["cluster_report"]}), total AS ({ORACLES["kmeans_wsse"]})
+SELECT 'K-Means' AS algorithm, wsse, cluster AS id, size, error, terms FROM report CROSS JOIN total"""
+ORACLES["cf_item_scored_heavy"] = ORACLES["cf_item_scored"]
+ORACLES["cf_user_scored_heavy"] = ORACLES["cf_user_scored"]
+ORACLES["als_rows"] = f"""WITH {SPLIT} SELECT "user", item, rating FROM known"""
+ORACLES["ml_kmeans_totals"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad FROM embeddings"
+ORACLES["ml_bisecting_kmeans_totals"] = ORACLES["ml_kmeans_totals"]
+ORACLES["ml_gmm_moments"] = """
+WITH places AS (SELECT CAST(unnest(range(max(len(embedding)))) AS INTEGER) AS p FROM embeddings)
+SELECT a.p AS i, b.p AS j, round(avg(CAST(embedding[a.p + 1] AS DOUBLE)), 6) AS mean,
+       round(avg(CAST(embedding[a.p + 1] AS DOUBLE) * CAST(embedding[b.p + 1] AS DOUBLE)), 6) AS moment
+FROM embeddings CROSS JOIN places a CROSS JOIN places b GROUP BY a.p, b.p"""
+ORACLES["stream_reservoir_batches"] = ORACLES["stream_reservoir"]
+ORACLES["stream_bloom_batches"] = ORACLES["stream_bloom"]
