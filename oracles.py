@@ -561,6 +561,7 @@ WITH report AS ({ORACLES["cluster_report"]}), total AS ({ORACLES["kmeans_wsse"]}
 SELECT 'K-Means' AS algorithm, wsse, cluster AS id, size, error, terms FROM report CROSS JOIN total"""
 ORACLES["cf_item_scored_heavy"] = ORACLES["cf_item_scored"]
 ORACLES["cf_user_scored_heavy"] = ORACLES["cf_user_scored"]
+ORACLES["frequent_itemsets_heavy"] = ORACLES["frequent_itemsets_all"]
 ORACLES["als_rows"] = f"""WITH {SPLIT} SELECT "user", item, rating FROM known"""
 ORACLES["ml_kmeans_totals"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad FROM embeddings"
 ORACLES["ml_bisecting_kmeans_totals"] = ORACLES["ml_kmeans_totals"]

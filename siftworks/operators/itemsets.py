@@ -42,19 +42,22 @@ def _have_frequent_subsets(sets: DataFrame, level: DataFrame, by: list[str], pos
     return sets
 
 
-def apriori_candidates(level: DataFrame, size: int, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Candidates of ``size`` from the frequent itemsets of ``size - 1``: (items).
+def apriori_candidates(
+    level: DataFrame, size: int, heavy_rows: int = HEAVY_ROWS, by: list[str] | None = None
+) -> DataFrame:
+    """Candidates of ``size`` from the frequent itemsets of ``size - 1``: (by..., items).
 
-    Two itemsets that differ only in their last item are joined; candidates with
-    an infrequent subset are pruned.
+    Two itemsets that differ only in their last item are joined, within each value of
+    ``by``; candidates with an infrequent subset are pruned.
     """
-    rows = level.select(
-        F.slice("items", 1, size - 2).alias("prefix"), F.element_at("items", -1).alias("last")
-    )
+    by = by or []
+    prefix = F.struct(*by, F.slice("items", 1, size - 2).alias("head"))
+    rows = level.select(prefix.alias("prefix"), F.element_at("items", -1).alias("last"))
     light, heavy, sizes, _ = split_heavy(rows, "prefix", heavy_rows)
+    key = [F.col(f"prefix.{c}").alias(c) for c in by]
 
     def joined(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.concat("prefix", F.array("a", "b")).alias("items"))
+        return pairs.select(*key, F.concat("prefix.head", F.array("a", "b")).alias("items"))
 
     l = light.select("prefix", F.col("last").alias("a"))
     r = light.select("prefix", F.col("last").alias("b"))
@@ -62,21 +65,35 @@ def apriori_candidates(level: DataFrame, size: int, heavy_rows: int = HEAVY_ROWS
     if heavy is not None:
         keyed = heavy.select("prefix", F.struct("prefix", "last").alias("row"))
         pairs = blocked_self_pairs(keyed, sizes, "prefix", "row", block_rows=heavy_rows)
-        candidates = candidates.unionByName(
-            pairs.select(F.concat("a.prefix", F.array("a.last", "b.last")).alias("items"))
-        )
+        met = pairs.select(F.col("a.prefix").alias("prefix"), F.col("a.last").alias("a"), F.col("b.last").alias("b"))
+        candidates = candidates.unionByName(joined(met))
     # the subsets without the last or the last but one item are the two joined ones
-    return _have_frequent_subsets(candidates, level, [], range(1, size - 1))
+    return _have_frequent_subsets(candidates, level, by, range(1, size - 1))
+
 
+def _heavy_support(sets: DataFrame, heavy: DataFrame, by: list[str]) -> DataFrame:
+    """How many heavy baskets contain each of ``sets``.
 
-def _heavy_support(sets: DataFrame, heavy: DataFrame, by: list[str], size: int) -> DataFrame:
-    """How many heavy baskets contain each of ``sets``."""
+    A set meets only the baskets that hold its rarest item, and its other items are
+    looked up there. All sides are stored, so adaptive execution can split a hot item.
+    """
+    found = materialize(heavy.groupBy(*by, "item").agg(F.count("*").alias("_n")), "heavy-items")
+    items = sets.select(*by, "items", F.explode("items").alias("item"))
+    # an item in no heavy basket at all has no row, and fewer places than the set has items
+    rarest = (
+        items.join(found, [*by, "item"])
+        .groupBy(*by, "items")
+        .agg(F.min(F.struct("_n", "item"))["item"].alias("item"), F.count("*").alias("_places"))
+        .filter(F.col("_places") == F.size("items"))
+        .drop("_places")
+    )
+    met = materialize(rarest, "rarest").join(heavy, [*by, "item"])
+    others = met.select(*by, "items", "basket", F.explode(F.array_except("items", F.array("item"))).alias("item"))
     return (
-        sets.select(*by, "items", F.explode("items").alias("item"))
-        .join(heavy, [*by, "item"])
+        others.join(heavy, [*by, "basket", "item"])
         .groupBy(*by, "items", "basket")
         .count()
-        .filter(F.col("count") == size)
+        .filter(F.col("count") == F.size("items") - 1)
         .groupBy(*by, "items")
         .agg(F.count("*").alias("support"))
     )
@@ -115,7 +132,7 @@ def mine_levels(
         wanted = candidates.select(F.explode("items").alias("item")).distinct()
         singles = singles.join(wanted, "item", "left_semi")
     singles = materialize(singles.filter(F.col("support") >= threshold), "itemsets")
-    n = singles.count()
+    n, n_rows = singles.agg(F.count("*"), F.sum("support")).first()
     level = singles.select(*by, F.array("item").alias("items"), "support")
     levels = [level]
     if n == 0 or max_k == 1:
@@ -125,7 +142,8 @@ def mine_levels(
     rows = rows.join(broadcast_if_small(singles.select(*by, "item"), n), [*by, "item"], "left_semi")
     light, heavy, sizes, n_heavy = split_heavy(rows, "basket", heavy_rows)
     light = light.select(*by, "basket", "item")
-    light = light.repartition(partitions_for(light), "basket").persist()
+    # the supports of the frequent items add up to their rows
+    light = light.repartition(partitions_for(light, n_rows), "basket").persist()
     if heavy is not None:
         heavy = materialize(heavy.select(*by, "basket", "item"), "heavy-baskets")
     occurrences = light.select(*by, "basket", F.array("item").alias("items"))
@@ -143,7 +161,8 @@ def mine_levels(
             prefixes = candidates.filter(F.size("items") >= size).select(
                 F.slice("items", 1, size).alias("items")
             )
-            extended = extended.join(prefixes.distinct(), "items", "left_semi")
+            prefixes = materialize(prefixes.distinct(), "prefixes")
+            extended = extended.join(broadcast_if_small(prefixes, prefixes.count()), "items", "left_semi")
         elif size > 2:
             extended = _have_frequent_subsets(extended, broadcast_if_small(level, n), by, range(1, size))
         extended = extended.persist()
@@ -182,30 +201,18 @@ def _with_heavy(
     if n_heavy < threshold:
         counts = counts.filter(F.col("support") >= threshold - n_heavy)
         counts = materialize(counts, "light-support")
-        more = _heavy_support(counts, heavy, by, size)
+        more = _heavy_support(counts, heavy, by)
     elif candidates is not None:
         wanted = candidates.filter(F.size("items") >= size).select(F.slice("items", 1, size).alias("items"))
-        more = _heavy_support(wanted.distinct(), heavy, by, size)
+        more = _heavy_support(wanted.distinct(), heavy, by)
     elif size == 2:
         more = _heavy_pairs(heavy, sizes, by, heavy_rows)
     else:
-        more = _heavy_support(_next_sets(level, by, size), heavy, by, size)
+        more = _heavy_support(apriori_candidates(level, size, heavy_rows, by), heavy, by)
     both = counts.select(*by, "items", "support").unionByName(more.select(*by, "items", "support"))
     return both.groupBy(*by, "items").agg(F.sum("support").alias("support"))
 
 
-def _next_sets(level: DataFrame, by: list[str], size: int) -> DataFrame:
-    """``apriori_candidates`` within each value of ``by``."""
-    prefix = F.struct(*by, F.slice("items", 1, size - 2).alias("prefix"))
-    rows = level.select(prefix.alias("p"), F.element_at("items", -1).alias("last"))
-    pairs = rows.withColumnRenamed("last", "a").join(rows.withColumnRenamed("last", "b"), "p")
-    sets = pairs.filter("a < b").select(
-        *[F.col(f"p.{c}").alias(c) for c in by],
-        F.concat("p.prefix", F.array("a", "b")).alias("items"),
-    )
-    return _have_frequent_subsets(sets, level, by, range(1, size - 1))
-
-
 def frequent_level(
     baskets: DataFrame, candidates: DataFrame, support: float, heavy_rows: int = HEAVY_ROWS
 ) -> DataFrame:

@@ -42,8 +42,15 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def partitions_for(df: DataFrame) -> int:
-    """A number of partitions for a held table, from its counted rows.
+def clear(spark: SparkSession) -> None:
+    """Remove all tables stored for this application; results that still read them are lost."""
+    app = spark.sparkContext.applicationId
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/siftworks-{app}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def partitions_for(df: DataFrame, rows: int | None = None) -> int:
+    """A number of partitions for a held table, from its rows, which are counted if not given.
 
     AQE does not change the partitioning of a cached table, so it is chosen here: enough
     for the rows, and for all cores where there are fewer rows.
@@ -52,4 +59,4 @@ def partitions_for(df: DataFrame) -> int:
     cores = min(
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
-    return max(cores, math.ceil(df.count() / ROWS_PER_PARTITION))
+    return max(cores, math.ceil((df.count() if rows is None else rows) / ROWS_PER_PARTITION))
