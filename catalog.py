@@ -597,12 +597,12 @@ def bloom_flags(spark, sf):
 
 @query
 def bloom_quality(spark, sf):
-    return rounded(bloom.bloom_quality(bloom.bloom_flags(views.tagged_events(spark, sf), **BLOOM)), "fpr")
+    return rounded(bloom.bloom_quality(bloom.bloom_flags(views.ordered_events(spark, sf), **BLOOM)), "fpr")
 
 
 @query
 def bloom_quality_one_hash(spark, sf):
-    flags = bloom.bloom_flags(views.tagged_events(spark, sf), width=2048, num_hash=1)
+    flags = bloom.bloom_flags(views.ordered_events(spark, sf), width=2048, num_hash=1)
     return rounded(bloom.bloom_quality(flags), "fpr")
 
 

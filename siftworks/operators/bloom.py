@@ -21,7 +21,10 @@ NUM_HASH = 6
 
 
 def bloom_flags(events: DataFrame, width: int = WIDTH, num_hash: int = NUM_HASH) -> DataFrame:
-    """(tag, first_seq, n, is_false_positive) for events (seq, tag)."""
+    """(tag, first_seq, n, is_false_positive) for events (seq, tag).
+
+    ``seq`` gives the order of the events: a number, or a struct of columns.
+    """
     tags = events.groupBy("tag").agg(F.min("seq").alias("first_seq"), F.count("*").alias("n"))
     hits = tags.select("tag", "first_seq", "n", F.explode(bit_positions("tag", width, num_hash)).alias("bit"))
     # never more rows than the filter has bits

@@ -83,4 +83,6 @@ def features(corpus: DataFrame, feature: str) -> DataFrame:
 
 def vocabulary(corpus: DataFrame) -> DataFrame:
     """(term, idx): the distinct terms numbered from 0 in ascending order."""
-    return global_position(_document_terms(corpus).distinct(), ["term"], "idx").select("term", "idx")
+    # stored, as the sampling of the ranges would read and split the texts once more
+    terms = materialize(_document_terms(corpus).distinct(), "terms")
+    return global_position(terms, ["term"], "idx").select("term", "idx")

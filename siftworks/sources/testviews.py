@@ -81,6 +81,11 @@ def tagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return global_position(events, ["ts", "event_id"], "seq", 1).select("seq", "event_id", "tag")
 
 
+def ordered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(seq, tag): as ``tagged_events``, with (ts, event_id) itself as the order, where no number is asked for."""
+    return table(spark, sf_dir, "events").select(F.struct("ts", "event_id").alias("seq"), event_tag().alias("tag"))
+
+
 def status_text() -> F.Column:
     """A short status text with two hashtags for each event."""
     return F.concat(
