@@ -7,7 +7,7 @@ from test_line_dedup import brute as drop_lines
 from test_mixing import fill
 from test_packing import verify
 from test_quality import WORD, naive
-from test_simhash import naive_components, naive_fingerprint
+from test_simhash import shingle_set, similar_components
 
 SF = "/root/testdata/sf0.001"
 
@@ -41,9 +41,14 @@ def test_stages_against_brute_force(spark):
 
     frame = stage(2)
     ids = list(texts)
-    heads = set(naive_components([naive_fingerprint(texts[i]) for i in ids], ids))
+    heads = set(similar_components([texts[i] for i in ids], ids))
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    closest = {i: max((len(sets[i] & sets[j]) / max(1, len(sets[i] | sets[j])) for j in ids if j != i), default=0) for i in ids}
+    # what goes has a near copy by exact similarity too
+    assert all(closest[i] >= 0.65 or not sets[i] for i in ids if i not in heads)
     texts = {i: t for i, t in texts.items() if i in heads}
     assert {r.doc_id: r.text for r in frame.collect()} == texts
+    assert all(len(sets[i] & sets[j]) < 0.95 * len(sets[i] | sets[j]) for i in texts for j in texts if i < j)
 
     frame = stage(3)
     size = {i: len(WORD.findall(t)) for i, t in texts.items()}
