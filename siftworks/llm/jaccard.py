@@ -1,0 +1,110 @@
+"""Texts whose sets of five-word shingles have an exact Jaccard similarity: prefix keys, verified pairs, links."""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from siftworks.sources.shared import materialize
+
+# Words of a shingle.
+SHINGLE_WORDS = 5
+
+# Texts whose shingles are counted for the order of the keys, the count from which a
+# shingle is common among them, and the most that are told. They change the work, never the result.
+SAMPLE_TEXTS, COMMON, COMMON_SHINGLES = 20_000, 3, 200_000
+
+
+def shingles(text: str | None) -> np.ndarray:
+    """The sorted distinct 64-bit hashes of the shingles; A-Z are lower-cased, and a text of fewer words is one shingle."""
+    words = (text or "").encode().lower().split()
+    n = max(1, len(words) - SHINGLE_WORDS + 1) if words else 0
+    digest = xxhash.xxh3_64_intdigest
+    return np.unique(np.array([digest(b" ".join(words[i : i + SHINGLE_WORDS])) for i in range(n)], dtype=np.uint64).view(np.int64))
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingle_sets(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingles(t) for t in texts], dtype=object)
+
+
+def prefix(found: np.ndarray, similarity: float, common: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first ``n - ceil(similarity * n) + 1`` of ``n`` shingles, rare ones first.
+
+    The order is the same for all texts, so two sets of at least this similarity share one of these.
+    """
+    if not len(found):
+        return found
+    rank = np.zeros(len(found), dtype=np.int64)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+        rank = np.where(common[at] == found, counts[at], 0)
+    length = len(found) - math.ceil(similarity * len(found) - 1e-9) + 1
+    return found[np.lexsort((found, rank))[:length]]
+
+
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of a sample of ``texts`` hold, in order, and their counts; at most ``COMMON_SHINGLES``."""
+    every = max(1, texts.count() // SAMPLE_TEXTS)
+    some = texts.filter(F.pmod(F.xxhash64("node"), F.lit(every)) == 0)
+    held = some.select(F.explode(shingle_sets("text")).alias("key")).groupBy("key").count().filter(F.col("count") >= COMMON)
+    found = held.orderBy(F.desc("count"), "key").limit(COMMON_SHINGLES).collect()
+    both = np.array([(r["key"], r["count"]) for r in found], dtype=np.int64).reshape(-1, 2)
+    both = both[np.argsort(both[:, 0])]
+    return both[:, 0], both[:, 1]
+
+
+def keyed(texts: DataFrame, similarity: float) -> DataFrame:
+    """(node, size, key): the size of each set and its prefix, one row per key."""
+    common, counts = common_shingles(texts)
+
+    @F.pandas_udf("size long, keys array<long>")
+    def keys(column: pd.Series) -> pd.DataFrame:
+        sets = [shingles(t) for t in column]
+        return pd.DataFrame({"size": [len(s) for s in sets], "keys": [prefix(s, similarity, common, counts) for s in sets]})
+
+    return texts.select("node", keys("text").alias("k")).select("node", "k.size", F.explode("k.keys").alias("key"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``pairs`` (a, b) whose texts have the similarity, counted on the whole sets."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = materialize(texts.join(needed, "node", "left_semi").select("node", shingle_sets("text").alias("s")), "shingle_sets")
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a")
+    both = both.join(sets.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    return both.filter(common / (F.size("sa") + F.size("sb") - common) >= similarity).select("a", "b")
+
+
+def links(texts: DataFrame, similarity: float, linked: DataFrame, components: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(a, b): ``linked`` and verified pairs, which connect all that the pairs of this similarity or more connect.
+
+    ``texts`` has one row (node, text) per distinct text. Similar sets share a key. Each
+    key's nodes are first compared with its smallest one, the head; then only nodes of
+    different components, so a large group of near copies does not give all its pairs.
+    """
+    near = lambda a, b: F.least(a, b) / F.greatest(a, b) >= similarity
+    keys = materialize(keyed(texts, similarity), "prefix_keys")
+    heads = keys.groupBy("key").agg(F.min(F.col("node")).alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = materialize(keys.join(materialize(heads, "prefix_heads"), "key"), "shared_keys")
+    sizes = shared.filter("node = head").select(F.col("node").alias("head"), F.col("size").alias("head_size")).distinct()
+    star = shared.filter("node > head").select(F.col("head"), F.col("node"), "size").distinct().join(materialize(sizes, "head_sizes"), "head")
+    star = materialize(star.filter(near(F.col("size"), F.col("head_size"))).select(F.col("head").alias("a"), F.col("node").alias("b")), "star_pairs")
+    linked = materialize(linked.select("a", "b").unionByName(verified(star, texts, similarity)), "star_links")
+    roots = materialize(components(linked), "star_roots")
+    rooted = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = rooted.join(roots.select(F.col("node").alias("head"), F.col("root").alias("main")), "head", "left")
+    rooted = materialize(rooted.select("key", "node", "size", "root", F.coalesce("main", "head").alias("main")), "rooted_keys")
+    # a pair of two components has at least one node outside the head's own
+    other = rooted.filter("root <> main").select("key", F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("root").alias("root_a"))
+    cross = materialize(other, "minor_keys").join(rooted, "key").filter("root <> root_a AND (root = main OR node > a)")
+    cross = cross.filter(near(F.col("size"), F.col("size_a"))).select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")).distinct()
+    cross = materialize(cross.join(star, ["a", "b"], "left_anti"), "cross_pairs")
+    return linked.unionByName(verified(cross, texts, similarity))

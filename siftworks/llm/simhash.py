@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.llm import golay
+from siftworks.llm import jaccard as similar
 from siftworks.sources.shared import materialize
 
 # Fixed value: the seed of the shingle hash.
@@ -333,6 +334,36 @@ def near_duplicates(
     return rows.join(members, signature).select("doc_id", "fp", "component_id")
 
 
+def with_copy(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with _none, _id, _t0 and _t1: a NULL id, the id, and 128 bits of hash of the text."""
+    body = F.col(text)
+    return docs.withColumns(
+        {
+            "_none": F.col(doc_id).isNull(),
+            "_id": F.coalesce(F.col(doc_id), F.lit(0)),
+            "_t0": F.xxhash64(body.isNull(), body),
+            "_t1": F.xxhash64(F.lit(SHINGLE_SEED), body.isNull(), body),
+        }
+    )
+
+
+def text_roots(docs: DataFrame, doc_id: str, text: str, width: int, max_bits: int, jaccard: float) -> DataFrame:
+    """(_t0, _t1, root): for each distinct text of ``docs`` the group it falls into, with links by exact Jaccard similarity."""
+    copies = with_copy(docs.select(doc_id, text), doc_id, text)
+    once = copies.groupBy("_t0", "_t1").agg(F.first(text).alias("text"))
+    texts = materialize(once.withColumn("node", F.monotonically_increasing_id()), "distinct_texts")
+    fps = materialize(fingerprints(texts, "node", "text", width).withColumnRenamed("doc_id", "node"), "fingerprints")
+    same = fps.groupBy("fp").agg(F.min("node").alias("least"))
+    same = materialize(same, "distinct_fingerprints")
+    by_print = links(same.select("fp"), max_bits)
+    ends = same.select("fp", "least")
+    near = by_print.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    equal = fps.join(same, "fp").filter("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
+    linked = materialize(near.unionByName(equal), "fingerprint_links")
+    roots = components(similar.links(texts, jaccard, linked, components))
+    return texts.select("_t0", "_t1", "node").join(roots, "node", "left").select("_t0", "_t1", F.coalesce("root", "node").alias("root"))
+
+
 def keep_one(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -340,12 +371,21 @@ def keep_one(
     width: int = 4,
     max_bits: int = MAX_BITS,
     similarity: float | None = None,
+    jaccard: float | None = None,
 ) -> DataFrame:
     """``docs`` with one document of each group: the row with the group's smallest id.
 
     Of rows that repeat this id one stays. A group of only NULL ids keeps one row.
+    With ``jaccard`` documents are also linked if the sets of their five-word shingles
+    have this exact similarity or more; ``similarity`` links by the estimate of ``near_duplicates``.
     """
-    found = near_duplicates(docs, doc_id, text, width, max_bits, similarity)
+    if jaccard is not None:
+        roots = materialize(text_roots(docs, doc_id, text, width, max_bits, jaccard), "text_roots")
+        ids = with_copy(docs.select(doc_id, text), doc_id, text).groupBy("_t0", "_t1").agg(F.min(F.col(doc_id)).alias("doc_id"))
+        ids = materialize(ids, "text_ids").join(roots, ["_t0", "_t1"])
+        found = ids.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(F.col("component_id").alias("doc_id"), "component_id")
+    else:
+        found = near_duplicates(docs, doc_id, text, width, max_bits, similarity)
     heads = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
     # NULL ids as a pair of plain columns, so that one exchange serves the join and the choice of a row
     pair = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0))}

@@ -1,0 +1,62 @@
+import math
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from llm_fixtures import docs  # noqa: F401
+from siftworks.llm import jaccard
+from test_simhash import edited, naive_fingerprint, shingle_set
+
+
+def exact_components(texts, ids, bound=0.8):
+    """Groups by all pairs: within four bits, or of this exact similarity."""
+    fps, sets = [naive_fingerprint(t) for t in texts], [shingle_set(t) for t in texts]
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (fps[i] ^ fps[j]).bit_count() <= 4 or union and len(sets[i] & sets[j]) / union >= bound:
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    least = {}
+    for d, x in zip(ids, label):
+        least[x] = min(least.get(x, d), d)
+    return [least[x] for x in label]
+
+
+def test_prefixes_of_similar_sets_meet():
+    rng = np.random.default_rng(7)
+    common = np.arange(0, 400, 3)
+    counts = rng.integers(3, 50, len(common))
+    for n in [1, 2, 3, 4, 5, 9, 10, 46, 100]:
+        for cut in range(n - math.ceil(0.8 * n) + 1):
+            a = np.sort(rng.choice(400, n, replace=False))
+            b = np.sort(rng.choice(a, n - cut, replace=False))
+            assert len(np.intersect1d(jaccard.prefix(a, 0.8, common, counts), jaccard.prefix(b, 0.8, common, counts)))
+
+
+@pytest.mark.parametrize("common", [jaccard.COMMON, 1 << 30])
+def test_stage_against_exact_similarity(spark, docs, monkeypatch, common):
+    monkeypatch.setattr(jaccard, "COMMON", common)
+    rng = np.random.default_rng(8)
+    vocabulary = [f"v{i}" for i in range(600)]
+    passage = " ".join(vocabulary[:40])
+    texts = ["", " ", "one", "ONE", "two words"]
+    for _ in range(15):
+        words = [vocabulary[i] for i in rng.integers(0, 600, rng.integers(50, 300))]
+        texts += [" ".join(words)] + [edited(rng, words, s) for s in (0.01, 0.02, 0.022, 0.03, 0.04)] + [passage + " " + " ".join(words[:25])]
+    # one word in 50 changed: 41 of 51 shingles are shared, and four more words of a longer text bring it to 0.8 or below
+    words = [f"u{i}" for i in range(50)]
+    texts += [" ".join(words), " ".join(words[:25] + ["other"] + words[26:]), " ".join(words[2:] + ["x"] * 6)]
+    texts += [edited(rng, words * 3, 0.01) for _ in range(30)]
+    ids = [int(i) for i in rng.permutation(len(texts))]
+    kept = corpus_pipeline.near_dedup(spark, docs(*zip(ids, texts)), "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(exact_components(texts, ids)))
+
+
+def test_stage_on_the_given_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    kept = corpus_pipeline.near_dedup(spark, rows, "")
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(exact_components(list(texts.values()), list(texts))))
