@@ -347,19 +347,20 @@ def with_copy(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def text_roots(docs: DataFrame, doc_id: str, text: str, width: int, max_bits: int, jaccard: float) -> DataFrame:
-    """(_t0, _t1, root): for each distinct text of ``docs`` the group it falls into, with links by exact Jaccard similarity."""
+def text_roots(docs: DataFrame, doc_id: str, text: str, width: int, max_bits: int, similarity: float | None, jaccard: float | None) -> DataFrame:
+    """(_t0, _t1, root): the group of each distinct text of ``docs``."""
     copies = with_copy(docs.select(doc_id, text), doc_id, text)
     once = copies.groupBy("_t0", "_t1").agg(F.first(text).alias("text"))
     texts = materialize(once.withColumn("node", F.monotonically_increasing_id()), "distinct_texts")
+    if jaccard is None:
+        found = near_duplicates(texts, "node", "text", width, max_bits, similarity)
+        return texts.select("_t0", "_t1", "node").join(found.select(F.col("doc_id").alias("node"), F.col("component_id").alias("root")), "node").drop("node")
     fps = materialize(fingerprints(texts, "node", "text", width).withColumnRenamed("doc_id", "node"), "fingerprints")
-    same = fps.groupBy("fp").agg(F.min("node").alias("least"))
-    same = materialize(same, "distinct_fingerprints")
-    by_print = links(same.select("fp"), max_bits)
+    same = materialize(fps.groupBy("fp").agg(F.min("node").alias("least")), "distinct_fingerprints")
     ends = same.select("fp", "least")
-    near = by_print.join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    near = links(same.select("fp"), max_bits).join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b")
     equal = fps.join(same, "fp").filter("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    linked = materialize(near.unionByName(equal), "fingerprint_links")
+    linked = materialize(near.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(equal), "fingerprint_links")
     roots = components(similar.links(texts, jaccard, linked, components))
     return texts.select("_t0", "_t1", "node").join(roots, "node", "left").select("_t0", "_t1", F.coalesce("root", "node").alias("root"))
 
@@ -373,22 +374,18 @@ def keep_one(
     similarity: float | None = None,
     jaccard: float | None = None,
 ) -> DataFrame:
-    """``docs`` with one document of each group: the row with the group's smallest id.
+    """``docs`` with one document of each group: the row with the group's smallest id, NULL being the largest.
 
-    Of rows that repeat this id one stays. A group of only NULL ids keeps one row.
+    Of rows that repeat this id in the group one stays. Rows with NULL or repeated ids are
+    told apart by their texts, so that each group keeps a row of its own.
     With ``jaccard`` documents are also linked if the sets of their five-word shingles
     have this exact similarity or more; ``similarity`` links by the estimate of ``near_duplicates``.
     """
-    if jaccard is not None:
-        roots = materialize(text_roots(docs, doc_id, text, width, max_bits, jaccard), "text_roots")
-        ids = with_copy(docs.select(doc_id, text), doc_id, text).groupBy("_t0", "_t1").agg(F.min(F.col(doc_id)).alias("doc_id"))
-        ids = materialize(ids, "text_ids").join(roots, ["_t0", "_t1"])
-        found = ids.groupBy("root").agg(F.min("doc_id").alias("component_id")).select(F.col("component_id").alias("doc_id"), "component_id")
-    else:
-        found = near_duplicates(docs, doc_id, text, width, max_bits, similarity)
-    heads = found.filter(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    # NULL ids as a pair of plain columns, so that one exchange serves the join and the choice of a row
-    pair = {"_none": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0))}
-    heads = materialize(heads.select("doc_id").distinct().withColumns(pair).drop("doc_id"), "group_heads")
-    keyed = docs.withColumns({"_none": F.col(doc_id).isNull(), "_id": F.coalesce(F.col(doc_id), F.lit(0))})
-    return keyed.join(heads, ["_none", "_id"], "left_semi").dropDuplicates(["_none", "_id"]).drop("_none", "_id")
+    key = ["_none", "_id", "_t0", "_t1"]
+    keyed = with_copy(docs, doc_id, text)
+    roots = materialize(text_roots(docs, doc_id, text, width, max_bits, similarity, jaccard), "text_roots")
+    ids = keyed.groupBy("_t0", "_t1").agg(F.min(F.struct("_none", "_id")).alias("least"))
+    ids = materialize(ids.select("least.*", "_t0", "_t1"), "text_ids").join(roots, ["_t0", "_t1"])
+    # plain columns, so that one exchange serves the join and the choice of a row
+    heads = materialize(ids.groupBy("root").agg(F.min(F.struct(*key)).alias("head")).select("head.*"), "group_heads")
+    return keyed.join(heads, key, "left_semi").dropDuplicates(key).drop(*key)
