@@ -52,8 +52,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs:
         F.sum("_w").over(everything) - F.coalesce(F.sum("_w").over(before), F.lit(0))
     )
     free = F.col("_cap") / F.col("_w") > F.col("_level")
-    # the level at the first source that is not capped holds for all after it
-    last = F.min_by(F.when(free, F.col("_level")), F.when(free, F.col("_cap") / F.col("_w"))).over(everything)
+    # the level at the first source that is not capped holds for all after it; theirs,
+    # from which its cap is taken, are lower, so ties in cap by weight do not matter
+    last = F.max(F.when(free, F.col("_level"))).over(everything)
     return (
         sizes.withColumn("_w", weight)
         .withColumn("_cap", F.col("source_size") * max_epochs)
