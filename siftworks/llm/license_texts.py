@@ -63,3 +63,23 @@ NOTICES = {
     "BSD-2-Clause": "Released under the BSD 2-Clause License.",
     "Zlib": "Released under the zlib License.",
 }
+
+# ``licenses.body_digest`` of further published texts, wrapped and with each paragraph on one line, whole and up to the
+# end of their terms. The names are of the text, which is the same for "only" and "or later".
+DIGESTS = {
+    "Apache-2.0": "0ef83cef4a96a0745986bfa775e9101b 68ea26705ce7ed50f4a8ba9e312a0f43 9b5caf54d392f899abe58a07a6089d23",
+    "BSD-3-Clause": "dfd9463b7bcad50bb1270be3d6bf0c2a",
+    "CC0-1.0": "93a180096f6cfcf2c0dd24f75c2eec48",
+    "GFDL-1.2": "3fd7564fae8e9870c49a2b6749a4686c c969fdb4b731dadf7173c1ffbe49a117",
+    "GFDL-1.3": "a5eac5dd01441a89eba8fc8853145b0a eb6b86c0fad89753a5a36c484fa0ada2",
+    "GPL-1.0": "21fa8693acc5194a648fe02e11f65a72 3aecf3f85b2a7e1cf719c688a1c214fa 738cc3b112640d95d4cd79a58967ecea bbc56cff7140c8c3cd4b868fb25de455 dbf3c47f5a8f127e58d08cabc1ebb916 ed18f57e6f8be34d9ff1e08bcf9104cb",
+    "GPL-2.0": "5e39ace6e62f5a7fe9c17b4da986ad8c 68380dbeadb093b94ecf563db7312db7 87c1ab3e4b266c98ddc0fafc9e827ec1 b8444fd08fb20cd8d245a1c56739b50b c87461d4dc2703de84305277d25c82d8 f2c06efe640b4a281cbe5337cdde80ab",
+    "GPL-3.0": "17e434cc6db7003444b088cb4cc81e91 2ae5765f3e9def05b0d98370c5a5657d 444f95dc767ede978b60cfb20fbd0bca 5eaa767cc0a56c87c3852144458a3bf1 bd6f8bc415c5aa9e7c23dc0e19215f22 f658e875d8d139792f31fecf68fd1a58",
+    "ISC": "835e051a8d57ded2593a1855767e769c",
+    "LGPL-2.0": "53c7c83fea2ab2dfecbf363917d53a22 65f359e639bdee839cb4bef5e2e86d5d 74cf7fcef3b29a39165a795b2cad3a3a 97832943be1e344d51af5aee1b658e4f 999f5b95aaa9362eae0bf3cb0eb7581c c396ba2f94537628797123bc12cd2d6e",
+    "LGPL-2.1": "3054b3781b1af43f906dc753acad15ee 940870bf133cfca37ab654966cecabe4 a40966c05dddcd43bfccd88fd4e2cfe7 b438fe0ce082f3615cf69a492dbc792f eaf6afb73fc860a002bfbccbe6f07ce7 f998bc436710cfece156aaa84fd26dd4",
+    "LGPL-3.0": "087dc82eb7c367aa4297b1f0bb1c2c21 b31b7335bc37919e8cdd79154e04d88d",
+    "MPL-1.1": "457c652e259243fa134183fe4d5a487a 4eef16c55a83fc70ca486efa7974a511",
+    "MPL-2.0": "ee1ab3f2f76b374732d278225dadce8d",
+    "Unlicense": "d8277de56acf642abb71da243c0bc00c",
+}
