@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -13,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siftworks.llm import golay
-from siftworks.llm import jaccard as similar
+from siftworks.llm.text import free_names
 from siftworks.sources.shared import materialize
 
 # Fixed value: the seed of the shingle hash.
@@ -25,13 +24,6 @@ SEGMENTS = (22, 21, 21)
 # The number of differing bits for which the keys below are complete.
 MAX_BITS = 4
 
-# Words of the shingles whose sets are compared where a similarity is asked for.
-SHINGLE_WORDS = 5
-
-# Longs of the fingerprint that verifies such a similarity, and the number of
-# fingerprints of the set of words that find it, with the bits of their keys.
-CHECK_LONGS, WORD_PRINTS, WORD_BITS = 4, 3, 3
-
 # A bucket with more fingerprints is cut into blocks that are compared in pairs.
 BUCKET_ROWS = 20_000
 
@@ -62,43 +54,6 @@ def simhash(text: str | None, width: int = 4) -> int:
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def set_simhash(features: Iterable[bytes], longs: int) -> np.ndarray:
-    """The fingerprint of ``64 * longs`` bits of a set of features, as signed longs; zeros if it is empty."""
-    found = list(set(features))
-    ones = np.zeros(64 * longs, dtype=np.int64)
-    for at in range(0, len(found), CHUNK):
-        some = found[at : at + CHUNK]
-        sides = []
-        for seed in range((longs + 1) // 2):
-            digests = b"".join([xxhash.xxh3_128_digest(x, seed) for x in some])
-            sides.append(np.unpackbits(np.frombuffer(digests, np.uint8).reshape(-1, 16), axis=1, bitorder="little"))
-        ones += np.concatenate(sides, axis=1)[:, : 64 * longs].sum(axis=0, dtype=np.int64)
-    return np.packbits(ones * 2 > len(found), bitorder="little").view("<i8")
-
-
-def set_fingerprints(text: str | None) -> np.ndarray:
-    """``WORD_PRINTS`` fingerprints of the set of words, then ``CHECK_LONGS`` longs of that of the five-word shingles.
-
-    Few words differ between near copies, so the first are close; they find
-    candidates. The second tells the similarity of the shingles.
-    """
-    words = (text or "").encode().lower().split()
-    n = max(1, len(words) - SHINGLE_WORDS + 1) if words else 0
-    shingles = (b" ".join(words[i : i + SHINGLE_WORDS]) for i in range(n))
-    return np.concatenate([set_simhash(words, WORD_PRINTS), set_simhash(shingles, CHECK_LONGS)])
-
-
-def similar_bits(similarity: float, bits: int = 64 * CHECK_LONGS) -> int:
-    """The number of differing bits up to which two sets count as similar.
-
-    Sets of equal size and Jaccard similarity s have the cosine 2 s / (1 + s), and a bit
-    differs with probability arccos / pi. Half a standard error is added, so that most
-    pairs at the bound itself are found.
-    """
-    p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.floor(bits * p + math.sqrt(bits * p * (1 - p)) / 2)
-
-
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
     """(doc_id, fp) with the fingerprint as a signed long; one row per row of ``docs``."""
 
@@ -121,20 +76,7 @@ def _segments(fps: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def with_set_fingerprints(docs: DataFrame, doc_id: str, text: str, width: int) -> DataFrame:
-    """(doc_id, fp, w0.., c0..): ``fingerprints`` and the columns of ``set_fingerprints``; one row per row of ``docs``."""
-    names = [f"w{i}" for i in range(WORD_PRINTS)] + [f"c{i}" for i in range(CHECK_LONGS)]
-
-    @F.pandas_udf(", ".join(f"{c} long" for c in ["fp", *names]))
-    def both(texts: pd.Series) -> pd.DataFrame:
-        plain = np.array([simhash(t, width) for t in texts], dtype=np.uint64).view(np.int64)
-        sets = np.array([set_fingerprints(t) for t in texts], dtype=np.int64).reshape(-1, len(names))
-        return pd.DataFrame(np.column_stack([plain, sets]), columns=["fp", *names])
-
-    return docs.select(F.col(doc_id).alias("doc_id"), both(F.col(text)).alias("s")).select("doc_id", "s.*")
-
-
-def fuzzy_keys(fps: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
+def fuzzy_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, key): keys such that any two fingerprints within ``max_bits`` bits share one.
 
     Of three segments with at most four differing bits in all, either one does not
@@ -142,7 +84,6 @@ def fuzzy_keys(fps: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, n
     them differ in exactly one bit each. Words one bit apart have opposite parity:
     the even one gives the index of its own codeword, the odd one the indices that
     any one flip leads to, the even one's among them. The key is the pair of indices.
-    With at most three bits all three segments then differ in one bit, so one pair will do.
     """
     parts = _segments(fps)
     rows = np.arange(len(fps))
@@ -155,7 +96,7 @@ def fuzzy_keys(fps: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, n
         indices[odd] = golay.neighbours(part[odd], bits)
         row, column = np.nonzero(indices >= 0)
         options.append((row, indices[row, column], np.bincount(row, minlength=len(fps))))
-    for kind, (i, j) in enumerate([(0, 1), (0, 2), (1, 2)][: 3 if max_bits > 3 else 1], 3):
+    for kind, (i, j) in enumerate([(0, 1), (0, 2), (1, 2)], 3):
         (_, first, n_first), (_, second, n_second) = options[i], options[j]
         pairs = n_first * n_second
         row = np.repeat(rows, pairs)
@@ -166,48 +107,40 @@ def fuzzy_keys(fps: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, n
     return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
-def _keys_of(prints: list[str], checks: list[str], max_bits: int):
-    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            carried = [batch.column(c).to_numpy(zero_copy_only=False) for c in ["node", *checks]]
-            for i, name in enumerate(prints):
-                fps = batch.column(name).to_numpy(zero_copy_only=False)
-                row, key = fuzzy_keys(fps.view(np.uint64), max_bits)
-                # the keys of different fingerprints must not meet
-                yield pa.RecordBatch.from_arrays([pa.array(key | i << 50), *[pa.array(c[row]) for c in carried]], ["key", "node", *checks])
-
-    return keys
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        fps = batch.column("fp").to_numpy(zero_copy_only=False)
+        row, key = fuzzy_keys(fps.view(np.uint64))
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fps[row])], ["key", "fp"])
 
 
-def forest(nodes: np.ndarray, max_bits: int, prints: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links of at most ``max_bits`` bits that connect all that such links connect; fewer than there are nodes.
+def forest(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
+    """Links of at most ``max_bits`` bits that connect all that such links connect; fewer than there are fingerprints.
 
-    ``prints`` has one row of unsigned longs per node; without it the nodes are the
-    fingerprints. A search in which each node reached leaves the list of those still to be compared.
+    A search in which each fingerprint reached leaves the list of those still to be compared.
     """
-    rest, left = nodes, nodes[:, None] if prints is None else prints
-    links, reached = [], []
+    rest, links, reached = fps, [], []
     while len(rest) or reached:
         if reached:
-            at, own = reached.pop()
+            at = reached.pop()
         else:
-            at, own, rest, left = rest[0], left[0], rest[1:], left[1:]
-        near = np.bitwise_count(left ^ own).sum(axis=1, dtype=np.int64) <= max_bits
+            at, rest = rest[0], rest[1:]
+        near = np.bitwise_count((rest ^ at).view(np.uint64)) <= max_bits
         if near.any():
             found = rest[near]
             links += [(int(at), int(x)) for x in found]
-            reached += list(zip(found, left[near]))
-            rest, left = rest[~near], left[~near]
+            reached += list(found)
+            rest = rest[~near]
     return links
 
 
-def _links_of(checks: list[str], max_bits: int):
+def _links_of(max_bits: int):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Links within runs of equal (key, block) in sorted input; a run may span batches."""
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
         def out(runs: list[np.ndarray]) -> pa.RecordBatch:
-            pairs = [p for run in runs for p in forest(run[:, 2], max_bits, run[:, 3:].view(np.uint64))]
+            pairs = [p for run in runs for p in forest(run[:, 2], max_bits)]
             both = np.array(pairs, dtype=np.int64).reshape(-1, 2)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
 
@@ -215,7 +148,7 @@ def _links_of(checks: list[str], max_bits: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "node", *checks)], axis=1)
+            rows = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "fp")], axis=1)
             rows = rows if held is None else np.concatenate([held, rows])
             new = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(axis=1)) + 1
             bounds = np.concatenate([[0], new])
@@ -228,41 +161,28 @@ def _links_of(checks: list[str], max_bits: int):
     return links
 
 
-def links(
-    nodes: DataFrame,
-    max_bits: int = MAX_BITS,
-    bucket_rows: int = BUCKET_ROWS,
-    prints: tuple[str, ...] = ("fp",),
-    checks: tuple[str, ...] = ("fp",),
-    key_bits: int = MAX_BITS,
-) -> DataFrame:
-    """(a, b): links between rows of ``nodes`` that share a key and differ in at most ``max_bits`` bits.
+def links(distinct: DataFrame, max_bits: int = MAX_BITS, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """(a, b): links of at most ``max_bits`` differing bits between distinct fingerprints (fp).
 
-    ``nodes`` has one row per distinct ``node`` (``fp`` where it has no such column). Each
-    of ``prints`` is a fingerprint that gives keys; ``checks`` hold the fingerprint whose bits
-    are compared. Where both are the same, all pairs within ``key_bits`` are found. Each
-    bucket of a key gives a spanning forest of its verified pairs, not all pairs. Buckets
-    above ``bucket_rows`` are cut into blocks, and each pair of blocks is compared in a group of its own.
+    All pairs that near share a key. Each bucket of a key gives a spanning forest of its
+    verified pairs, not all pairs. Buckets above ``bucket_rows`` are cut into blocks, and
+    each pair of blocks is compared in a group of its own.
     """
-    if not 0 <= key_bits <= MAX_BITS or (prints == checks and max_bits > key_bits):
+    if not 0 <= max_bits <= MAX_BITS:
         raise ValueError(f"the keys find pairs of at most {MAX_BITS} differing bits")
-    node = F.col("node" if "node" in nodes.columns else "fp").alias("node")
-    given = [node, *dict.fromkeys([*prints, *checks])]
-    kind = ", ".join(f"{c} long" for c in ["key", "node", *checks])
-    keys = nodes.select(*given).mapInArrow(_keys_of([*prints], [*checks], key_bits), kind)
-    keys = materialize(keys, "simhash_keys")
+    keys = materialize(distinct.select("fp").mapInArrow(_keys, "key long, fp long"), "simhash_keys")
     hot = materialize(
         keys.groupBy("key").count().filter(F.col("count") > bucket_rows).select("key", F.ceil(F.col("count") / bucket_rows).cast("int").alias("n")),
         "simhash_hot",
     )
     grouped = keys.withColumn("block", F.lit(0).cast("long"))
     if not hot.isEmpty():
-        i = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
+        i = F.pmod(F.xxhash64("fp"), F.col("n")).cast("int")
         pair = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda j: (F.least(i, j) * F.col("n") + F.greatest(i, j)).cast("long"))
-        cut = keys.join(hot, "key").select("key", "node", *checks, F.explode(pair).alias("block"))
+        cut = keys.join(hot, "key").select("key", "fp", F.explode(pair).alias("block"))
         grouped = grouped.join(hot, "key", "left_anti").unionByName(cut)
     runs = grouped.repartition("key", "block").sortWithinPartitions("key", "block")
-    return runs.select("key", "block", "node", *checks).mapInArrow(_links_of([*checks], max_bits), "a long, b long").distinct()
+    return runs.select("key", "block", "fp").mapInArrow(_links_of(max_bits), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -290,13 +210,17 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+def _rooted(distinct: DataFrame, max_bits: int) -> DataFrame:
+    """``distinct``, one row per fingerprint (fp), with the root of its group of links."""
+    roots = components(links(distinct, max_bits)).withColumnRenamed("node", "_node")
+    return materialize(
+        distinct.join(roots, F.col("fp") == F.col("_node"), "left").drop("_node").withColumn("root", F.coalesce("root", "fp")),
+        "rooted_fingerprints",
+    )
+
+
 def near_duplicates(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    width: int = 4,
-    max_bits: int = MAX_BITS,
-    similarity: float | None = None,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = MAX_BITS
 ) -> DataFrame:
     """(doc_id, fp, component_id), one row per row of ``docs``.
 
@@ -304,88 +228,37 @@ def near_duplicates(
     differing bits, the document's own included. Texts without words, NULL texts too,
     have fingerprint 0 and are linked like any other. Rows with equal texts share a
     fingerprint and are compared once. NULL ids are members but never the
-    smallest; a group of only NULL ids has a NULL component.
-
-    With ``similarity`` documents are also linked if their sets of five-word shingles
-    have this Jaccard similarity or more, by the estimate of ``similar_bits``; a text of
-    fewer words is one shingle. An edit changes few of the words, but five shingles, so
-    such pairs are found by the fuzzy keys of the sets of words, which are complete for
-    ``WORD_BITS`` bits and meet most pairs beyond, and verified by the shingles' own fingerprint.
+    smallest; a group of only NULL ids has a NULL component. An empty table gives no rows.
     """
-    if similarity is None:
-        rows = materialize(fingerprints(docs, doc_id, text, width), "fingerprints")
-        signature, node = ["fp"], F.col("fp")
-    else:
-        rows = materialize(with_set_fingerprints(docs, doc_id, text, width), "fingerprints")
-        signature, node = [c for c in rows.columns if c != "doc_id"], F.monotonically_increasing_id()
-    distinct = materialize(rows.groupBy(*signature).agg(F.min("doc_id").alias("least")).withColumn("node", node), "distinct_fingerprints")
-    linked = links(distinct, max_bits)
-    if similarity is not None:
-        prints = tuple(c for c in signature if c[0] == "w")
-        checks = tuple(c for c in signature if c[0] == "c")
-        linked = linked.unionByName(links(distinct, similar_bits(similarity), prints=prints, checks=checks, key_bits=WORD_BITS))
-    roots = components(linked).withColumnRenamed("node", "_node")
-    rooted = materialize(
-        distinct.join(roots, F.col("node") == F.col("_node"), "left").select(*signature, "least", F.coalesce("root", "node").alias("root")),
-        "rooted_fingerprints",
-    )
+    rows = materialize(fingerprints(docs, doc_id, text, width), "fingerprints")
+    distinct = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
+    rooted = _rooted(distinct, max_bits)
     named = materialize(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component_names")
-    members = materialize(rooted.join(named, "root").select(*signature, "component_id"), "component_members")
-    return rows.join(members, signature).select("doc_id", "fp", "component_id")
-
-
-def with_copy(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with _none, _id, _t0 and _t1: a NULL id, the id, and 128 bits of hash of the text."""
-    body = F.col(text)
-    return docs.withColumns(
-        {
-            "_none": F.col(doc_id).isNull(),
-            "_id": F.coalesce(F.col(doc_id), F.lit(0)),
-            "_t0": F.xxhash64(body.isNull(), body),
-            "_t1": F.xxhash64(F.lit(SHINGLE_SEED), body.isNull(), body),
-        }
-    )
-
-
-def text_roots(docs: DataFrame, doc_id: str, text: str, width: int, max_bits: int, similarity: float | None, jaccard: float | None) -> DataFrame:
-    """(_t0, _t1, root): the group of each distinct text of ``docs``."""
-    copies = with_copy(docs.select(doc_id, text), doc_id, text)
-    once = copies.groupBy("_t0", "_t1").agg(F.first(text).alias("text"))
-    texts = materialize(once.withColumn("node", F.monotonically_increasing_id()), "distinct_texts")
-    if jaccard is None:
-        found = near_duplicates(texts, "node", "text", width, max_bits, similarity)
-        return texts.select("_t0", "_t1", "node").join(found.select(F.col("doc_id").alias("node"), F.col("component_id").alias("root")), "node").drop("node")
-    fps = materialize(fingerprints(texts, "node", "text", width).withColumnRenamed("doc_id", "node"), "fingerprints")
-    same = materialize(fps.groupBy("fp").agg(F.min("node").alias("least")), "distinct_fingerprints")
-    ends = same.select("fp", "least")
-    near = links(same.select("fp"), max_bits).join(ends.toDF("a", "x"), "a").join(ends.toDF("b", "y"), "b")
-    equal = fps.join(same, "fp").filter("node > least").select(F.col("least").alias("a"), F.col("node").alias("b"))
-    linked = materialize(near.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(equal), "fingerprint_links")
-    roots = components(similar.links(texts, jaccard, linked, components))
-    return texts.select("_t0", "_t1", "node").join(roots, "node", "left").select("_t0", "_t1", F.coalesce("root", "node").alias("root"))
+    members = materialize(rooted.join(named, "root").select("fp", "component_id"), "component_members")
+    return rows.join(members, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    width: int = 4,
-    max_bits: int = MAX_BITS,
-    similarity: float | None = None,
-    jaccard: float | None = None,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """``docs`` with one document of each group: the row with the group's smallest id, NULL being the largest.
+    """``docs`` with one document of each group of ``near_duplicates``: the row with the group's smallest id.
 
-    Of rows that repeat this id in the group one stays. Rows with NULL or repeated ids are
-    told apart by their texts, so that each group keeps a row of its own.
-    With ``jaccard`` documents are also linked if the sets of their five-word shingles
-    have this exact similarity or more; ``similarity`` links by the estimate of ``near_duplicates``.
+    A NULL id is larger than any other. Rows with NULL or repeated ids are told apart by 128 bits
+    of hash of their texts, so that each group keeps a row of its own; of rows equal in id and text one stays.
+    Texts are read where they are for the fingerprints and moved once, for the choice of rows;
+    extra columns of any name stay as they are.
     """
-    key = ["_none", "_id", "_t0", "_t1"]
-    keyed = with_copy(docs, doc_id, text)
-    roots = materialize(text_roots(docs, doc_id, text, width, max_bits, similarity, jaccard), "text_roots")
-    ids = keyed.groupBy("_t0", "_t1").agg(F.min(F.struct("_none", "_id")).alias("least"))
-    ids = materialize(ids.select("least.*", "_t0", "_t1"), "text_ids").join(roots, ["_t0", "_t1"])
-    # plain columns, so that one exchange serves the join and the choice of a row
-    heads = materialize(ids.groupBy("root").agg(F.min(F.struct(*key)).alias("head")).select("head.*"), "group_heads")
-    return keyed.join(heads, key, "left_semi").dropDuplicates(key).drop(*key)
+    body = F.col(text)
+    names = free_names(docs.columns, "none", "id", "t0", "t1")
+    values = [
+        F.col(doc_id).isNull(),
+        F.coalesce(F.col(doc_id), F.lit(0)),
+        F.xxhash64(body.isNull(), body),
+        F.xxhash64(F.lit(SHINGLE_SEED), body.isNull(), body),
+    ]
+    keyed = docs.withColumns(dict(zip(names, values)))
+    row = F.struct(*names)
+    prints = materialize(fingerprints(keyed.withColumn(names[0], row), names[0], text, width), "fingerprints")
+    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct_fingerprints")
+    heads = _rooted(distinct, max_bits).groupBy("root").agg(F.min("least").alias("least")).select("least.*")
+    return keyed.join(materialize(heads, "group_heads"), names, "left_semi").dropDuplicates(names).drop(*names)

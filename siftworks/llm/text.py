@@ -32,3 +32,12 @@ def words(stripped: Column) -> Column:
 def fingerprint(*columns: Column) -> list[Column]:
     """Two 64-bit hashes with different seeds: a 128-bit key that joins compare as integers."""
     return [F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)]
+
+
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """``wanted`` as names of working columns that no column of ``columns`` has, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    mark = "_"
+    while any(f"{mark}{w}".lower() in taken for w in wanted):
+        mark += "_"
+    return [f"{mark}{w}" for w in wanted]

@@ -35,48 +35,6 @@ def naive_components(fps, ids, max_bits=4):
     return [least[root(i)] for i in range(len(fps))]
 
 
-def ascii_words(text):
-    return "".join(c.lower() if c.isascii() else c for c in text or "").encode().split()
-
-
-def shingle_set(text):
-    words = ascii_words(text)
-    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def naive_print(features, longs):
-    hashes = [xxhash.xxh3_128_digest(x, 0) + xxhash.xxh3_128_digest(x, 1) for x in features]
-    whole = [int.from_bytes(h, "little") for h in hashes]
-    return [sum(1 << b for b in range(64) if 2 * sum(h >> (64 * i + b) & 1 for h in whole) > len(whole)) for i in range(longs)]
-
-
-def similar_components(texts, ids, limit=41):
-    """Groups by all pairs: within four bits, or sharing a key of a word print with similar shingles."""
-    fps = [naive_fingerprint(t) for t in texts]
-    words = [naive_print(set(ascii_words(t)), 3) for t in texts]
-    checks = [naive_print(shingle_set(t), 4) for t in texts]
-    keys = [set() for _ in texts]
-    for i in range(3):
-        row, key = simhash.fuzzy_keys(np.array([w[i] for w in words], dtype=np.uint64), 3)
-        for r, k in zip(row.tolist(), key.tolist()):
-            keys[r].add((i, k))
-    label = list(range(len(texts)))
-    for i in range(len(texts)):
-        for j in range(i):
-            similar = sum((a ^ b).bit_count() for a, b in zip(checks[i], checks[j])) <= limit
-            if (fps[i] ^ fps[j]).bit_count() <= 4 or similar and keys[i] & keys[j]:
-                old, new = label[i], label[j]
-                label = [new if x == old else x for x in label]
-    least = {}
-    for d, x in zip(ids, label):
-        least[x] = min(least.get(x, d), d)
-    return [least[x] for x in label]
-
-
-def edited(rng, words, share):
-    return " ".join(f"new{rng.integers(1 << 30)}" if rng.random() < share else w for w in words)
-
-
 def test_the_code_is_perfect():
     words = np.arange(1 << 23, dtype=np.int64)
     assert (np.bincount(golay.nearest(words)) == 2048).all()
@@ -96,56 +54,6 @@ def test_keys_are_complete_for_four_bits():
         assert met == set(range(len(a)))
 
 
-def test_one_pair_of_segments_suffices_for_three_bits():
-    rng = np.random.default_rng(4)
-    a = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
-    b = a.copy()
-    for i in range(len(b)):
-        for place in rng.choice(64, 3, replace=False):
-            b[i] ^= np.uint64(1) << np.uint64(place)
-    (ra, ka), (rb, kb) = simhash.fuzzy_keys(a, 3), simhash.fuzzy_keys(b, 3)
-    assert {r for r, _ in set(zip(ra.tolist(), ka.tolist())) & set(zip(rb.tolist(), kb.tolist()))} == set(range(len(a)))
-
-
-def test_set_fingerprints_match_the_definition():
-    for text in (None, "", " \n", "one", "a b c d", "A b C d a b c d É", "x " * 50, "a b c d e f g"):
-        got = simhash.set_fingerprints(text).view(np.uint64).tolist()
-        assert got == naive_print(set(ascii_words(text)), 3) + naive_print(shingle_set(text), 4)
-    many = [str(i).encode() for i in range(simhash.CHUNK + 100)]
-    assert simhash.set_simhash(many, 2).view(np.uint64).tolist() == naive_print(many, 2)
-
-
-def test_bound_of_a_similarity():
-    assert simhash.similar_bits(1.0) == 0 and simhash.similar_bits(0.8) == 41
-    rng = np.random.default_rng(5)
-    found = {0.0: 0, 0.009: 0, 0.06: 0}
-    for share in found:
-        for _ in range(40):
-            words = [f"w{rng.integers(1 << 30)}" for _ in range(300)]
-            a, b = (simhash.set_fingerprints(t)[3:].view(np.uint64) for t in (" ".join(words), edited(rng, words, share)))
-            found[share] += np.bitwise_count(a ^ b).sum() <= simhash.similar_bits(0.8)
-    # similarities of 1, about 0.92 and about 0.55
-    assert found[0.0] == 40 and found[0.009] >= 37 and found[0.06] == 0
-
-
-@pytest.mark.parametrize("bucket_rows", [simhash.BUCKET_ROWS, 7])
-def test_similar_texts_against_all_pairs(spark, docs, monkeypatch, bucket_rows):
-    monkeypatch.setattr(simhash.links, "__defaults__", (4, bucket_rows, *simhash.links.__defaults__[2:]))
-    rng = np.random.default_rng(6)
-    vocabulary = [f"v{i}" for i in range(600)]
-    texts = [None, "", "  ", "one", "ONE", "two words"]
-    for _ in range(12):
-        words = [vocabulary[i] for i in rng.integers(0, 600, rng.integers(60, 400))]
-        texts += [" ".join(words)] + [edited(rng, words, s) for s in (0.005, 0.01, 0.02, 0.03, 0.1)]
-    base = texts[-6].split()
-    texts += [edited(rng, base, 0.01) for _ in range(40)]
-    ids = [int(i) for i in rng.permutation(len(texts))]
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs(*zip(ids, texts)), similarity=0.8).collect()}
-    assert got == dict(zip(ids, similar_components(texts, ids)))
-    light = [ids[i] for i in range(len(texts) - 40, len(texts))]
-    assert len({got[i] for i in light}) <= 3
-
-
 def test_fingerprints_match_the_definition():
     for text in (None, "", " \n", "one", "a b c", "A b C d", "É b\tC\x0bd e f g h", "x " * 50, "a b c d e f"):
         assert simhash.simhash(text) == naive_fingerprint(text)
@@ -206,9 +114,11 @@ def test_nulls_repeats_and_empty(spark, docs):
     assert simhash.near_duplicates(docs().limit(0)).count() == 0
     only = simhash.keep_one(docs((None, "a b c d"), (None, "a b c d")))
     assert only.count() == 1
-    similar = simhash.keep_one(df.withColumnRenamed("lang", "w0").withColumnRenamed("source", "node"), similarity=0.8)
-    assert sorted(r.doc_id for r in similar.collect()) == [3, 7, 9] and similar.columns == ["doc_id", "text", "w0", "node", "n_chars"]
-    assert simhash.near_duplicates(docs().limit(0), similarity=0.8).count() == 0
+    clashing = df.selectExpr("*", "1 AS _none", "2 AS _ID", "3 AS _t0", "4 AS _t1", "5 AS root", "6 AS least", "7 AS _node")
+    kept = simhash.keep_one(clashing)
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 7, 9] and kept.columns == clashing.columns
+    assert {(r._none, r._ID, r._t0, r._t1, r.root, r.least, r._node) for r in kept.collect()} == {(1, 2, 3, 4, 5, 6, 7)}
+    assert simhash.keep_one(docs().limit(0)).count() == 0
 
 
 def test_too_many_bits_are_refused(spark):
