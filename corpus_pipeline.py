@@ -28,12 +28,8 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id.
-
-    Links are those of the fingerprints (four words, four bits) and those of texts whose
-    five-word shingles have an exact Jaccard similarity of 0.8 or more.
-    """
-    return simhash.keep_one(docs, width=4, max_bits=4, jaccard=0.8)
+    """One document of each group of near-duplicates (four words, four bits), the one with the smallest id."""
+    return simhash.keep_one(docs, width=4, max_bits=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
