@@ -116,6 +116,57 @@ o AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 SELECT query_id, rank, vec_id, score FROM o WHERE rank <= 20
 """
 
+MERKLE = """
+WITH RECURSIVE
+d AS MATERIALIZED (
+    SELECT doc_id, lang,
+        CASE WHEN doc_id IS NULL THEN '-' ELSE strlen(doc_id::VARCHAR) || ':' || doc_id END
+            || CASE WHEN source IS NULL THEN '-' ELSE strlen(source) || ':' || source END
+            || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
+        n_chars, CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
+        -- each byte of the decimal id, then seven zeros: one step of the CRC per bit
+        flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])) AS bits
+    FROM documents),
+c AS (SELECT *, xor(list_reduce(bits, lambda c, e: xor(xor(c, e) >> 1, 3988292384 * (xor(c, e) & 1)), 4294967295::BIGINT), 4294967295) AS crc FROM d),
+l AS MATERIALIZED (
+    SELECT doc_id, lang, sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END || tail) AS leaf,
+        CASE WHEN crc % 7 = 0 THEN
+            sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1) END || tail) END AS changed
+    FROM c),
+r AS MATERIALIZED (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY lang) AS n FROM l),
+t(lang, level, pos, h, n) AS (
+    SELECT lang, 0, rank, leaf, n FROM r
+    UNION ALL
+    SELECT lang, level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, level, pos // 2, n),
+s AS MATERIALIZED (SELECT lang, h, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank, count(*) OVER () AS n FROM t WHERE n = 1),
+u(level, pos, h, n) AS (
+    SELECT 0, rank, h, n FROM s
+    UNION ALL
+    SELECT level + 1, pos // 2, sha256(string_agg(h, '' ORDER BY pos)), (n + 1) // 2 FROM u WHERE n > 1 GROUP BY level, pos // 2, n),
+low AS (
+    SELECT r.doc_id, r.lang, r.rank, t.level, r.rank >> t.level AS p, coalesce(o.h, '') AS h
+    FROM r JOIN (SELECT DISTINCT lang, level FROM t WHERE n > 1) AS t ON r.lang IS NOT DISTINCT FROM t.lang
+    LEFT JOIN t AS o ON o.lang IS NOT DISTINCT FROM r.lang AND o.level = t.level AND o.pos = xor(r.rank >> t.level, 1)),
+high AS (
+    SELECT s.lang, v.level, s.rank >> v.level AS p, coalesce(o.h, '') AS h
+    FROM s CROSS JOIN (SELECT DISTINCT level FROM u WHERE n > 1) AS v LEFT JOIN u AS o ON o.level = v.level AND o.pos = xor(s.rank >> v.level, 1)),
+lows AS (
+    SELECT lang, rank, list(CASE WHEN p % 2 = 1 THEN h || '|' ELSE '|' || h END ORDER BY level) AS steps FROM low GROUP BY lang, rank),
+highs AS (SELECT lang, list(CASE WHEN p % 2 = 1 THEN h || '|' ELSE '|' || h END ORDER BY level) AS steps FROM high GROUP BY lang),
+p AS (
+    SELECT r.*, s.h AS subroot, (SELECT h FROM u WHERE n = 1) AS root,
+        list_concat(coalesce(lows.steps, []::VARCHAR[]), coalesce(highs.steps, []::VARCHAR[])) AS steps
+    FROM r JOIN s ON r.lang IS NOT DISTINCT FROM s.lang
+    LEFT JOIN lows ON r.lang IS NOT DISTINCT FROM lows.lang AND r.rank = lows.rank
+    LEFT JOIN highs ON r.lang IS NOT DISTINCT FROM highs.lang),
+f AS (
+    SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '|', '')) AS proof_sha256,
+        list_reduce(steps, lambda h, x: sha256(split_part(x, '|', 1) || h || split_part(x, '|', 2)), coalesce(changed, leaf)) AS folded_root
+    FROM p)
+SELECT *, folded_root = root AS verified FROM f
+"""
+
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP,
     "op3_top_k": TOP_K,
@@ -123,4 +174,5 @@ ORACLES = {
     "op5_quality": QUALITY,
     "op6_chat": CHAT,
     "op7_licenses": LICENSES,
+    "op13_merkle": MERKLE,
 }

@@ -12,11 +12,13 @@ from siftworks.llm import (
     html_text,
     licenses,
     line_dedup,
+    merkle,
     mixing,
     packing,
     quality,
     secrets,
     simhash,
+    token_counts,
     topk,
 )
 from siftworks.sources.shared import materialize
@@ -111,3 +113,15 @@ def op10_secrets(spark, sf):
         F.sha2(secrets.written("base"), 256).alias("base_sha256"),
         secrets.written("spans").alias("spans"),
     )
+
+
+@query
+def op13_merkle(spark, sf):
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return merkle.manifest(table(spark, sf, "documents"), tampered).drop("path")
+
+
+@query
+def op12_token_counts(spark, sf):
+    counted = token_counts.count_tokens(table(spark, sf, "documents"), limit=2048)
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
