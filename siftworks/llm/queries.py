@@ -20,6 +20,7 @@ from siftworks.llm import (
     simhash,
     token_counts,
     topk,
+    whitening,
 )
 from siftworks.sources.shared import materialize
 
@@ -125,3 +126,23 @@ def op13_merkle(spark, sf):
 def op12_token_counts(spark, sf):
     counted = token_counts.count_tokens(table(spark, sf, "documents"), limit=2048)
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op11_whitening(spark, sf):
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    fitted = whitening.Whitening(vectors, "embedding", n_components=4)
+    explained = F.array(*[F.lit(x) for x in fitted.explained]).cast("array<double>")
+    return (
+        fitted.apply(vectors)
+        .select("vec_id", "deviation", F.posexplode(F.arrays_zip("whitened", explained.alias("explained"))).alias("at", "c"))
+        .select(
+            "vec_id",
+            (F.col("at") + 1).cast("int").alias("component"),
+            F.lit(fitted.n).cast("bigint").alias("n"),
+            F.col("deviation").cast("bigint"),
+            F.col("c.whitened").alias("whitened"),
+            F.col("c.explained").alias("explained"),
+            F.lit(fitted.identity_error).cast("double").alias("identity_error"),
+        )
+    )
