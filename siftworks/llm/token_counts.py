@@ -14,6 +14,7 @@ import os
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -29,8 +30,9 @@ CHUNK, OVERLAP = 1 << 15, 1 << 10
 # Both grow by this factor where an overlap has no common place.
 WIDER = 4
 
-# Documents encoded at once.
-BATCH = 128
+# Documents counted at once, pieces of them encoded at once, and how many pieces
+# of which length in code points a Python worker remembers.
+BATCH, PIECES, KEPT, KEPT_LENGTH = 128, 4096, 1 << 19, 64
 
 # Fixed value: the vocabulary of the counts.
 VOCABULARY = "word_bpe_49k.json"
@@ -60,14 +62,49 @@ def tokenizer(path: str | None):
     return found, 1 + max((len(t.content) for t in found.get_added_tokens_decoder().values()), default=0)
 
 
+class PieceCounts:
+    """Counts of whole texts as sums over their pieces between spaces and line breaks.
+
+    No token, special string or composed character spans such a place, and none looks beyond
+    it. Pieces not met before are encoded many at a time, joined by spaces; the counts
+    of short ones are kept, at most ``KEPT`` of them.
+    """
+
+    def __init__(self, encoder):
+        self.encoder, self.known = encoder, {"": 0}
+
+    def _encode(self, pieces: list[str]) -> list[int]:
+        starts = np.cumsum([0] + [len(p) + 1 for p in pieces[:-1]])
+        encoding = self.encoder.encode(" ".join(pieces), add_special_tokens=False)
+        at = np.fromiter((o[0] for o in encoding.offsets), dtype=np.int64, count=len(encoding))
+        return np.bincount(np.searchsorted(starts, at, side="right") - 1, minlength=len(pieces)).tolist()
+
+    def __call__(self, texts: list[str]) -> list[int]:
+        if len(self.known) > KEPT:
+            self.known = {"": 0}
+        lists = [t.replace("\n", " ").split(" ") for t in texts]
+        new = list(set().union(*lists).difference(self.known))
+        for at in range(0, len(new), PIECES):
+            some = new[at : at + PIECES]
+            self.known.update(zip(some, self._encode(some)))
+        out = [sum(map(self.known.__getitem__, pieces)) for pieces in lists]
+        for piece in new:
+            if len(piece) > KEPT_LENGTH:
+                del self.known[piece]
+        return out
+
+
+@lru_cache(maxsize=2)
+def piece_counts(path: str | None) -> PieceCounts:
+    return PieceCounts(tokenizer(path)[0])
+
+
 def _whole(path: str | None):
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
-        encoder, _ = tokenizer(path)
-        out: list[int] = []
+        counted, out = piece_counts(path), []
         for at in range(0, len(texts), BATCH):
-            some = [t or "" for t in texts[at : at + BATCH]]
-            out += [len(e) for e in encoder.encode_batch_fast(some, add_special_tokens=False)]
+            out += counted([t or "" for t in texts[at : at + BATCH]])
         return pd.Series(out, dtype="int64")
 
     return count
@@ -137,23 +174,25 @@ def spliced(chunks: DataFrame) -> DataFrame:
     chunk's count up to the place is added and the second one's taken off.
     """
     keys = ["t0", "t1"]
-    sides = F.array(
-        F.struct((F.col("chunk") - 1).alias("seam"), F.lit(1).alias("side"), F.col("left_at").alias("at"), F.col("left_n").alias("n")),
-        F.struct(F.col("chunk").alias("seam"), F.lit(0).alias("side"), F.col("right_at").alias("at"), F.col("right_n").alias("n")),
-    )
+
+    def side(seam: Column, kind: int, at: Column, n: Column) -> Column:
+        return F.struct(seam.alias("seam"), F.lit(kind).alias("kind"), at.alias("at"), n.alias("n"))
+
+    total, chunk = F.col("total"), F.col("chunk")
+    none = F.array().cast("array<bigint>")
+    left = F.when(chunk > 0, side(chunk - 1, 1, F.col("left_at"), F.col("left_n")))
+    right = F.when(total.isNull(), side(chunk, 0, F.col("right_at"), F.col("right_n"))).otherwise(side(chunk, 2, none, F.array(total)))
     met = (
-        chunks.select(*keys, "total", F.explode(sides).alias("s"))
-        .filter("s.seam >= 0 AND (s.side = 1 OR total IS NULL)")
+        # one pass over the chunks: they are encoded as they are read
+        chunks.select(*keys, F.explode(F.array_compact(F.array(left, right))).alias("s"))
         .groupBy(*keys, F.col("s.seam").alias("seam"))
         # copies of a text give equal sides
-        .agg(*[F.max(F.when(F.col("s.side") == i, F.struct("s.at", "s.n"))).alias(x) for i, x in enumerate("ab")])
+        .agg(*[F.max(F.when(F.col("s.kind") == i, F.struct("s.at", "s.n"))).alias(x) for i, x in enumerate(["a", "b", "last"])])
     )
     place = F.get(F.array_intersect("a.at", "b.at"), 0)
     gain = _before(F.col("a.at"), F.col("a.n"), place) - _before(F.col("b.at"), F.col("b.n"), place)
-    seams = met.select(*keys, gain.alias("n"), F.lit(0).alias("last"))
-    ends = chunks.filter("total IS NOT NULL").groupBy(*keys).agg(F.max("total").alias("n")).withColumn("last", F.lit(1))
-    whole = F.count("*") == F.count("n")
-    return seams.unionByName(ends).groupBy(*keys).agg(F.when(whole, F.sum("n")).alias("n"))
+    gains = met.select(*keys, F.coalesce(F.col("last.n")[0], gain).alias("n"))
+    return gains.groupBy(*keys).agg(F.when(F.count("*") == F.count("n"), F.sum("n")).alias("n"))
 
 
 def count_tokens(
