@@ -606,6 +606,16 @@ def bloom_quality_one_hash(spark, sf):
     return rounded(bloom.bloom_quality(flags), "fpr")
 
 
+@query
+def bloom_membership(spark, sf):
+    """A filter of packed pages that holds the tags more frequent than the mean, asked for all tags."""
+    tags = views.ordered_events(spark, sf).groupBy("tag").agg(F.count("*").alias("n"))
+    tags = materialize(tags, "tag_counts")
+    frequent = tags.join(tags.agg(F.avg("n").alias("mean")), F.col("n") > F.col("mean"))
+    pages = materialize(bloom.bit_pages(frequent, **BLOOM), "pages")
+    return bloom.maybe_seen(tags, pages, **BLOOM)
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a stream; its files arrive in one micro-batch or several.
 
@@ -644,18 +654,25 @@ def stream_bloom(spark, sf):
 
 
 def event_files(spark: SparkSession, sf: str) -> str:
-    """The events in order of time, cut into files of bounded size that are written one after the other."""
+    """The events in order of time, cut into files of bounded size by one job."""
     path = new_path(spark, "events")
     events = views.table(spark, sf, "events")
     files = max(4, math.ceil(events.count() / ROWS_PER_PARTITION))
-    events = events.repartitionByRange(files, "ts", "event_id")
-    # a stored file holds one part, so that a filter opens the files of its part only
-    cut = materialize(events.withColumn("_part", F.spark_partition_id()), "events")
-    for i in range(files):
-        cut.filter(F.col("_part") == i).drop("_part").coalesce(1).write.mode("append").parquet(path)
+    events.repartitionByRange(files, "ts", "event_id").write.parquet(path)
+    in_order(spark, path)
     return path
 
 
+def in_order(spark: SparkSession, path: str) -> None:
+    """Give the part files of a folder times in the order of their numbers, which is that in which a stream reads them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted((f.getPath().getName(), f) for f in system.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    first = min((f.getModificationTime() for _, f in parts), default=0)
+    for i, (_, f) in enumerate(parts):
+        system.setTimes(f.getPath(), first - 1000 * (len(parts) - i), -1)
+
+
 def batched_events(spark: SparkSession, sf: str) -> DataFrame:
     """The events as a stream of several micro-batches, one file each."""
     schema = views.table(spark, sf, "events").schema

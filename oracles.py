@@ -538,6 +538,11 @@ WITH {STATUS} SELECT count(*) AS n, round(avg(length(text)), 6) AS mean_length F
 ORACLES["sample_top_hashtags"] = f"WITH {_tags('sample')} SELECT rank, tag, n FROM top_tags"
 ORACLES["bloom_flags"] = f"WITH {_bloom(4096, 6)} SELECT * FROM flags"
 ORACLES["bloom_quality"] = f"WITH {_bloom(4096, 6)} {QUALITY_OUT}"
+ORACLES["bloom_membership"] = f"""
+WITH {_bloom(4096, 6)},
+held AS (SELECT DISTINCT bit FROM hits WHERE n > (SELECT avg(n) FROM seen))
+SELECT tag, bool_and(bit IN (SELECT bit FROM held)) AS maybe_seen FROM hits GROUP BY tag
+"""
 ORACLES["bloom_quality_one_hash"] = f"WITH {_bloom(2048, 1)} {QUALITY_OUT}"
 ORACLES["stream_reservoir"] = ORACLES["reservoir_batch"]
 ORACLES["stream_reservoir_report"] = f"""

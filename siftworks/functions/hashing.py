@@ -26,3 +26,13 @@ def bit_position(tag: str | Column, i: int | Column, width: int) -> Column:
 def bit_positions(tag: str | Column, width: int, num_hash: int) -> Column:
     """The distinct bits of ``tag`` as an array."""
     return F.array_distinct(F.array(*[bit_position(tag, i, width) for i in range(num_hash)]))
+
+
+def page_of(bit: str | Column) -> Column:
+    """The page, from 1, of a bit in a filter kept as packed pages."""
+    return F.bitmap_bucket_number((F.col(bit) if isinstance(bit, str) else bit) + 1)
+
+
+def place_in_page(bit: str | Column) -> Column:
+    """The place, from 0, of a bit within its page."""
+    return F.bitmap_bit_position((F.col(bit) if isinstance(bit, str) else bit) + 1)

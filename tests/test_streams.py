@@ -167,15 +167,21 @@ def test_stream_filter_equals_the_sequential_filter(spark, folder, cuts):
     assert bloom_log(spark, f"{folder}/out").count() == len(cuts)
 
 
-def test_folding_old_batches_changes_nothing(spark, folder):
-    tags = random_tags(8, n=40, kinds=16)
-    for s in range(0, 40, 5):
-        arrive(spark.createDataFrame([(i, tags[i]) for i in range(s, s + 5)], SCHEMA), f"{folder}/in")
-        stream = read_stream(spark, f"{folder}/in", SCHEMA)
-        bloom_stream(stream, f"{folder}/out", ["event_id"], 16, 3, fold_every=3).awaitTermination()
-    assert tuple(last_report(spark, f"{folder}/out").first()) == pytest.approx(sequential(tags, 16, 3))
-    folded = spark.read.parquet(f"{folder}/out/tags-folded/before=6")
-    assert folded.count() == len(set(tags[:30]))
+def test_a_batch_touches_only_the_tags_it_names(spark, folder):
+    """The rows that a batch reads and the state rows it updates do not grow with the stream's age."""
+    for i in range(4):
+        # thirty new tags a batch, and one that comes again
+        tags = ["#again", *[f"#n{i}-{j}" for j in range(30)]]
+        arrive(spark.createDataFrame([(100 * i + j, t) for j, t in enumerate(tags)], SCHEMA), f"{folder}/in")
+    stream = read_stream(spark, f"{folder}/in", SCHEMA, max_files=1)
+    query = bloom_stream(stream, f"{folder}/out", ["event_id"], 1 << 20, 2)
+    query.awaitTermination()
+    batches = [p for p in query.recentProgress if p["numInputRows"]]
+    assert [p["numInputRows"] for p in batches] == [31] * 4
+    tags = [next(s for s in p["stateOperators"] if s["numRowsTotal"] > 31 * i and s["numRowsUpdated"] <= 31) for i, p in enumerate(batches)]
+    assert all(s["numRowsUpdated"] <= 31 for s in tags)
+    assert last_report(spark, f"{folder}/out").first().total == 124
+    assert [r.total for r in bloom_log(spark, f"{folder}/out").orderBy("batch_id").collect()] == [31, 62, 93, 124]
 
 
 def test_a_batch_run_again_gives_the_same_state(spark, folder):
@@ -228,3 +234,25 @@ def test_wide_filters_use_all_their_bits(spark):
 
     bits = spark.range(500).select(bit_position(F.col("id").cast("string"), 0, 1 << 40).alias("b"))
     assert bits.agg(F.max("b")).first()[0] > 1 << 39
+
+
+def test_packed_pages_hold_what_was_put_in(spark):
+    from siftworks.operators.bloom import bit_pages, maybe_seen, merge_pages
+
+    width = 4_000_000_000
+    tags = spark.range(300).selectExpr("concat('#', id) AS tag")
+    parts = [bit_pages(tags.filter(f"length(tag) {c}"), width, 3) for c in ("< 4", ">= 4")]
+    pages = merge_pages(*parts)
+    assert rows(pages) == rows(bit_pages(tags, width, 3))
+    assert pages.agg(F.max("page"), F.max(F.octet_length("bits"))).first()[1] == 4096
+    assert pages.agg(F.max("page")).first()[0] > 100_000
+    asked = tags.unionByName(spark.range(300, 600).selectExpr("concat('#', id) AS tag")).unionByName(tags)
+    got = dict(rows(maybe_seen(asked, pages, width, 3)))
+    assert len(got) == 600 and all(got[f"#{i}"] == (i < 300) for i in range(600))
+    # a narrow filter against the bits one by one
+    few = [f"#{i}" for i in range(40)]
+    bits = {p for t in few for p in positions(t, 500, 3)}
+    narrow = bit_pages(spark.createDataFrame([(t,) for t in few], "tag string"), 500, 3)
+    got = dict(rows(maybe_seen(asked, narrow, 500, 3)))
+    assert got == {f"#{i}": all(p in bits for p in positions(f"#{i}", 500, 3)) for i in range(600)}
+    assert rows(maybe_seen(tags, narrow.limit(0), 500, 3)) == sorted((f"#{i}", False) for i in range(300))
