@@ -14,63 +14,80 @@ from siftworks.functions.skew import (
 from siftworks.operators.ratings import both_ways
 from siftworks.sources.shared import materialize
 
-MOMENTS = ["n", "sa", "sb", "sab", "saa", "sbb"]
+# Sums of squares and products about the means of the shared entries, which merge without
+# cancellation: an offset of all ratings, or of one that no partner shares, does not count.
+MOMENTS = ["n", "ma", "mb", "saa", "sbb", "sab"]
 
-# Variance below this share of the second moment is rounding noise, not variance. Moments
-# are taken from each entity's smallest rating, so a large offset of all ratings does not count.
-# Whole-number ratings have exact sums, for which the test is simply "greater than zero".
-NOISE = 1e-12
+# Similarities this near to a bound, or to 1, equal it up to rounding.
+ROUNDING = 1e-12
 
 
 def _moments(pairs: DataFrame) -> DataFrame:
     a, b = F.col("rating_a"), F.col("rating_b")
     return pairs.groupBy("a", "b").agg(
         F.count("*").alias("n"),
-        F.sum(a).alias("sa"),
-        F.sum(b).alias("sb"),
-        F.sum(a * b).alias("sab"),
-        F.sum(a * a).alias("saa"),
-        F.sum(b * b).alias("sbb"),
+        F.avg(a).alias("ma"),
+        F.avg(b).alias("mb"),
+        F.regr_sxx(b, a).alias("saa"),
+        F.regr_syy(b, a).alias("sbb"),
+        F.regr_sxy(b, a).alias("sab"),
+    )
+
+
+def _merged(x: Column, y: Column) -> Column:
+    """The moments of two sets of entries together, by their means and sizes."""
+    n = x["n"] + y["n"]
+    da, db = y["ma"] - x["ma"], y["mb"] - x["mb"]
+    share = y["n"] / n
+    between = x["n"] * share
+    return F.struct(
+        n.alias("n"),
+        (x["ma"] + da * share).alias("ma"),
+        (x["mb"] + db * share).alias("mb"),
+        (x["saa"] + y["saa"] + da * da * between).alias("saa"),
+        (x["sbb"] + y["sbb"] + db * db * between).alias("sbb"),
+        (x["sab"] + y["sab"] + da * db * between).alias("sab"),
     )
 
 
 def _add_up(moments: DataFrame) -> DataFrame:
-    return moments.groupBy("a", "b").agg(*[F.sum(m).alias(m) for m in MOMENTS])
+    """The moments of each pair over all routes, of which there are three at most."""
+    parts = moments.groupBy("a", "b").agg(F.array_sort(F.collect_list(F.struct(*MOMENTS))).alias("parts"))
+    first, rest = F.col("parts")[0], F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(1)))
+    return parts.select("a", "b", F.aggregate(rest, first, _merged).alias("m")).select("a", "b", "m.*")
 
 
 def absolute_pearson() -> Column:
-    """|r| from the moments of a pair; NULL where either side has no variance."""
-    n, sa, sb = F.col("n"), F.col("sa"), F.col("sb")
-    da = n * F.col("saa") - sa * sa
-    db = n * F.col("sbb") - sb * sb
-    num = n * F.col("sab") - sa * sb
-    varies = (da > F.lit(NOISE) * n * F.col("saa")) & (db > F.lit(NOISE) * n * F.col("sbb"))
-    return F.when(varies, F.abs(num) / F.sqrt(da * db))
+    """|r| from the moments of a pair; NULL where either side has no variance, 1 where it is 1 up to rounding."""
+    varies = (F.col("saa") > 0) & (F.col("sbb") > 0)
+    r = F.abs("sab") / F.sqrt(F.col("saa") * F.col("sbb"))
+    return F.when(varies, F.when(r > 1 - ROUNDING, 1.0).otherwise(r))
 
 
-def _usable(ratings: DataFrame, entity: str, min_common: int, targets: DataFrame | None) -> DataFrame:
-    """Rows of entities that can have a defined similarity to anything at all.
+def _usable(ratings: DataFrame, entity: str, min_common: int, targets: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The entities (entity, n, wanted) that can have a defined similarity to anything at all, and their rows.
 
     Fewer ratings than the overlap needed, or one constant rating, rules an
     entity out for every partner, so dropping it first changes no result. The
-    column ``wanted`` tells the targets. Ratings become differences from the entity's
-    smallest one, which leaves the correlation as it is and keeps the moments small.
+    column ``wanted`` tells the targets. Ratings become differences from the entity's smallest
+    one, which leaves the correlation as it is and makes whole stars exact under any offset.
     """
     alive = (
         ratings.groupBy(entity)
-        .agg(F.count("*").alias("_n"), F.min("rating").alias("_lo"), F.max("rating").alias("_hi"))
-        .filter((F.col("_n") >= min_common) & (F.col("_lo") < F.col("_hi")))
-        .select(entity, "_lo")
+        .agg(F.count("*").alias("n"), F.min("rating").alias("_lo"), F.max("rating").alias("_hi"))
+        .filter((F.col("n") >= min_common) & (F.col("_lo") < F.col("_hi")))
+        .select(entity, "n", "_lo")
     )
     if targets is None:
         alive = alive.withColumn("wanted", F.lit(True))
     else:
         flagged = targets.select(entity).distinct().withColumn("_target", F.lit(True))
         alive = alive.join(flagged, entity, "left").select(
-            entity, "_lo", F.coalesce("_target", F.lit(False)).alias("wanted")
+            entity, "n", "_lo", F.coalesce("_target", F.lit(False)).alias("wanted")
         )
-    rows = ratings.join(materialize(alive, "usable"), entity)
-    return rows.withColumn("rating", F.col("rating") - F.col("_lo")).drop("_lo")
+    alive = materialize(alive, "usable")
+    rows = ratings.join(alive.drop("n"), entity)
+    return alive, rows.withColumn("rating", F.col("rating") - F.col("_lo")).drop("_lo")
 
 
 def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str) -> DataFrame:
@@ -119,33 +136,16 @@ def pair_similarity(
     only pairs with at least one target are computed.
     """
     other = "user" if entity == "item" else "item"
-    rows = _usable(ratings.select(entity, other, "rating"), entity, min_common, targets)
-    r = F.col("rating")
-    selves = (
-        rows.filter("wanted")
-        .groupBy(entity)
-        .agg(F.count("*").alias("n"), F.sum(r).alias("sa"), F.sum(r * r).alias("saa"))
-        .select(
-            F.col(entity).alias("a"),
-            F.col(entity).alias("b"),
-            "n",
-            "sa",
-            F.col("sa").alias("sb"),
-            F.col("saa").alias("sab"),
-            "saa",
-            F.col("saa").alias("sbb"),
-        )
-    )
+    alive, rows = _usable(ratings.select(entity, other, "rating"), entity, min_common, targets)
     wanted = None if targets is None else "wanted"
-    moments = _pair_moments(rows, entity, other, min_common, wanted, heavy_rows).unionByName(selves)
+    moments = _pair_moments(rows, entity, other, min_common, wanted, heavy_rows)
     # the correlation is the same in both orders
     low, high = (F.col("a"), F.col("b")) if targets is None else (F.least("a", "b"), F.greatest("a", "b"))
-    return moments.select(
-        low.alias("a"),
-        high.alias("b"),
-        F.col("n").alias("n_common"),
-        absolute_pearson().alias("similarity"),
-    ).filter(F.col("similarity") >= min_sim)
+    similar = moments.select(low.alias("a"), high.alias("b"), F.col("n").alias("n_common"), absolute_pearson().alias("similarity"))
+    # ratings that vary agree with themselves
+    own = F.col(entity)
+    selves = alive.filter("wanted").select(own.alias("a"), own.alias("b"), F.col("n").alias("n_common"), F.lit(1.0).alias("similarity"))
+    return similar.unionByName(selves).filter(F.col("similarity") >= F.lit(min_sim - ROUNDING))
 
 
 def pearson_similarity(

@@ -268,3 +268,29 @@ def test_a_large_offset_of_all_ratings_changes_no_similarity(spark):
         for d in (data, [(u, i, x + 1e7) for u, i, x in data])
     )
     assert near == far and len(near) > 4
+
+
+@pytest.mark.parametrize("heavy_rows", [5000, 3, 2])
+@pytest.mark.parametrize("extra", [[], [("z", "A", 0.0)], [("z", "A", -1e12), ("z", "C", 3.0)]])
+def test_ratings_nobody_shares_do_not_touch_a_similarity(spark, heavy_rows, extra):
+    import statistics
+
+    from siftworks.operators.similarity import pair_similarity
+
+    a, b = [1e7 + r for r in (1, 2, 3, 5)], [2.0, 1.0, 4.0, 5.0]
+    given = [(u, "A", r) for u, r in zip("stuv", a)] + [(u, "B", r) for u, r in zip("stuv", b)] + extra
+    df = spark.createDataFrame(given, "user string, item string, rating double")
+    found = {(r.a, r.b): (r.n_common, r.similarity) for r in pair_similarity(df, heavy_rows=heavy_rows).collect()}
+    assert found["A", "B"] == (4, pytest.approx(statistics.correlation(a, b), abs=1e-12))
+    assert found["A", "A"] == (4 + bool(extra), 1.0)
+
+
+def test_nearly_constant_and_constant_ratings(spark):
+    from siftworks.operators.similarity import pair_similarity
+
+    given = [(u, "A", 1e9 + u * 1e-3) for u in range(5)] + [(u, "B", float(u)) for u in range(5)]
+    given += [(u, "C", 0.1) for u in range(5)] + [(9, "C", 0.7)]  # constant where it meets the others
+    df = spark.createDataFrame(given, "user long, item string, rating double")
+    found = {(r.a, r.b): r.similarity for r in pair_similarity(df).collect()}
+    assert found.keys() == {("A", "A"), ("B", "B"), ("C", "C"), ("A", "B")}
+    assert found["A", "B"] == pytest.approx(1.0, abs=1e-6)
