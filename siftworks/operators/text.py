@@ -41,29 +41,35 @@ def _document_terms(corpus: DataFrame) -> DataFrame:
     return _terms(corpus, F.array_distinct(tokens("text")))
 
 
-def idf(corpus: DataFrame) -> DataFrame:
-    """(term, df, idf) with idf = 1 + ln(N / df).
-
-    The only shuffle is that of the pre-aggregated count per term.
-    """
+def _weighed(corpus: DataFrame, occurrences: DataFrame) -> DataFrame:
+    """(term, df, idf) from a table with one row per term and document."""
     n_docs = corpus.agg(F.count("*").alias("n")).scalar()
     return (
-        _document_terms(corpus)
-        .groupBy("term")
+        occurrences.groupBy("term")
         .agg(F.count("*").alias("df"))
         .select("term", "df", (F.lit(1.0) + F.log(n_docs / F.col("df"))).alias("idf"))
     )
 
 
+def idf(corpus: DataFrame) -> DataFrame:
+    """(term, df, idf) with idf = 1 + ln(N / df).
+
+    The only shuffle is that of the pre-aggregated count per term.
+    """
+    return _weighed(corpus, _document_terms(corpus))
+
+
 def tfidf(corpus: DataFrame) -> DataFrame:
     """(doc_id, term, weight) with weight = tf * idf.
 
-    The IDF table is stored first: the rows of a hot term can then be split over many tasks.
+    The texts are split once, for the term frequencies, which are stored; document frequencies
+    count their rows, so ``doc_id`` must be unique. The IDF table is stored too: the rows of a hot term can
+    then be split over many tasks.
     """
-    weights = materialize(idf(corpus).select("term", "idf"), "idf")
+    frequencies = materialize(term_frequency(corpus), "term_frequency")
+    weights = materialize(_weighed(corpus, frequencies).select("term", "idf"), "idf")
     return (
-        term_frequency(corpus)
-        .join(weights, "term")
+        frequencies.join(weights, "term")
         .select("doc_id", "term", (F.col("tf") * F.col("idf")).alias("weight"))
     )
 
