@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from siftworks.functions.ordering import global_position
-from siftworks.llm.text import fingerprint
+from siftworks.llm.text import fingerprint, free_names
 from siftworks.sources.shared import materialize
 
 # Elements by their part in a page, per the HTML standard, and the names that mark page furniture.
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
-FURNITURE = frozenset("nav header footer aside form button select menu dialog svg canvas object audio video figure head".split())
+FURNITURE = frozenset("nav header footer aside form button select menu svg canvas audio video head".split())
 MAIN = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
@@ -283,7 +283,7 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", text: str =
     adverts, forms, scripts, styles and comments; pages without such an element keep the
     lines that are no page furniture and that no nearest neighbour shares.
     NULL and empty pages have an empty text, and pages without a URL belong to the host ''.
-    Equal rows have equal texts. A column called like ``text`` is replaced.
+    Equal rows have equal texts. A column called like ``text`` is replaced, all others stay whatever their names.
     """
     shared = materialize(shared_lines(pages, url, page), "shared_lines")
 
@@ -291,10 +291,10 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html", text: str =
     def body(markup: pd.Series, places: pd.Series) -> pd.Series:
         return pd.Series([main_text(m, frozenset() if p is None else frozenset(map(int, p))) for m, p in zip(markup, places)], dtype=object)
 
-    a, b = _page_key(url, page)
+    a, b, places = free_names(pages.columns, "a", "b", "shared")
     return (
-        pages.withColumns({"_a": a, "_b": b})
-        .join(shared, ["_a", "_b"], "left")
-        .withColumn(text, body(F.col(page), F.col("_shared")))
-        .drop("_a", "_b", "_shared", *([page] if page != text else []))
+        pages.withColumns(dict(zip((a, b), _page_key(url, page))))
+        .join(shared.toDF(a, b, places), [a, b], "left")
+        .withColumn(text, body(F.col(page), F.col(places)))
+        .drop(a, b, places, *([page] if page != text else []))
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftworks.llm.license_texts import DIGESTS, NOTICES, TEXTS
-from siftworks.llm.text import ascii_lower, strip_white
+from siftworks.llm.text import ascii_lower, free_names, strip_white
 
 # Spellings that count as the same, applied in this order after lower-casing.
 SPELLINGS = {
@@ -84,19 +84,20 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
-    whole = F.broadcast(known_digests(spark).withColumnRenamed("digest", "_d"))
-    bodies = F.broadcast(known_bodies(spark).select(F.col("digest").alias("_b"), F.col("license").alias("_body")))
+    docs = docs.drop(*[c for c in ("digest", "license", "notices") if c != text])
+    d, b, by_body = free_names(docs.columns, "d", "b", "body")
+    whole = F.broadcast(known_digests(spark).withColumnRenamed("digest", d))
+    bodies = F.broadcast(known_bodies(spark).select(F.col("digest").alias(b), F.col("license").alias(by_body)))
     # the known notices as one row: a map from digest to license, bounded by the list in the code
     notices = known_digests(spark, kind="notice").collect()
     lookup = F.create_map(*[F.lit(x) for r in notices for x in (r["digest"], r["license"])])
     lines = F.filter(F.split(body, "\n", -1), lambda line: line.rlike(NOTICE_WORD))
     named = F.transform(lines, lambda line: F.try_element_at(lookup, digest(line)))
     return (
-        docs.drop("digest", "license", "notices")
-        .withColumn("digest", digest(body))
-        .join(whole, F.col("digest") == F.col("_d"), "left")
-        .join(bodies, body_digest(body) == F.col("_b"), "left")
-        .withColumn("license", F.coalesce("license", "_body"))
-        .drop("_d", "_b", "_body")
+        docs.withColumn("digest", digest(body))
+        .join(whole, F.col("digest") == F.col(d), "left")
+        .join(bodies, body_digest(body) == F.col(b), "left")
+        .withColumn("license", F.coalesce("license", by_body))
+        .drop(d, b, by_body)
         .withColumn("notices", F.array_join(F.array_distinct(F.array_compact(named)), ","))
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.text import ascii_lower, fingerprint, strip_white
+from siftworks.llm.text import ascii_lower, fingerprint, free_names, strip_white
 from siftworks.sources.shared import materialize
 
 
@@ -49,7 +49,7 @@ def drop_common_lines(
     occurs in at least ``min_docs`` rows go, in every row; the others are joined
     again in their order. Each row is a document, also a repeated one or one
     without an id; ids are not used. A NULL text is one empty line and stays ''.
-    Columns of ``docs`` named like an output column are replaced.
+    Columns of ``docs`` named like an output column are replaced, all others stay whatever their names.
 
     Which positions go depends on the text alone, so decisions are made per
     distinct text and joined back to every copy. Both joins have a stored side
@@ -69,19 +69,21 @@ def drop_common_lines(
         .agg(F.collect_set("_pos").alias("_drop"))
     )
     hits = materialize(hits, "dropped_lines")
-    cut = docs.withColumns({"_ta": ta, "_tb": tb, "_lines": lines}).drop(text if kept == text else "_none")
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
-    chosen = F.when(F.col("_drop").isNull(), F.col("_lines")).otherwise(
-        F.transform(left, lambda i: F.get(F.col("_lines"), i))
+    a, b, all_lines, drop = free_names([*docs.columns, kept], "ta", "tb", "lines", "drop")
+    cut = docs.withColumns({a: ta, b: tb, all_lines: lines})
+    cut = cut.drop(text) if kept == text else cut
+    left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(drop))
+    chosen = F.when(F.col(drop).isNull(), F.col(all_lines)).otherwise(
+        F.transform(left, lambda i: F.get(F.col(all_lines), i))
     )
     return (
-        cut.join(hits, ["_ta", "_tb"], "left")
+        cut.join(hits.toDF(a, b, drop), [a, b], "left")
         .withColumns(
             {
-                "n_lines": F.size("_lines").cast("bigint"),
-                "n_dropped": F.coalesce(F.size("_drop"), F.lit(0)).cast("bigint"),
+                "n_lines": F.size(all_lines).cast("bigint"),
+                "n_dropped": F.coalesce(F.size(drop), F.lit(0)).cast("bigint"),
                 kept: F.array_join(chosen, "\n"),
             }
         )
-        .drop("_ta", "_tb", "_lines", "_drop")
+        .drop(a, b, all_lines, drop)
     )

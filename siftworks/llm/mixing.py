@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from siftworks.llm.text import strip_white, words
+from siftworks.llm.text import free_names, strip_white, words
 from siftworks.sources.shared import materialize
 
 # Documents of a source whose keys fall into one range, on average.
@@ -150,14 +150,15 @@ class Mix:
         """
         doc_id, text, source = self.keys
         inside = (F.col("cut") > 0) & (2 * F.col("cut") >= F.col("size"))
+        src, key, last, epochs, copy = free_names(docs.columns, "src", "key", "last", "epochs", "copy")
         border = materialize(
-            self.rows.groupBy("_src").agg(F.max(F.when(inside, F.struct("_key"))).alias("_last"), F.max("epochs").alias("_epochs")),
+            self.rows.groupBy(F.col("_src").alias(src)).agg(F.max(F.when(inside, F.col("_key"))).alias(last), F.max("epochs").alias(epochs)),
             "mix_border",
         )
-        keyed = docs.withColumns({"_src": _source_key(source), "_key": random_key(self.seed, doc_id, text)})
-        copies = F.col("_epochs") + F.when(F.col("_key") <= F.col("_last._key"), 1).otherwise(0)
+        keyed = docs.withColumns({src: _source_key(source), key: random_key(self.seed, doc_id, text)})
+        copies = F.col(epochs) + F.when(F.col(key) <= F.col(last), 1).otherwise(0)
         return (
-            keyed.join(border, "_src")
-            .withColumn("_copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))))
+            keyed.join(border, src)
+            .withColumn(copy, F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies.cast("int")))))
             .select(*docs.columns)
         )

@@ -36,7 +36,7 @@ v AS (SELECT *, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,
         coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS caps,
         coalesce(sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ws FROM w),
 x AS (SELECT *, (total - caps)::DOUBLE / (all_w - ws)::DOUBLE AS level FROM v),
-y AS (SELECT *, min_by(level, cap / w) FILTER (WHERE cap / w > level) OVER () AS last FROM x),
+y AS (SELECT *, max(level) FILTER (WHERE cap / w > level) OVER () AS last FROM x),
 t AS MATERIALIZED (SELECT source, source_size, CASE WHEN last IS NULL THEN cap::DOUBLE ELSE least(cap::DOUBLE, last * w) END AS target FROM y),
 b AS (SELECT k.*, source_size, target, round(target)::BIGINT AS budget,
         coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before

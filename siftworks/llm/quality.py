@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siftworks.llm.text import WHITE_RUN, strip_white, words
+from siftworks.llm.text import WHITE_RUN, free_names, strip_white, words
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_text_lines", "n_dup_lines", "n_repeat_words", "n_letters")
 
@@ -50,44 +50,45 @@ def bit(rule: str) -> int:
 
 
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the columns of ``MEASURES``, which replace columns of the same name.
+    """``docs`` with the columns of ``MEASURES``, which replace columns of the same name; all others stay.
 
     A NULL text has no words. ``n_repeat_words`` counts the words that lie in a
     three-word window found twice or more: the windows of a document are sorted
     and compared with their neighbours, so a long text costs n log n.
     """
     body = F.coalesce(F.col(text), F.lit(""))
+    all_words, all_windows, bare_text, lines = free_names(docs.columns, "words", "windows", "bare", "lines")
 
     def window(i: Column) -> Column:
-        w = F.col("_q_words")
+        w = F.col(all_words)
         return F.struct(F.concat_ws(" ", F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("g"), i.alias("i"))
 
     def repeated(x: Column, i: Column) -> Column:
-        before, after = (F.get(F.col("_q_windows"), j)["g"] for j in (i - 1, i + 1))
+        before, after = (F.get(F.col(all_windows), j)["g"] for j in (i - 1, i + 1))
         return F.coalesce(before == x["g"], F.lit(False)) | F.coalesce(after == x["g"], F.lit(False))
 
-    n = F.size("_q_words")
+    n = F.size(all_words)
     windows = F.when(n >= 3, F.transform(F.sequence(F.lit(0), n - 3), window))
-    starts = F.transform(F.filter("_q_windows", repeated), lambda x: x["i"])
+    starts = F.transform(F.filter(all_windows, repeated), lambda x: x["i"])
     covered = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(i, i + 1, i + 2))))
     bare = F.regexp_replace(body, WHITE_RUN, "")
     text_lines = F.filter(F.split(body, "\n", -1), lambda line: strip_white(line) != "")
     return (
         docs.drop(*MEASURES)
-        .withColumns({"_q_words": words(strip_white(body)), "_q_bare": bare, "_q_lines": text_lines})
-        .withColumn("_q_windows", F.array_sort(windows))
+        .withColumns({all_words: words(strip_white(body)), bare_text: bare, lines: text_lines})
+        .withColumn(all_windows, F.array_sort(windows))
         .withColumns(
             {
                 "n_words": n.cast("bigint"),
-                "word_chars": F.char_length("_q_bare").cast("bigint"),
-                "n_symbols": F.char_length(F.regexp_replace("_q_bare", r"[^#*$%&|<>]+", "")).cast("bigint"),
-                "n_text_lines": F.size("_q_lines").cast("bigint"),
-                "n_dup_lines": (F.size("_q_lines") - F.size(F.array_distinct("_q_lines"))).cast("bigint"),
-                "n_repeat_words": F.when(F.col("_q_windows").isNull(), 0).otherwise(F.size(covered)).cast("bigint"),
-                "n_letters": F.char_length(F.regexp_replace("_q_bare", r"\P{L}+", "")).cast("bigint"),
+                "word_chars": F.char_length(bare_text).cast("bigint"),
+                "n_symbols": F.char_length(F.regexp_replace(bare_text, r"[^#*$%&|<>]+", "")).cast("bigint"),
+                "n_text_lines": F.size(lines).cast("bigint"),
+                "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("bigint"),
+                "n_repeat_words": F.when(F.col(all_windows).isNull(), 0).otherwise(F.size(covered)).cast("bigint"),
+                "n_letters": F.char_length(F.regexp_replace(bare_text, r"\P{L}+", "")).cast("bigint"),
             }
         )
-        .drop("_q_words", "_q_bare", "_q_lines", "_q_windows")
+        .drop(all_words, bare_text, lines, all_windows)
     )
 
 
@@ -113,8 +114,9 @@ def kept_by(policy: Policy, judged: DataFrame) -> DataFrame:
     A plain filter would be pushed below the projections of ``measure`` and their arrays
     computed again for each element; the row number keeps it above them.
     """
-    numbered = judged.withColumn("_q_row", F.monotonically_increasing_id())
-    return numbered.filter(passes(policy) & (F.col("_q_row") >= 0)).drop("_q_row")
+    (row,) = free_names(judged.columns, "row")
+    numbered = judged.withColumn(row, F.monotonically_increasing_id())
+    return numbered.filter(passes(policy) & (F.col(row) >= 0)).drop(row)
 
 
 def ablations(rows: DataFrame, policy: Policy) -> DataFrame:

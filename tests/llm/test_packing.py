@@ -9,7 +9,6 @@ from siftworks.llm import packing
 from siftworks.llm.queries import QUERIES
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-TOKENIZER.encode_special_tokens = True
 
 
 def verify(pieces, texts):
@@ -47,7 +46,7 @@ def test_query_round_trip_and_padding(spark):
 
 
 def test_odd_texts(spark, docs):
-    texts = {1: None, 2: "", 3: "<|endoftext|>", 4: "no end " * 4000, 5: "a. " * 3000, 6: " \n\t\x00é😀", 7: "x" * 20_000}
+    texts = {1: None, 2: "", 3: "<|endoftext|>", 4: "no end " * 4000, 5: "a. " * 3000, 6: " \n\t\x00é😀", 7: "x" * 20_000, 8: "a <|endoftext|> b \n <|endoftext|>", 9: "<|endoftext" * 3 + "|><|endoftext|>  x"}
     verify(packing.pack(docs(*texts.items()).repartition(3)).collect(), texts)
     assert packing.pack(docs().limit(0)).count() == 0
     twice = packing.pack(docs((1, "a b"), (1, "a b"), (None, "c")).selectExpr("*", "1 AS start", "2 AS length")).collect()
