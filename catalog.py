@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from siftworks.operators import (
     bloom,
     evaluation,
+    factors,
     hashtags,
     itemsets,
     kmeans,
     models,
     neighbours,
+    projection,
     ratings,
     similarity,
     text,
@@ -489,6 +491,38 @@ def als_rmse(spark, sf):
     return evaluation.rmse(models.with_error(models.als_cf(train, test)))
 
 
+def factor_columns(df: DataFrame, entity: str) -> DataFrame:
+    parts = [F.get("factors", F.lit(i)).alias(f"f{i}") for i in range(3)]
+    return rounded(df.select(entity, "n", *parts), "f0", "f1", "f2")
+
+
+@query
+def als_half_step(spark, sf):
+    """The factors of all users that fit start factors of the items best."""
+    train, _ = views.split_ratings(spark, sf)
+    return factor_columns(factors.half_step(train, factors.hashed_start(train, "item"), "user", "item"), "user")
+
+
+@query
+def als_round(spark, sf):
+    """A whole round: users from the start factors of the items, then items from these users."""
+    train, _ = views.split_ratings(spark, sf)
+    users = factors.half_step(train, factors.hashed_start(train, "item"), "user", "item")
+    return factor_columns(factors.half_step(train, users, "item", "user"), "item")
+
+
+@query
+def als_fitted(spark, sf):
+    """(n_users, n_off): the fitted factors of all users, and those that do not solve their normal equations.
+
+    Spark ML keeps factors in single precision.
+    """
+    train, _ = views.split_ratings(spark, sf)
+    fitted = models.fit_als(train)
+    found = factors.residuals(train, fitted.factors("user"), fitted.factors("item"))
+    return found.agg(F.count("*").alias("n_users"), F.count(F.when(F.col("residual") > 0.0001, 1)).alias("n_off"))
+
+
 def embedded(spark: SparkSession, sf: str) -> DataFrame:
     return models.dense_features(views.table(spark, sf, "embeddings"), "vec_id", "embedding")
 
@@ -541,14 +575,12 @@ def ml_bisecting_kmeans_totals(spark, sf):
     return cluster_totals(ml_bisecting_kmeans(spark, sf))
 
 
-@query
-def ml_gmm_moments(spark, sf):
+def mixture_moments(components: DataFrame) -> DataFrame:
     """(i, j, mean, moment): what a mixture keeps of the data in every round of its fit.
 
     The weighted means of the components are the column means, and weighted covariances plus
     products of means are the second moments.
     """
-    components = models.gaussian_mixture(embedded(spark, sf), 3, 10, SEED)
     cells = components.select("component", "weight", "mean", F.posexplode("covariance").alias("i", "_row")).select(
         "component", "weight", "mean", "i", F.posexplode("_row").alias("j", "_cov")
     )
@@ -557,7 +589,32 @@ def ml_gmm_moments(spark, sf):
         F.sum(F.col("weight") * at("i")).alias("mean"),
         F.sum(F.col("weight") * (F.col("_cov") + at("i") * at("j"))).alias("moment"),
     )
-    return rounded(moments, "mean", "moment")
+    # no negative zeros
+    return moments.withColumns({c: F.round(c, 6) + F.lit(0.0) for c in ("mean", "moment")})
+
+
+@query
+def ml_gmm_moments(spark, sf):
+    return mixture_moments(models.gaussian_mixture(embedded(spark, sf), 3, 10, SEED))
+
+
+@query
+def text_projection(spark, sf):
+    """(doc_id, dim, value): the TF-IDF vectors of all texts in sixteen dimensions."""
+    corpus = views.corpus(spark, sf)
+    dense = projection.project(text.tfidf(corpus), corpus)
+    cells = dense.select("doc_id", F.posexplode("projection").alias("dim", "value"))
+    return cells.withColumn("value", F.round("value", 6) + F.lit(0.0))
+
+
+@query
+def ml_gmm_text(spark, sf):
+    return clustering.mixture_of_corpus(views.corpus(spark, sf), 3, 10, seed=SEED)
+
+
+@query
+def ml_gmm_text_moments(spark, sf):
+    return mixture_moments(ml_gmm_text(spark, sf))
 
 
 # --- samples and streams ---

@@ -568,12 +568,56 @@ ORACLES["cf_item_scored_heavy"] = ORACLES["cf_item_scored"]
 ORACLES["cf_user_scored_heavy"] = ORACLES["cf_user_scored"]
 ORACLES["frequent_itemsets_heavy"] = ORACLES["frequent_itemsets_all"]
 ORACLES["als_rows"] = f"""WITH {SPLIT} SELECT "user", item, rating FROM known"""
+
+
+def _half_step(name: str, entity: str, other: str, start: str) -> str:
+    """Three factors per entity by Cramer's rule, with 0.3 times the ratings on the diagonal."""
+    cells = [(i, j) for i in range(3) for j in range(i, 3)]
+    sums = ", ".join(f"sum(f{i} * f{j}) + {0.3 if i == j else 0.0} * count(*) AS a{i}{j}" for i, j in cells)
+    right = ", ".join(f"sum(rating * f{i}) AS b{i}" for i in range(3))
+
+    def det(column: int | None) -> str:
+        a = [[f"a{min(i, j)}{max(i, j)}" if j != column else f"b{i}" for j in range(3)] for i in range(3)]
+        minor = lambda x, y: f"({a[1][x]} * {a[2][y]} - {a[1][y]} * {a[2][x]})"
+        return f"({a[0][0]} * {minor(1, 2)} - {a[0][1]} * {minor(0, 2)} + {a[0][2]} * {minor(0, 1)})"
+
+    solved = ", ".join(f"{det(i)} / {det(None)} AS f{i}" for i in range(3))
+    return f"""
+{name}_sums AS (SELECT {entity}, count(*) AS n, {sums}, {right} FROM train JOIN {start} USING ({other}) GROUP BY {entity}),
+{name} AS MATERIALIZED (SELECT {entity}, n, {solved} FROM {name}_sums)"""
+
+
+ITEM_START = """
+item_start AS MATERIALIZED (SELECT item, """ + ", ".join(
+    f"CAST('0x' || substr(md5(concat('42-{i}-', item)), 1, 8) AS BIGINT) / 4294967296.0 AS f{i}" for i in range(3)
+) + " FROM (SELECT DISTINCT item FROM train))"
+USER_STEP = f"""{SPLIT}, {ITEM_START}, {_half_step("user_step", '"user"', "item", "item_start")}"""
+ORACLES["als_half_step"] = f"""WITH {USER_STEP}
+SELECT "user", n, round(f0, 6) AS f0, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM user_step"""
+ORACLES["als_round"] = f"""WITH {USER_STEP}, {_half_step("item_step", "item", '"user"', "user_step")}
+SELECT item, n, round(f0, 6) AS f0, round(f1, 6) AS f1, round(f2, 6) AS f2 FROM item_step"""
+ORACLES["als_fitted"] = f"""WITH {SPLIT}
+SELECT count(DISTINCT "user") AS n_users, CAST(0 AS BIGINT) AS n_off FROM train"""
+PROJECTED = f"""{TEXT},
+dims AS (SELECT CAST(unnest(range(16)) AS INTEGER) AS dim),
+projected AS MATERIALIZED (
+  SELECT d.doc_id, dim, coalesce(value, 0.0) AS value
+  FROM documents d CROSS JOIN dims LEFT JOIN (
+    SELECT doc_id, dim,
+           sum(CASE WHEN substr(md5('42-0-' || term), dim + 1, 1) >= '8' THEN weight ELSE -weight END) / 4.0 AS value
+    FROM tfidf CROSS JOIN dims GROUP BY doc_id, dim
+  ) USING (doc_id, dim)
+)"""
+ORACLES["text_projection"] = f"WITH {PROJECTED} SELECT doc_id, dim, round(value, 6) + 0.0 AS value FROM projected"
+ORACLES["ml_gmm_text_moments"] = f"""WITH {PROJECTED}
+SELECT a.dim AS i, b.dim AS j, round(avg(a.value), 6) + 0.0 AS mean, round(avg(a.value * b.value), 6) + 0.0 AS moment
+FROM projected a JOIN projected b USING (doc_id) GROUP BY a.dim, b.dim"""
 ORACLES["ml_kmeans_totals"] = "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_bad FROM embeddings"
 ORACLES["ml_bisecting_kmeans_totals"] = ORACLES["ml_kmeans_totals"]
 ORACLES["ml_gmm_moments"] = """
 WITH places AS (SELECT CAST(unnest(range(max(len(embedding)))) AS INTEGER) AS p FROM embeddings)
-SELECT a.p AS i, b.p AS j, round(avg(CAST(embedding[a.p + 1] AS DOUBLE)), 6) AS mean,
-       round(avg(CAST(embedding[a.p + 1] AS DOUBLE) * CAST(embedding[b.p + 1] AS DOUBLE)), 6) AS moment
+SELECT a.p AS i, b.p AS j, round(avg(CAST(embedding[a.p + 1] AS DOUBLE)), 6) + 0.0 AS mean,
+       round(avg(CAST(embedding[a.p + 1] AS DOUBLE) * CAST(embedding[b.p + 1] AS DOUBLE)), 6) + 0.0 AS moment
 FROM embeddings CROSS JOIN places a CROSS JOIN places b GROUP BY a.p, b.p"""
 ORACLES["stream_reservoir_batches"] = ORACLES["stream_reservoir"]
 ORACLES["stream_bloom_batches"] = ORACLES["stream_bloom"]

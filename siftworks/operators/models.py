@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.recommendation import ALS
+from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,30 +21,41 @@ ROWS_PER_BLOCK = 1_000_000
 # --- recommendation ---
 
 
-def als_cf(
+class Fitted(NamedTuple):
+    """A factorisation, with the tables that number its users and items."""
+
+    model: ALSModel
+    users: DataFrame
+    items: DataFrame
+
+    def numbered(self, ratings: DataFrame) -> DataFrame:
+        known = ratings.select("user", "item", "rating")
+        return known.join(self.users, "user").join(self.items, "item")
+
+    def factors(self, entity: str) -> DataFrame:
+        """(entity, factors) of ``"user"`` or ``"item"``."""
+        ids, found = (self.users, self.model.userFactors) if entity == "user" else (self.items, self.model.itemFactors)
+        found = found.select(F.col("id").alias(f"{entity}_id"), F.col("features").cast("array<double>").alias("factors"))
+        return ids.join(found, f"{entity}_id").select(entity, "factors")
+
+
+def fit_als(
     train: DataFrame,
-    test: DataFrame,
     rank: int = 3,
     iters: int = 25,
     reg: float = 0.3,
     seed: int = 42,
     blocks: int | None = None,
-) -> DataFrame:
-    """Matrix-factorisation prediction: (user, item, rating, prediction).
+) -> Fitted:
+    """The factors of users and items.
 
-    Test rows with a user or item unknown to training are dropped. ALS needs
-    int ids, so users and items are numbered and joined back. ``blocks`` is by
+    ALS needs int ids, so users and items are numbered. ``blocks`` is by
     default the number of blocks that hold ``ROWS_PER_BLOCK`` ratings each, ten at least.
     """
-    spark = train.sparkSession
     blocks = blocks or max(10, math.ceil(train.count() / ROWS_PER_BLOCK))
-    shared_dir(spark)  # ALS cuts its own lineage there when a folder is set
+    shared_dir(train.sparkSession)  # ALS cuts its own lineage there when a folder is set
     users = materialize(_numbered(train, "user"), "users")
     items = materialize(_numbered(train, "item"), "items")
-
-    def with_ids(df: DataFrame) -> DataFrame:
-        return df.select("user", "item", "rating").join(users, "user").join(items, "item")
-
     als = ALS(
         rank=rank,
         maxIter=iters,
@@ -56,8 +68,24 @@ def als_cf(
         seed=seed,
         coldStartStrategy="drop",
     )
-    model = als.fit(with_ids(train))
-    return model.transform(with_ids(test)).select(
+    return Fitted(als.fit(Fitted(None, users, items).numbered(train)), users, items)
+
+
+def als_cf(
+    train: DataFrame,
+    test: DataFrame,
+    rank: int = 3,
+    iters: int = 25,
+    reg: float = 0.3,
+    seed: int = 42,
+    blocks: int | None = None,
+) -> DataFrame:
+    """Matrix-factorisation prediction: (user, item, rating, prediction).
+
+    Test rows with a user or item unknown to training are dropped.
+    """
+    fitted = fit_als(train, rank, iters, reg, seed, blocks)
+    return fitted.model.transform(fitted.numbered(test)).select(
         "user", "item", "rating", F.col("prediction").cast("double").alias("prediction")
     )
 

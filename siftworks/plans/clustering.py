@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.skew import broadcast_if_small
 from siftworks.operators.kmeans import assign, init_centroids, init_halves, update_centroids
+from siftworks.operators.models import dense_features, gaussian_mixture
+from siftworks.operators.projection import project
 from siftworks.operators.text import features
 from siftworks.operators.vectors import member_distances, nearest_half
 from siftworks.sources.shared import materialize, partitions_for
@@ -83,6 +85,16 @@ def cluster_corpus_with(corpus: DataFrame, algorithm: str, k: int, iters: int, s
     return bisect(materialize(features(corpus, "T"), "vectors"), corpus.select("doc_id"), k, iters, seed)
 
 
+def mixture_of_corpus(corpus: DataFrame, k: int, iters: int, width: int = 16, seed: int = 42) -> DataFrame:
+    """Gaussian mixture of a corpus over TF-IDF: (component, weight, mean, covariance).
+
+    Whole texts with all their terms are projected to ``width`` dimensions first, as a covariance over a
+    vocabulary fits no machine.
+    """
+    dense = materialize(project(features(corpus, "T"), corpus, width, seed), "projection")
+    return gaussian_mixture(dense_features(dense, "doc_id", "projection"), k, iters, seed)
+
+
 def bisect(vectors: DataFrame, docs: DataFrame, k: int, iters: int, seed: int = 42) -> Clustering:
     """Bisecting k-means: leaves are cut in two, level by level, until there are ``k``.
 
