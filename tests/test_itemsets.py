@@ -6,6 +6,8 @@ from conftest import rows
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import functions as F
 
+from siftworks.operators import chunks
+from siftworks.operators.chunks import chunk_itemsets, chunk_supports
 from siftworks.operators.itemsets import (
     apriori_candidates,
     frequent_level,
@@ -149,3 +151,48 @@ def test_chunks_follow_data_and_support_not_settings(spark):
 
     small = spark.createDataFrame([("b", "i")], "basket string, item string")
     assert chunk_count(small, 30) == 1 and chunk_threshold(30, chunk_count(small, 30)) == 30
+
+
+@pytest.mark.parametrize("cells", [1, 60, 1 << 20])
+def test_chunks_by_bitmaps_and_by_lists(spark, cells):
+    data = random_baskets(8, n=90)
+    rows_ = table(spark, data).selectExpr("CAST(basket % 3 AS int) AS chunk", "basket", "item")
+    got = sorted((r.chunk, list(r["items"]), r.n) for r in chunk_itemsets(rows_, 4, cells=cells).collect())
+    want = [(c, s, n) for c in range(3) for _, s, n in brute({b: i for b, i in data.items() if b % 3 == c}, 4) if len(s) > 1]
+    assert got == sorted(want) and len(want) > 50
+    asked = [(c, s) for c in range(3) for s in (["a", "c"], ["a", "c", "d"], ["b", "h"], ["a", "z"], ["z", "zz"])] + [(9, ["a", "b"])]
+    wanted = spark.createDataFrame(asked, "chunk int, items array<string>")
+    many = lambda s, c: sum(set(s) <= i for b, i in data.items() if b % 3 == c)
+    counted = sorted((list(r["items"]), r.n) for r in chunk_supports(rows_, wanted, 6, cells=cells).collect())
+    assert counted == sorted((s, many(s, c)) for c, s in asked)
+
+
+def test_candidates_are_shared_out(spark, monkeypatch):
+    monkeypatch.setattr(chunks, "CANDIDATES_PER_TASK", 2)
+    data = random_baskets(9)
+    assert found(son(table(spark, data), 13, 4)) == brute(data, 13)
+
+
+def test_longest_size_and_empty_baskets_of_two_passes(spark):
+    data = random_baskets(10)
+    assert found(son(table(spark, data), 8, 3, max_k=2)) == [r for r in brute(data, 8) if r[0] <= 2]
+    assert son(table(spark, data).limit(0), 8, 3).count() == 0
+
+
+@pytest.mark.parametrize("support", [6, 110])
+def test_chunks_too_large_for_a_task(spark, support):
+    # with 6 the chunks are mined level by level, with 110 there are more of them
+    data = random_baskets(11, n=160, items="abcdef", hot=30)
+    assert found(son(table(spark, data), support, 1, chunk_rows=200)) == brute(data, support)
+
+
+def test_rows_are_shuffled_once_before_they_are_mined(spark):
+    rows_ = table(spark, random_baskets(12)).selectExpr("CAST(basket % 3 AS int) AS chunk", "basket", "item")
+    plan = chunk_itemsets(rows_.repartition(3, "chunk"), 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_numbers_as_items_of_two_passes(spark):
+    data = {b: {"abcdefgh".index(x) * 7 for x in items} for b, items in random_baskets(13).items()}
+    rows_ = spark.createDataFrame([(str(b), x) for b, items in data.items() for x in items], "basket string, item bigint")
+    assert found(son(rows_, 12, 3)) == brute(data, 12)
