@@ -31,38 +31,73 @@ CUTS = (0.01, 0.02, 0.05, 0.1, 0.2, 0.3, 0.5)
 # The share of strings taken that may be ordinary ones.
 FALSE_DISCOVERIES = 0.1
 
+# Values in a block of a running sum.
+RUN = 256
+
 # Above this p-value all strings are taken for random when their number is estimated.
 SURELY = 0.5
 
 
-def _starts(text: str, found: str, parts: str) -> str:
-    """SQL for the code point spans of all matches, from what lies between them."""
+def _run(values: str, step: str, zero: str) -> str:
+    """SQL for the running results of ``step`` over acc and x, for short arrays: each step copies what came before."""
     return (
-        f"CASE WHEN size({found}) = 0 THEN CAST(array() AS array<struct<start:int,end:int,i:int>>) ELSE aggregate("
-        f"sequence(0, size({found}) - 1), "
-        "struct(0 AS at, CAST(array() AS array<struct<start:int,end:int,i:int>>) AS spans), "
-        f"(acc, i) -> struct(acc.at + length({parts}[i]) + length({found}[i]) AS at, "
-        f"concat(acc.spans, array(struct(acc.at + length({parts}[i]) AS start, "
-        f"acc.at + length({parts}[i]) + length({found}[i]) AS end, i AS i))) AS spans), "
-        "acc -> acc.spans) END"
+        f"aggregate({values}, struct({zero} AS at, CAST(array() AS array<bigint>) AS run), (s, x) -> "
+        f"struct({step.format(acc='s.at', x='x')} AS at, concat(s.run, array({step.format(acc='s.at', x='x')})) AS run), s -> s.run)"
     )
 
 
+def let(name: str, value: str, body: str) -> str:
+    """SQL for ``body``, in which ``name`` stands for ``value``, evaluated once.
+
+    A column that a lambda function mentions may be put in its place by the optimizer, and is then
+    evaluated for each element; a variable is not.
+    """
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def with_running(rows: DataFrame, name: str, values: str, step: str = "{acc} + {x}") -> DataFrame:
+    """Add the array ``name``: running sums, or other results of ``step`` from 0 on, of an array of bigint.
+
+    Taken in blocks of ``RUN`` values, then over the blocks, so that the work is near linear in the length.
+    """
+    block = _run(f"slice(v, b * {RUN} + 1, {RUN})", step, "0L")
+    cut = f"CASE WHEN size(v) > 0 THEN transform(sequence(0, (size(v) - 1) DIV {RUN}), b -> {block}) ELSE CAST(array() AS array<array<bigint>>) END"
+    before = f"concat(array(0L), {_run('transform(blocks, r -> element_at(r, -1))', step, '0L')})"
+    placed = f"zip_with(blocks, slice({before}, 1, size(blocks)), (r, t) -> transform(r, x -> {step.format(acc='t', x='x')}))"
+    return rows.withColumn(name, F.expr(f"flatten({let('blocks', let('v', values, cut), placed)})"))
+
+
 def _matches(docs: DataFrame, text: Column, name: str, pattern: str, group: int) -> DataFrame:
-    """Add ``_s_<name>``: all leftmost matches that do not overlap, as (start, end, string of the group)."""
+    """Add ``_s_<name>``: all leftmost matches that do not overlap, as (start, end, string of the group).
+
+    The ends are running sums of the lengths of the matches and of what lies between them.
+    """
     none = F.array().cast("array<string>")
     hit = F.rlike(text, F.lit(pattern))
 
     def all_of(g: int) -> Column:
         return F.when(hit, F.regexp_extract_all(text, F.lit(pattern), F.lit(g))).otherwise(none)
 
-    found, parts, groups, spans = f"_m_{name}", f"_p_{name}", f"_g_{name}", f"_s_{name}"
-    return (
-        docs.withColumns({found: all_of(0), parts: F.when(hit, F.split(text, pattern, -1)).otherwise(none), groups: all_of(group)})
-        .withColumn(spans, F.expr(_starts("text", found, parts)))
-        .withColumn(spans, F.expr(f"transform({spans}, s -> struct(s.start AS start, s.end AS end, {groups}[s.i] AS body))"))
-        .drop(found, parts, groups)
+    found, parts, bodies, ends, spans = f"_m_{name}", f"_p_{name}", f"_g_{name}", f"_e_{name}", f"_s_{name}"
+    parted = F.when(hit, F.split(text, pattern, -1)).otherwise(none)
+    out = docs.withColumns({found: all_of(0), parts: parted, **({bodies: all_of(group)} if group else {})})
+    lengths = f"zip_with({found}, slice({parts}, 1, size({found})), (m, p) -> CAST(length(p) + length(m) AS bigint))"
+    out = with_running(out, ends, lengths)
+    zipped = f"arrays_zip({found}, {ends}{f', {bodies}' if group else ''})"
+    placed = f"struct(CAST(z.{ends} - length(z.{found}) AS int) AS start, CAST(z.{ends} AS int) AS end, z.{bodies if group else found} AS body)"
+    return out.withColumn(spans, F.expr(f"transform({zipped}, z -> {placed})")).drop(found, parts, bodies, ends)
+
+
+def overlaps(r: str, base: str, reach: str) -> str:
+    """SQL: whether span ``r`` overlaps one of ``base``, sorted by start, with the largest end so far in ``reach``.
+
+    The number of spans that start before the end of ``r`` is found bit by bit.
+    """
+    before = (
+        f"aggregate(sequence(30, 0, -1), 0, (k, b) -> CASE WHEN k + shiftleft(1, b) <= size({base}) "
+        f"AND {base}[k + shiftleft(1, b) - 1].start < {r}.end THEN k + shiftleft(1, b) ELSE k END)"
     )
+    return f"coalesce(get({reach}, {before} - 1) > {r}.start, false)"
 
 
 def normal_two_sided(z: str) -> str:
@@ -183,7 +218,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     no base span. NULL and empty texts have no spans. Rows stand for themselves, also
     repeated ones.
 
-    The texts are read twice, once for the statistics and once for the result, and
+    The work grows with the length of a text and not with the square of its matches. The texts are read twice, once for the statistics and once for the result, and
     moved by neither.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -192,12 +227,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     for i, (name, (pattern, group, least)) in enumerate(BASE.items()):
         kept = f"transform(filter(_s_{name}, s -> length(s.body) >= {least}), s -> struct(s.start AS start, s.end AS end, {i} AS kind))"
         out = _matches(out, F.col("text"), name, pattern, group).withColumn(f"_s_{name}", F.expr(kept))
-    overlap = "exists(base, b -> b.start < r.end AND r.start < b.end)"
-    added = f"filter(random, r -> ({accepted(limits, 'r')}) AND NOT {overlap})"
+    out = out.withColumn("base", F.array_sort(F.concat(*[F.col(f"_s_{k}") for k in BASE])))
+    out = with_running(out, "_reach", "transform(base, b -> CAST(b.end AS bigint))", "greatest({acc}, {x})")
+    free = f"filter(random, r -> ({accepted(limits, 'r')}) AND NOT {overlaps('r', 't.base', 't.reach')})"
+    added = let("t", "struct(base AS base, _reach AS reach)", free)
     added = f"transform({added}, r -> struct(r.start AS start, r.end AS end, {len(BASE)} AS kind))"
     return (
-        out.withColumn("base", F.array_sort(F.concat(*[F.col(f"_s_{k}") for k in BASE])))
-        .withColumn("spans", F.array_sort(F.expr(f"concat(base, {added})")))
+        out.withColumn("spans", F.array_sort(F.expr(f"concat(base, {added})")))
         .select("doc_id", "base", "spans")
     )
 

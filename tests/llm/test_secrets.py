@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -91,6 +92,33 @@ def test_random_strings_are_found_and_ordinary_ones_left(spark, docs):
     assert secrets.scan(docs().limit(0)).count() == 0
 
 
+def test_a_hundred_thousand_matches_in_one_text(spark, docs):
+    text = " ".join(f"{i * 2654435761 % 2**64:020x}" for i in range(100_000))
+    got = secrets.scan(docs((1, text), (2, None))).collect()
+    assert [tuple(s) for s in next(r.base for r in got if r.doc_id == 1)] == base(text)
+
+
+def test_running_results_over_many_blocks(spark):
+    rnd = random.Random(3)
+    lists = [[], [5], [rnd.randrange(9) for _ in range(256)], [rnd.randrange(9) for _ in range(1500)]]
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(lists)], "i int, v array<bigint>")
+    out = secrets.with_running(secrets.with_running(rows, "sums", "v"), "most", "v", "greatest({acc}, {x})")
+    for r in out.collect():
+        assert r.sums == list(itertools.accumulate(lists[r.i])) and r.most == list(itertools.accumulate(lists[r.i], max))
+
+
+def test_overlap_by_search(spark):
+    rnd = random.Random(4)
+    spans = [[(s, s + rnd.randrange(1, 9)) for s in rnd.sample(range(200), k)] for k in (0, 1, 5, 30)]
+    data = [(i, sorted(x), [(s, s + 3) for s in range(0, 210, 2)]) for i, x in enumerate(spans)]
+    kind = "array<struct<start:int,end:int>>"
+    rows = spark.createDataFrame(data, f"i int, base {kind}, asked {kind}")
+    rows = secrets.with_running(rows, "reach", "transform(base, b -> CAST(b.end AS bigint))", "greatest({acc}, {x})")
+    hit = f"transform(asked, r -> {secrets.overlaps('r', 'base', 'reach')})"
+    for r in rows.selectExpr("i", f"{hit} AS hit").collect():
+        assert r.hit == [any(b < e and s < f for b, f in spans[r.i]) for s, e in data[r.i][2]]
+
+
 def test_query_on_whole_table(spark):
     sf = "/root/testdata/sf0.01"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
