@@ -9,6 +9,7 @@ from itertools import combinations
 from typing import NamedTuple
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -178,7 +179,8 @@ def turn_rows_to_records(rows: DataFrame, conv_id: str = "conv_id", turn: str =
     """(conv_id, record): tables of one row per turn as JSON records of the ``messages`` layout.
 
     Rows are ordered by turn (NULL first), equal turns by role and text; a NULL
-    role or text is ''. Rows with a NULL conversation are one conversation.
+    role or text is ''. Rows with a NULL conversation are one conversation. A record is
+    one string: for conversations of any length use ``turn_records``.
     """
     message = F.struct(
         F.col(turn).alias("turn"),
@@ -192,6 +194,80 @@ def turn_rows_to_records(rows: DataFrame, conv_id: str = "conv_id", turn: str =
     )
 
 
+def turn_records(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> DataFrame:
+    """(conv_id, record): the same turns, each as a ``messages`` record of its own, with a conversation's rows next to each other.
+
+    The template strings of a conversation's records, one after the other, are that of the whole. The order within
+    a partition is that of the conversations, then of their turns, as in ``turn_rows_to_records``; sorting spills, and
+    no conversation is held in memory.
+    """
+    message = F.struct(F.col("role"), F.col("text").alias("content"))
+    return (
+        rows.select(
+            F.col(conv_id).alias("conv_id"),
+            F.col(turn).alias("turn"),
+            F.coalesce(F.col(role), F.lit("")).alias("role"),
+            F.coalesce(F.col(text), F.lit("")).alias("text"),
+        )
+        .repartition("conv_id")
+        .sortWithinPartitions("conv_id", "turn", "role", "text")
+        .select("conv_id", F.to_json(F.struct(F.array(message).alias("messages"))).alias("record"))
+    )
+
+
+class _Reading:
+    """What has been read of one conversation so far: counts and open hashes, whatever its length."""
+
+    def __init__(self, conv_id):
+        self.conv_id = conv_id
+        self.n_turns = self.loss_chars = self.formatted_chars = 0
+        self.turns, self.loss = hashlib.sha256(), hashlib.sha256()
+
+    def add(self, formatted: str, spans: list[dict]) -> None:
+        for role, text in read_back(formatted):
+            self.n_turns += 1
+            self.turns.update(f"{role}\n{text}\n".encode())
+        for span in spans:
+            learned = unescape(formatted[span["start"] : span["end"]])
+            self.loss_chars += len(learned)
+            self.loss.update(learned.encode())
+        self.formatted_chars += len(formatted)
+
+    def row(self) -> tuple:
+        return (self.conv_id, self.n_turns, self.turns.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.formatted_chars)
+
+
+def conversation_digests(formatted: DataFrame) -> DataFrame:
+    """The ``digests`` of whole conversations from the formatted rows of ``turn_records``, read as they stream by.
+
+    One row per conversation: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars.
+    """
+    kind = formatted.schema["conv_id"].dataType.simpleString()
+    schema = f"conv_id {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
+
+    def read(batches):
+        open_, kinds = None, None
+        for batch in batches:
+            kinds = pa.schema(
+                [("conv_id", batch.schema.field("conv_id").type), ("n_turns", pa.int64()), ("turns_sha256", pa.string())]
+                + [("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())]
+            )
+            done = []
+            for conv_id, text, spans in zip(*[batch.column(c).to_pylist() for c in ("conv_id", "formatted", "loss")]):
+                if open_ is None or open_.conv_id != conv_id:
+                    if open_ is not None:
+                        done.append(open_.row())
+                    open_ = _Reading(conv_id)
+                open_.add(text, spans)
+            if done:
+                yield pa.RecordBatch.from_pylist([dict(zip(names, row)) for row in done], schema=kinds)
+        if open_ is not None:
+            yield pa.RecordBatch.from_pylist([dict(zip(names, open_.row()))], schema=kinds)
+
+    return formatted.select("conv_id", "formatted", "loss").mapInArrow(read, schema)
+
+
 def digests(formatted: DataFrame) -> DataFrame:
     """What the template strings and loss masks hold when read back: counts and hashes.
 

@@ -51,6 +51,19 @@ def test_turn_rows_with_nulls_ties_and_no_rows(spark):
     assert chat.digests(chat.format_records(chat.turn_rows_to_records(df.limit(0)))).count() == 0
 
 
+def test_conversations_read_as_they_stream_by(spark):
+    schema = "conv_id long, turn long, role string, text string"
+    turns = [(c, t, ("user", "assistant")[t % 2], NASTY[(c + t) % len(NASTY)]) for c in range(40) for t in range(c % 5 + 1)]
+    turns += [(None, 0, None, None), (7, None, "assistant", "first"), (7, 1, "assistant", "z"), (7, 1, "assistant", "a")]
+    turns += [(1000, t, "assistant" if t % 2 else "user", f"turn {t} " * 3) for t in range(25_000)]
+    df = spark.createDataFrame(turns, schema).repartition(5)
+    whole = chat.digests(chat.format_records(chat.turn_rows_to_records(df))).drop("record", "fingerprint", "mapping")
+    got = chat.conversation_digests(chat.format_records(chat.turn_records(df)))
+    assert got.columns == whole.columns
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in whole.collect()} and got.count() == 42
+    assert chat.conversation_digests(chat.format_records(chat.turn_records(df.limit(0)))).count() == 0
+
+
 def test_license_texts_in_other_spellings(spark, docs):
     mit = TEXTS["MIT"]
     other = mit.replace("Copyright (c) <year> <copyright holders>", "copyright 2020 Some One\nAll rights reserved.")
