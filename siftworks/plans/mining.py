@@ -70,7 +70,7 @@ def son(
     least = math.ceil(chunk_threshold(support, chunks))
     names = broadcast_if_small(singles.select(F.col("items")[0].alias("item")), n_items)
     known = distinct.filter("basket IS NOT NULL").join(names, "item", "left_semi")
-    rows = _chunked(known, chunks).select("chunk", "basket", "item").repartition(chunks, "chunk")
+    rows = _chunked(known, chunks).select("chunk", "basket", "item").repartitionById(chunks, F.col("chunk"))
     local = materialize(chunk_itemsets(rows, least, max_k), "local-itemsets")
     found = local.groupBy("items").agg(F.sum("n").alias("support"), F.count("*").alias("_chunks"))
     most = F.col("support") + (chunks - F.col("_chunks")) * (least - 1)

@@ -188,7 +188,9 @@ def test_chunks_too_large_for_a_task(spark, support):
 
 def test_rows_are_shuffled_once_before_they_are_mined(spark):
     rows_ = table(spark, random_baskets(12)).selectExpr("CAST(basket % 3 AS int) AS chunk", "basket", "item")
-    plan = chunk_itemsets(rows_.repartition(3, "chunk"), 4)._jdf.queryExecution().executedPlan().toString()
+    dealt = rows_.repartitionById(3, F.col("chunk"))
+    assert len(dealt.groupBy(F.spark_partition_id()).count().collect()) == 3
+    plan = chunk_itemsets(dealt, 4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
 
 
