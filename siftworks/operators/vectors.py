@@ -84,12 +84,14 @@ def euclidean(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int)
     )
 
 
-def _nearest(products: DataFrame, candidates: Column) -> DataFrame:
-    def entry(c: Column) -> Column:
-        square = _square(c)
-        return F.struct(F.round(F.sqrt(square), PLACES).alias("near"), c.alias("cluster"), square.alias("sqdist"))
+def _choice(cluster: Column) -> Column:
+    """Ordered as the nearest centroid is chosen: by rounded distance, then by id."""
+    square = _square(cluster)
+    return F.struct(F.round(F.sqrt(square), PLACES).alias("near"), cluster.alias("cluster"), square.alias("sqdist"))
 
-    return products.select("doc_id", F.array_min(F.transform(candidates, entry)).alias("_best")).select(
+
+def _nearest(products: DataFrame, candidates: Column) -> DataFrame:
+    return products.select("doc_id", F.array_min(F.transform(candidates, _choice)).alias("_best")).select(
         "doc_id", "_best.cluster", F.sqrt("_best.sqdist").alias("distance"), "_best.sqdist"
     )
 
@@ -102,6 +104,27 @@ def nearest(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -
     return _nearest(_products(vectors, docs, centroids), _clusters(k))
 
 
+def nearest_two(vectors: DataFrame, docs: DataFrame, centroids: DataFrame, k: int) -> DataFrame:
+    """(doc_id, cluster, sqdist, next_sqdist, doc_norm, top_norm): the choice of ``nearest``, and the second.
+
+    ``next_sqdist`` is NULL if there is one centroid; ``top_norm`` is the largest squared norm of a centroid.
+    """
+    top = F.coalesce(F.array_max(F.map_values("norms")), F.lit(0.0))
+    ranked = F.array_sort(F.transform(_clusters(k), _choice))
+    return (
+        _products(vectors, docs, centroids)
+        .select("doc_id", "doc_norm", top.alias("top_norm"), ranked.alias("_ranked"))
+        .select(
+            "doc_id",
+            F.col("_ranked")[0]["cluster"].alias("cluster"),
+            F.col("_ranked")[0]["sqdist"].alias("sqdist"),
+            F.get("_ranked", F.lit(1))["sqdist"].alias("next_sqdist"),
+            "doc_norm",
+            "top_norm",
+        )
+    )
+
+
 def nearest_half(vectors: DataFrame, docs: DataFrame, centroids: DataFrame) -> DataFrame:
     """As ``nearest``, between the two halves 2 * leaf and 2 * leaf + 1 of each document's leaf.
 

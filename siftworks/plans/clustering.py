@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftworks.functions.skew import broadcast_if_small
-from siftworks.operators.kmeans import assign, init_centroids, init_halves, update_centroids
+from siftworks.operators.bounds import carried, centroid_moves, measured
+from siftworks.operators.kmeans import init_centroids, init_halves, update_centroids
 from siftworks.operators.models import dense_features, gaussian_mixture
 from siftworks.operators.projection import project
 from siftworks.operators.text import features
@@ -17,12 +18,17 @@ from siftworks.operators.vectors import member_distances, nearest_half
 from siftworks.sources.shared import materialize, partitions_for
 
 
+# With a larger part of the documents open, all of them meet the centroids: telling them apart costs more than it spares.
+MOST = 0.5
+
+
 class Clustering(NamedTuple):
-    """``centroids`` are those the assignment was made with."""
+    """``centroids`` are those the assignment was made with; ``met`` is how many documents met all centroids, by round."""
 
     vectors: DataFrame
     assignment: DataFrame
     centroids: DataFrame
+    met: tuple[int, ...] = ()
 
 
 def lloyd(
@@ -38,7 +44,11 @@ def lloyd(
     As in the programs rebuilt here the result is the assignment of the last
     round, made before that round's centroid update; one round therefore
     reports the distances to the start documents. ``start`` gives other start
-    centroids (cluster, term, weight).
+    centroids (cluster, term, weight). ``docs`` has one row per document, ids are not NULL.
+
+    From the third round on only documents whose distance bounds cross (``operators.bounds``) meet the
+    centroids (all if these are most), and only clusters that lost or gained a document get a new mean. At the
+    end the others meet their own centroid.
 
     The vectors stay partitioned by document through all rounds, so with
     centroids small enough to broadcast only the partial sums of the centroids are
@@ -50,15 +60,54 @@ def lloyd(
     held = vectors.repartition(partitions, "doc_id").persist()
     docs = docs.select("doc_id").repartition(partitions, "doc_id").persist()
     centroids = _stored(start if start is not None else init_centroids(held, docs, k, seed))
-    assignment = materialize(assign(held, docs, centroids, k), "assignment")
+    state = materialize(measured(held, docs, centroids, k), "bounds")
+    n = state.count()
+    met = [n]
+    members = state
     for left in reversed(range(iters - 1)):
-        centroids = _stored(update_centroids(held, assignment, centroids))
-        before, assignment = assignment, materialize(assign(held, docs, centroids, k), "assignment")
-        if left and _settled(before, assignment):
+        old, centroids = centroids, _stored(update_centroids(held, members, centroids))
+        # the first move, from single documents to means, is too long for bounds to hold
+        n_open, moved = n, None
+        if len(met) > 1:
+            moved = carried(state, materialize(centroid_moves(old, centroids, k), "moves"))
+            n_open = moved.filter("open").count()
+        if moved is None or n_open > n * MOST:
+            n_open, found = n, measured(held, docs, centroids, k)
+        else:
+            again = moved.filter("open").select("doc_id")
+            found = _taken_over(moved, measured(held.join(again, "doc_id", "left_semi"), again, centroids, k))
+        met.append(n_open)
+        before, state = state, materialize(found, "bounds")
+        if left == 0:
             break
+        was = before.select("doc_id", F.col("cluster").alias("before"))
+        changed = state.join(was, "doc_id").filter("before != cluster")
+        # at most k rows; the means of all other clusters are what they were
+        touched = changed.select(F.explode(F.array("before", "cluster")).alias("cluster")).distinct()
+        touched = materialize(touched, "touched")
+        if touched.isEmpty():
+            break
+        members = state.join(F.broadcast(touched), "cluster", "left_semi")
+    assignment = _with_distances(held, state, centroids)
     held.unpersist()
     docs.unpersist()
-    return Clustering(vectors, assignment, centroids)
+    return Clustering(vectors, assignment, centroids, tuple(met))
+
+
+def _taken_over(moved: DataFrame, found: DataFrame) -> DataFrame:
+    """The state with the rows of the documents that met the centroids again."""
+    closed = moved.filter(~F.col("open")).drop("open")
+    return closed.unionByName(found)
+
+
+def _with_distances(held: DataFrame, state: DataFrame, centroids: DataFrame) -> DataFrame:
+    """(doc_id, cluster, distance, sqdist): documents that did not meet the last centroids meet their own."""
+    known = state.filter("sqdist IS NOT NULL").select("doc_id", "cluster", "sqdist")
+    others = state.filter("sqdist IS NULL").select("doc_id", "cluster")
+    if not others.isEmpty():
+        found = member_distances(held, others, centroids).select("doc_id", "cluster", "sqdist")
+        known = materialize(known.unionByName(found), "assignment")
+    return known.select("doc_id", "cluster", F.sqrt("sqdist").alias("distance"), "sqdist")
 
 
 def _stored(centroids: DataFrame) -> DataFrame:
