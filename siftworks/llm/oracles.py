@@ -49,7 +49,7 @@ FROM b
 
 _BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality.RULES.values()))
 
-QUALITY = rf"""
+QUALITY_LEDGER = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 a AS MATERIALIZED (SELECT r, doc_id, regexp_extract_all(t, '{WORD}') AS ws, regexp_replace(t, '{RUN}', '', 'g') AS bare,
     list_filter(string_split(t, chr(10)), lambda x: trim(x, {BLANK}) <> '') AS ls FROM d),
@@ -62,10 +62,20 @@ m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(bare)::BIGINT AS word_ch
     (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n.n, 0)::BIGINT AS n_repeat_words,
     length(regexp_replace(bare, '\PL+', '', 'g'))::BIGINT AS n_letters FROM a LEFT JOIN n USING (r)),
 f AS (SELECT *, ({_BITS})::BIGINT AS failed FROM m)
+"""
+
+QUALITY = QUALITY_LEDGER + f"""
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & {quality.BASE.mask} <> 0 AS base_failed,
     failed & {quality.WEB.mask} = 0 AS kept, failed FROM f
 """
 
+_RULE_BITS = ", ".join(f"('{rule}', {1 << quality.bit(rule)})" for rule in quality.WEB.rules)
+QUALITY_ABLATIONS = QUALITY_LEDGER + f"""
+SELECT rule, count(*) FILTER (WHERE failed & b <> 0) AS n_failed, count(*) FILTER (WHERE failed = b) AS n_alone,
+    count(*) FILTER (WHERE failed & ~b = 0) AS kept_without
+FROM f, (VALUES {_RULE_BITS}) AS z(rule, b) GROUP BY rule
+"""
+
 
 def _escaped(x: str, role: bool = False) -> str:
     out = f"replace(replace(replace({x}, '\\', '\\\\'), '#', '\\h'), '<', '\\l')"
@@ -172,6 +182,7 @@ ORACLES = {
     "op3_top_k": TOP_K,
     "op4_mixing": MIXING,
     "op5_quality": QUALITY,
+    "quality_ablations": QUALITY_ABLATIONS,
     "op6_chat": CHAT,
     "op7_licenses": LICENSES,
     "op13_merkle": MERKLE,

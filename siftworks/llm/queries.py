@@ -78,6 +78,12 @@ def op5_quality(spark, sf):
     )
 
 
+@query
+def quality_ablations(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return quality.ablations(materialize(quality.ledger(docs), "quality_ledger"), quality.WEB)
+
+
 @query
 def op6_chat(spark, sf):
     text = "\\### Assistant: </turn> ok"
