@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.skew import (
     HEAVY_ROWS,
+    blocked_partner_lists,
     blocked_self_pairs,
-    self_pairs,
+    pairs_of_lists,
+    partner_lists,
     split_heavy,
 )
 from siftworks.operators.ratings import both_ways
@@ -21,6 +23,10 @@ MOMENTS = ["n", "ma", "mb", "saa", "sbb", "sab"]
 # Similarities this near to a bound, or to 1, equal it up to rounding.
 ROUNDING = 1e-12
 
+# The heavy groups are paired within blocks while that makes at most so many pairs per row of the
+# table, besides as many as the light groups make; beyond that they are looked up.
+PAIRS_PER_ROW = 100
+
 
 def _moments(pairs: DataFrame) -> DataFrame:
     a, b = F.col("rating_a"), F.col("rating_b")
@@ -97,13 +103,26 @@ def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str)
     return _moments(pairs.select("a", "b").join(left, "a").join(right, ["b", other]))
 
 
+def _pair_counts(rows: DataFrame, key: str, heavy_rows: int) -> tuple[int, int, int]:
+    """The rows of the table and the pairs within its light and its heavy groups."""
+    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
+    pairs, heavy = F.col("_n") * (F.col("_n") - 1) / 2, F.col("_n") > heavy_rows
+    found = sizes.agg(F.sum("_n"), F.sum(F.when(~heavy, pairs)), F.sum(F.when(heavy, pairs))).first()
+    return tuple(int(x or 0) for x in found)
+
+
 def _pair_moments(
     rows: DataFrame, entity: str, other: str, min_common: int, wanted: str | None, heavy_rows: int
 ) -> DataFrame:
     """Moments of every pair with at least ``min_common`` shared entries, each in one order."""
     light, heavy, sizes, n_heavy = split_heavy(rows, other, heavy_rows)
     enough = F.col("n") >= min_common
-    from_light = _moments(self_pairs(light, other, entity, ["rating"], wanted))
+    n_rows, n_pairs, n_heavy_pairs = _pair_counts(rows, other, heavy_rows)
+    lists = partner_lists(light, other, entity, "rating", wanted)
+    if heavy is not None and n_heavy_pairs <= n_pairs + PAIRS_PER_ROW * n_rows:
+        lists = lists.unionByName(blocked_partner_lists(heavy, sizes, other, entity, "rating", wanted, heavy_rows))
+        n_pairs, heavy = n_pairs + n_heavy_pairs, None
+    from_light = _moments(pairs_of_lists(lists, "rating", n_pairs))
     if heavy is None:
         return from_light.filter(enough)
     # A pair can meet in at most n_heavy heavy groups, so one that meets in fewer than
