@@ -38,26 +38,37 @@ def _candidates(
     """(wanted columns, other, rating, similarity) for every train row that shares ``key``
     with a wanted row and whose ``other`` is similar to the row's ``target``.
 
-    A key with few rows is joined first and then looked up among the similarities. A key
-    with very many is met from the similarities of the target, so that its whole
-    group is never paired with each wanted row.
+    The rows are met from the similarities of the target, or by pairing the rows of the key with the
+    wanted row and looking the pairs up, whichever makes fewer rows. A key with very many rows
+    is always met from the similarities, so that its whole group is never paired with each wanted row.
     """
     rated = train.select(key, F.col(_other_of(key)).alias(other), "rating")
-    light, heavy, sizes, _ = split_heavy(rated, key, heavy_rows, partner=wanted)
-    if heavy is not None:
-        sim = materialize(sim, "similarity")
-    out = _lookup(wanted.join(light, key), sim, target, other)
+    sim = materialize(sim, "similarity")
+    similar = both_ways(sim, "similarity").select(
+        F.col("a").alias(target), F.col("b").alias(other), "similarity"
+    )
     columns = [*wanted.columns, other, "rating", "similarity"]
-    out = out.select(*columns)
+
+    def by_similarity(rows: DataFrame, theirs: DataFrame) -> DataFrame:
+        return rows.join(similar, target).join(theirs, [key, other]).select(*columns)
+
+    if _met(wanted, similar, target) <= _met(wanted, rated, key):
+        return by_similarity(wanted, rated)
+    light, heavy, sizes, _ = split_heavy(rated, key, heavy_rows, partner=wanted)
+    out = _lookup(wanted.join(light, key), sim, target, other).select(*columns)
     if heavy is not None:
         hot = wanted.join(sizes.select(key), key, "left_semi")
-        similar = both_ways(sim, "similarity").select(
-            F.col("a").alias(target), F.col("b").alias(other), "similarity"
-        )
-        out = out.unionByName(hot.join(similar, target).join(heavy, [key, other]).select(*columns))
+        out = out.unionByName(by_similarity(hot, heavy))
     return out
 
 
+def _met(left: DataFrame, right: DataFrame, key: str) -> int:
+    """How many rows the join on ``key`` has."""
+    l = left.groupBy(key).agg(F.count("*").alias("_l"))
+    r = right.groupBy(key).agg(F.count("*").alias("_r"))
+    return l.join(r, key).agg(F.sum(F.col("_l") * F.col("_r"))).first()[0] or 0
+
+
 def _choose(candidates: DataFrame, group: list[str], other: str, k: int, order: str) -> DataFrame:
     if order not in ("asc", "desc"):
         raise ValueError("order is 'asc' or 'desc'")
