@@ -7,7 +7,8 @@ both partitioned by basket, which makes every extension a join without a shuffle
 
 Baskets with very many frequent items are not extended. At most H such baskets
 can add to a support, so an itemset with fewer than ``threshold - H`` ordinary
-occurrences is out, and the rest are looked up in the heavy baskets.
+occurrences is out, and the rest are looked up in the heavy baskets. With more heavy baskets than that,
+those that have few subsets of a size list them within their row, if that makes fewer rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,10 @@ from siftworks.functions.skew import (
 from siftworks.sources.shared import materialize, partitions_for
 
 
+# A heavy basket with more subsets of a size than this does not list them.
+SUBSETS_PER_BASKET = 10_000
+
+
 def _without(position: int) -> Column:
     """``items`` without the element at a 1-based position."""
     return F.concat(
@@ -99,6 +104,58 @@ def _heavy_support(sets: DataFrame, heavy: DataFrame, by: list[str]) -> DataFram
     )
 
 
+def _subset_counts(size: int) -> Column:
+    """How many subsets of ``size`` the ``_n`` items of a basket have, as a double."""
+    count = F.lit(1.0)
+    for i in range(size):
+        count = count * (F.col("_n") - i) / (i + 1)
+    return count
+
+
+def _subsets(size: int) -> Column:
+    """All subsets of ``size`` of the ascending array ``_items``."""
+    longer = lambda c: F.transform(
+        F.filter("_items", lambda x: x > F.element_at(c, -1)), lambda x: F.concat(c, F.array(x))
+    )
+    sets = F.transform("_items", lambda x: F.array(x))
+    for _ in range(size - 1):
+        sets = F.flatten(F.transform(sets, longer))
+    return sets
+
+
+def _heavy_by_size(candidates: DataFrame, heavy: DataFrame, by: list[str], size: int) -> DataFrame:
+    """``_heavy_support`` of all candidates of a size: a heavy basket lists its subsets, or is met by lookups.
+
+    The rows of both ways are counted, over the baskets that may list their subsets.
+    """
+    sizes = heavy.groupBy(*by, "basket").agg(F.count("*").alias("_n"))
+    few = materialize(sizes.filter(_subset_counts(size) <= SUBSETS_PER_BASKET).select("basket", "_n"), "few-subsets")
+    listed = heavy.join(few.select("basket"), "basket", "left_semi")
+    n_listed = few.agg(F.sum(_subset_counts(size))).first()[0]
+    if n_listed is None:
+        return _heavy_support(candidates, heavy, by)
+    candidates = materialize(candidates, "candidates")
+    found = listed.groupBy(*by, "item").agg(F.count("*").alias("_n"))
+    met = candidates.select(*by, "items", F.explode("items").alias("item")).join(found, [*by, "item"])
+    rarest = met.groupBy(*by, "items").agg(F.min("_n").alias("_n"), F.count("*").alias("_places"))
+    # each basket met is followed by one lookup per other item
+    lookups = rarest.filter(F.col("_places") == size).agg(F.sum("_n") * (size - 1)).first()[0] or 0
+    if lookups < n_listed:
+        return _heavy_support(candidates, heavy, by)
+    baskets = listed.groupBy(*by, "basket").agg(F.sort_array(F.collect_set("item")).alias("_items"))
+    counts = (
+        baskets.select(*by, F.explode(_subsets(size)).alias("items"))
+        .groupBy(*by, "items")
+        .agg(F.count("*").alias("support"))
+        .join(candidates, [*by, "items"], "left_semi")
+    )
+    rest = heavy.join(few.select("basket"), "basket", "left_anti")
+    if rest.isEmpty():
+        return counts
+    more = _heavy_support(candidates, materialize(rest, "heavy-baskets"), by)
+    return counts.unionByName(more.select(counts.columns))
+
+
 def _heavy_pairs(heavy: DataFrame, sizes: DataFrame, by: list[str], heavy_rows: int) -> DataFrame:
     """Supports of all pairs within the heavy baskets, each basket cut into blocks."""
     rows = heavy.select("basket", F.struct("item", *by).alias("row"))
@@ -208,7 +265,7 @@ def _with_heavy(
     elif size == 2:
         more = _heavy_pairs(heavy, sizes, by, heavy_rows)
     else:
-        more = _heavy_support(apriori_candidates(level, size, heavy_rows, by), heavy, by)
+        more = _heavy_by_size(apriori_candidates(level, size, heavy_rows, by), heavy, by, size)
     both = counts.select(*by, "items", "support").unionByName(more.select(*by, "items", "support"))
     return both.groupBy(*by, "items").agg(F.sum("support").alias("support"))
 

@@ -7,7 +7,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from siftworks.functions.skew import blocked_partner_lists, pairs_of_lists, partner_lists, self_pairs, split_heavy
-from siftworks.operators import neighbours, similarity
+from siftworks.operators import itemsets, neighbours, similarity
 from siftworks.operators.similarity import pair_similarity
 
 PAIR = ["a", "b", "v_a", "v_b"]
@@ -67,3 +67,16 @@ def test_neighbours_by_either_side(spark, monkeypatch, min_sim):
         monkeypatch.setattr(neighbours, "_met", met)
         found.append(rows(neighbours.item_neighbours(test, train, sim).withColumn("similarity", F.round("similarity", 9))))
     assert found[0] and found[0] == found[1] == found[2]
+
+
+def test_heavy_baskets_list_their_subsets(spark, monkeypatch):
+    b = spark.range(3000).selectExpr("id % 150 basket", "concat('i', pmod(hash(id), if(id % 150 < 5, 14, 9))) item").distinct()
+    expected = rows(itemsets.sized(itemsets.mine_levels(b, 12, max_k=3)))
+    assert max(r[0] for r in expected) == 3
+    looked_up = []
+    plain = itemsets._heavy_support
+    monkeypatch.setattr(itemsets, "_heavy_support", lambda *a: looked_up.append(1) or plain(*a))
+    assert rows(itemsets.sized(itemsets.mine_levels(b, 12, max_k=3, heavy_rows=4))) == expected and not looked_up
+    # the largest baskets are looked up, the others list their subsets
+    monkeypatch.setattr(itemsets, "SUBSETS_PER_BASKET", 100)
+    assert rows(itemsets.sized(itemsets.mine_levels(b, 12, max_k=3, heavy_rows=4))) == expected and looked_up
