@@ -28,16 +28,27 @@ ROUNDING = 1e-12
 PAIRS_PER_ROW = 100
 
 
+def _sums(a: Column, b: Column, n: Column) -> list[Column]:
+    found = [n, F.avg(a), F.avg(b), F.regr_sxx(b, a), F.regr_syy(b, a), F.regr_sxy(b, a)]
+    return [c.alias(name) for c, name in zip(found, MOMENTS)]
+
+
 def _moments(pairs: DataFrame) -> DataFrame:
-    a, b = F.col("rating_a"), F.col("rating_b")
-    return pairs.groupBy("a", "b").agg(
-        F.count("*").alias("n"),
-        F.avg(a).alias("ma"),
-        F.avg(b).alias("mb"),
-        F.regr_sxx(b, a).alias("saa"),
-        F.regr_syy(b, a).alias("sbb"),
-        F.regr_sxy(b, a).alias("sab"),
-    )
+    return pairs.groupBy("a", "b").agg(*_sums(F.col("rating_a"), F.col("rating_b"), F.count("*")))
+
+
+def _moments_by_route(pairs: DataFrame) -> DataFrame:
+    """The moments of the rows with and without ``heavy`` put together as ``_add_up`` does: with ratings that
+    are NULL this is not what ``_moments`` gives."""
+
+    def route(heavy: Column) -> Column:
+        of = lambda c: F.when(heavy, F.col(c))
+        return F.struct(*_sums(of("rating_a"), of("rating_b"), F.count(F.when(heavy, 1))))
+
+    both = pairs.groupBy("a", "b").agg(route(~F.col("heavy")).alias("x"), route(F.col("heavy")).alias("y"))
+    x, y = F.col("x"), F.col("y")
+    merged = F.when(y["n"] == 0, x).when(x["n"] == 0, y).otherwise(_merged(x, y))
+    return both.select("a", "b", merged.alias("m")).select("a", "b", "m.*")
 
 
 def _merged(x: Column, y: Column) -> Column:
@@ -120,8 +131,12 @@ def _pair_moments(
     n_rows, n_pairs, n_heavy_pairs = _pair_counts(rows, other, heavy_rows)
     lists = partner_lists(light, other, entity, "rating", wanted)
     if heavy is not None and n_heavy_pairs <= n_pairs + PAIRS_PER_ROW * n_rows:
-        lists = lists.unionByName(blocked_partner_lists(heavy, sizes, other, entity, "rating", wanted, heavy_rows))
+        blocked = blocked_partner_lists(heavy, sizes, other, entity, "rating", wanted, heavy_rows)
         n_pairs, heavy = n_pairs + n_heavy_pairs, None
+        if not rows.filter(F.col("rating").isNull()).isEmpty():
+            told = lists.withColumn("heavy", F.lit(False)).unionByName(blocked.withColumn("heavy", F.lit(True)))
+            return _moments_by_route(pairs_of_lists(told, "rating", n_pairs)).filter(enough)
+        lists = lists.unionByName(blocked)
     from_light = _moments(pairs_of_lists(lists, "rating", n_pairs))
     if heavy is None:
         return from_light.filter(enough)

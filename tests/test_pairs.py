@@ -78,5 +78,17 @@ def test_heavy_baskets_list_their_subsets(spark, monkeypatch):
     monkeypatch.setattr(itemsets, "_heavy_support", lambda *a: looked_up.append(1) or plain(*a))
     assert rows(itemsets.sized(itemsets.mine_levels(b, 12, max_k=3, heavy_rows=4))) == expected and not looked_up
     # the largest baskets are looked up, the others list their subsets
-    monkeypatch.setattr(itemsets, "SUBSETS_PER_BASKET", 100)
+    monkeypatch.setattr(itemsets, "SUBSETS_PER_BASKET", 60)
     assert rows(itemsets.sized(itemsets.mine_levels(b, 12, max_k=3, heavy_rows=4))) == expected and looked_up
+
+
+def test_null_ratings_count_alike_by_blocks_and_by_lookups(spark, monkeypatch):
+    train = spark.range(900).selectExpr(
+        "id % 30 user", "id * 11 % 47 item", "if(id % 8 = 0, null, cast(id * id % 7 as double)) rating"
+    ).filter("user % 3 > 0 or item < 20").dropDuplicates(["user", "item"])
+    found = []
+    for per_row in (100, -(10**9)):
+        monkeypatch.setattr(similarity, "PAIRS_PER_ROW", per_row)
+        sim = pair_similarity(train, "item", 2, 0.2, heavy_rows=25)
+        found.append(rows(sim.withColumn("similarity", F.round("similarity", 9))))
+    assert found[0] and found[0] == found[1]
