@@ -14,6 +14,9 @@ from siftworks.functions.skew import HEAVY_ROWS, split_heavy
 from siftworks.operators.ratings import both_ways, rest_mean
 from siftworks.sources.shared import materialize
 
+# Up to so many rows are paired and looked up without counting what the other way would make.
+FEW_ROWS = 100_000
+
 
 def _other_of(key: str) -> str:
     return "item" if key == "user" else "user"
@@ -43,18 +46,23 @@ def _candidates(
     is always met from the similarities, so that its whole group is never paired with each wanted row.
     """
     rated = train.select(key, F.col(_other_of(key)).alias(other), "rating")
-    sim = materialize(sim, "similarity")
-    similar = both_ways(sim, "similarity").select(
-        F.col("a").alias(target), F.col("b").alias(other), "similarity"
-    )
     columns = [*wanted.columns, other, "rating", "similarity"]
 
     def by_similarity(rows: DataFrame, theirs: DataFrame) -> DataFrame:
+        similar = both_ways(sim, "similarity").select(
+            F.col("a").alias(target), F.col("b").alias(other), "similarity"
+        )
         return rows.join(similar, target).join(theirs, [key, other]).select(*columns)
 
-    if _met(wanted, similar, target) <= _met(wanted, rated, key):
-        return by_similarity(wanted, rated)
+    by_key = _met(wanted, rated, key)
+    if by_key > FEW_ROWS:
+        sim = materialize(sim, "similarity")
+        of_target = both_ways(sim).select(F.col("a").alias(target))
+        if _met(wanted, of_target, target) <= by_key:
+            return by_similarity(wanted, rated)
     light, heavy, sizes, _ = split_heavy(rated, key, heavy_rows, partner=wanted)
+    if heavy is not None and by_key <= FEW_ROWS:
+        sim = materialize(sim, "similarity")
     out = _lookup(wanted.join(light, key), sim, target, other).select(*columns)
     if heavy is not None:
         hot = wanted.join(sizes.select(key), key, "left_semi")

@@ -62,6 +62,7 @@ def test_neighbours_by_either_side(spark, monkeypatch, min_sim):
     rated = rated.dropDuplicates(["user", "item"])
     train, test = rated.filter("(user + item) % 4 > 0"), rated.filter("(user + item) % 4 = 0")
     sim = pair_similarity(train, "item", 2, min_sim)
+    monkeypatch.setattr(neighbours, "FEW_ROWS", -1)
     found = []
     for met in (neighbours._met, lambda left, right, key: int(key == "target"), lambda left, right, key: int(key != "target")):
         monkeypatch.setattr(neighbours, "_met", met)
