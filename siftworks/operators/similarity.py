@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from siftworks.functions.skew import (
     HEAVY_ROWS,
+    Packing,
     blocked_partner_lists,
     blocked_self_pairs,
+    packing,
     pairs_of_lists,
     partner_lists,
     split_heavy,
@@ -114,30 +116,41 @@ def _lookup_moments(pairs: DataFrame, heavy: DataFrame, entity: str, other: str)
     return _moments(pairs.select("a", "b").join(left, "a").join(right, ["b", other]))
 
 
-def _pair_counts(rows: DataFrame, key: str, heavy_rows: int) -> tuple[int, int, int]:
-    """The rows of the table and the pairs within its light and its heavy groups."""
-    sizes = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"))
-    pairs, heavy = F.col("_n") * (F.col("_n") - 1) / 2, F.col("_n") > heavy_rows
-    found = sizes.agg(F.sum("_n"), F.sum(F.when(~heavy, pairs)), F.sum(F.when(heavy, pairs))).first()
+def _pair_counts(sizes: DataFrame, heavy_rows: int) -> tuple[int, int, int]:
+    """The rows of the table and the pairs within its light and its heavy groups, from (key, count)."""
+    n = F.col("count")
+    pairs, heavy = n * (n - 1) / 2, n > heavy_rows
+    found = sizes.agg(F.sum(n), F.sum(F.when(~heavy, pairs)), F.sum(F.when(heavy, pairs))).first()
     return tuple(int(x or 0) for x in found)
 
 
 def _pair_moments(
-    rows: DataFrame, entity: str, other: str, min_common: int, wanted: str | None, heavy_rows: int
+    rows: DataFrame,
+    entity: str,
+    other: str,
+    min_common: int,
+    wanted: str | None,
+    heavy_rows: int,
+    packed: Packing | None = None,
 ) -> DataFrame:
-    """Moments of every pair with at least ``min_common`` shared entries, each in one order."""
-    light, heavy, sizes, n_heavy = split_heavy(rows, other, heavy_rows)
+    """Moments of every pair with at least ``min_common`` shared entries, each in one order.
+
+    ``packed`` tells how entities and ratings travel where they can be packed.
+    """
+    counts = materialize(rows.filter(F.col(other).isNotNull()).groupBy(other).count(), "counts")
+    light, heavy, sizes, n_heavy = split_heavy(rows, other, heavy_rows, counts=counts)
     enough = F.col("n") >= min_common
-    n_rows, n_pairs, n_heavy_pairs = _pair_counts(rows, other, heavy_rows)
-    lists = partner_lists(light, other, entity, "rating", wanted)
+    n_rows, n_pairs, n_heavy_pairs = _pair_counts(counts, heavy_rows)
+    lists = partner_lists(light, other, entity, "rating", wanted, packed)
     if heavy is not None and n_heavy_pairs <= n_pairs + PAIRS_PER_ROW * n_rows:
-        blocked = blocked_partner_lists(heavy, sizes, other, entity, "rating", wanted, heavy_rows)
+        blocked = blocked_partner_lists(heavy, sizes, other, entity, "rating", wanted, heavy_rows, packed)
         n_pairs, heavy = n_pairs + n_heavy_pairs, None
-        if not rows.filter(F.col("rating").isNull()).isEmpty():
+        # packed ratings are not NULL
+        if packed is None and not rows.filter(F.col("rating").isNull()).isEmpty():
             told = lists.withColumn("heavy", F.lit(False)).unionByName(blocked.withColumn("heavy", F.lit(True)))
             return _moments_by_route(pairs_of_lists(told, "rating", n_pairs)).filter(enough)
         lists = lists.unionByName(blocked)
-    from_light = _moments(pairs_of_lists(lists, "rating", n_pairs))
+    from_light = _moments(pairs_of_lists(lists, "rating", n_pairs, packed))
     if heavy is None:
         return from_light.filter(enough)
     # A pair can meet in at most n_heavy heavy groups, so one that meets in fewer than
@@ -172,7 +185,9 @@ def pair_similarity(
     other = "user" if entity == "item" else "item"
     alive, rows = _usable(ratings.select(entity, other, "rating"), entity, min_common, targets)
     wanted = None if targets is None else "wanted"
-    moments = _pair_moments(rows, entity, other, min_common, wanted, heavy_rows)
+    # the ratings of the rows are differences within an entity
+    packed = packing(alive, entity, ratings, "rating")
+    moments = _pair_moments(rows, entity, other, min_common, wanted, heavy_rows, packed)
     # the correlation is the same in both orders
     low, high = (F.col("a"), F.col("b")) if targets is None else (F.least("a", "b"), F.greatest("a", "b"))
     similar = moments.select(low.alias("a"), high.alias("b"), F.col("n").alias("n_common"), absolute_pearson().alias("similarity"))
