@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -17,6 +17,9 @@ from siftworks.sources.shared import materialize
 # Up to so many rows are paired and looked up without counting what the other way would make.
 FEW_ROWS = 100_000
 
+# What a key has rated is marked in so many numbers of 64 bits.
+MARKS = [f"_marks{i}" for i in range(2)]
+
 
 def _other_of(key: str) -> str:
     return "item" if key == "user" else "user"
@@ -29,6 +32,25 @@ def _lookup(rows: DataFrame, sim: DataFrame, left: str, right: str) -> DataFrame
     )
 
 
+def _bit(entity: str) -> Column:
+    return F.pmod(F.xxhash64(entity), F.lit(64 * len(MARKS)))
+
+
+def _marks(rated: DataFrame, key: str, entity: str) -> DataFrame:
+    """(key, marks): one bit set for each entity of the key, which others may share; stored for joins with hot keys."""
+    at = _bit(entity)
+    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (at % 64).cast("int"))
+    words = [F.bit_or(F.when(F.floor(at / 64) == i, one)).alias(name) for i, name in enumerate(MARKS)]
+    return materialize(rated.groupBy(key).agg(*words), "marks")
+
+
+def _is_marked(entity: str) -> Column:
+    """Whether the bit of the entity is set: so for all that the key has rated, and for some others."""
+    at = _bit(entity)
+    word = F.element_at(F.array(*MARKS), (F.floor(at / 64) + 1).cast("int"))
+    return F.bit_get(F.coalesce(word, F.lit(0).cast("bigint")), (at % 64).cast("int")) == 1
+
+
 def _candidates(
     wanted: DataFrame,
     train: DataFrame,
@@ -44,6 +66,8 @@ def _candidates(
     The rows are met from the similarities of the target, or by pairing the rows of the key with the
     wanted row and looking the pairs up, whichever makes fewer rows. A key with very many rows
     is always met from the similarities, so that its whole group is never paired with each wanted row.
+    With more than a few rows, those met from the similarities are held against the marks of the key first, so
+    that few that the key has not rated are shuffled.
     """
     rated = train.select(key, F.col(_other_of(key)).alias(other), "rating")
     columns = [*wanted.columns, other, "rating", "similarity"]
@@ -52,7 +76,11 @@ def _candidates(
         similar = both_ways(sim, "similarity").select(
             F.col("a").alias(target), F.col("b").alias(other), "similarity"
         )
-        return rows.join(similar, target).join(theirs, [key, other]).select(*columns)
+        if by_key > FEW_ROWS:
+            rows = rows.join(_marks(theirs, key, other), key).join(similar, target).filter(_is_marked(other))
+        else:
+            rows = rows.join(similar, target)
+        return rows.drop(*MARKS).join(theirs, [key, other]).select(*columns)
 
     by_key = _met(wanted, rated, key)
     if by_key > FEW_ROWS:

@@ -1,4 +1,4 @@
-"""Entries packed into one number."""
+"""Entries packed into one number, and marks of what a key has rated."""
 
 import pytest
 from conftest import rows
@@ -12,6 +12,7 @@ from siftworks.functions.skew import (
     self_pairs,
     split_heavy,
 )
+from siftworks.operators import neighbours
 from siftworks.operators.similarity import pair_similarity
 
 PAIR = ["a", "b", "v_a", "v_b"]
@@ -71,3 +72,27 @@ def test_similarities_of_packed_ratings(spark):
             assert ("rating_bs" in sim._jdf.queryExecution().optimizedPlan().toString()) == in_two
             found.append(rows(sim.withColumn("similarity", F.round("similarity", 9))))
     assert len(found[0]) > 100 and all(f == found[0] for f in found)
+
+
+def test_marks_keep_all_rated_and_few_others(spark):
+    rated = spark.range(600).selectExpr("id % 40 user", "id * 7 % 997 item", "1.0 rating")
+    marks = neighbours._marks(rated, "user", "item")
+    mine = rated.join(marks, "user")
+    assert mine.filter(neighbours._is_marked("item")).count() == mine.count() == 600
+    other = marks.crossJoin(spark.range(1000, 2000).withColumnRenamed("id", "item"))
+    assert other.filter(neighbours._is_marked("item")).count() < 0.25 * other.count()
+
+
+def test_unrated_candidates_are_not_shuffled(spark, monkeypatch):
+    rated = spark.range(900).selectExpr("id % 41 user", "id * 7 % 53 item", "cast(id * id % 5 as double) rating")
+    train, test = rated.filter("(user + item) % 4 > 0"), rated.filter("(user + item) % 4 = 0")
+    sim = pair_similarity(train, "item", 2, 0.01)
+    found = []
+    for few in (100_000, -1):
+        monkeypatch.setattr(neighbours, "FEW_ROWS", few)
+        if few < 0:
+            monkeypatch.setattr(neighbours, "_met", lambda left, right, key: int(key != "target"))
+        chosen = neighbours.item_neighbours(test, train, sim)
+        assert ("bit_get" in chosen._jdf.queryExecution().optimizedPlan().toString()) == (few < 0)
+        found.append(rows(chosen.withColumn("similarity", F.round("similarity", 9))))
+    assert found[0] and found[0] == found[1]
